@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from chartloom.llm import quality_rules, secret_scan
+from chartloom.llm import quality_rules, secret_scan, token_files
 
 QUERIES = {
     "op2_quality_rules": quality_rules.query,
+    "op3_token_files": token_files.query,
     "op6_secret_scan": secret_scan.query,
 }
 
