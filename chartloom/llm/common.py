@@ -45,6 +45,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts can be long, so no Arrow batch of this session holds more than so many rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def map_arrow(
     df: DataFrame,
     schema: str,
@@ -60,6 +67,7 @@ def map_arrow(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()

@@ -163,12 +163,16 @@ def write(
     return out
 
 
-def read(spark: SparkSession, files: TokenFiles, only: list[int] | None = None) -> DataFrame:
+def read(spark: SparkSession, files: TokenFiles, only: list[int] | None = None, finish=None, schema: str = "ids binary") -> DataFrame:
     """(doc_id, start, n_tokens, ids) of all documents, or of those asked for.
 
     For single documents only the shards whose range holds one of them are
-    read, and only their frames are decompressed.
+    read, and only their frames are decompressed. finish(ids) -> tuple gives
+    other columns than the ids, named in schema.
     """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
     held = spark.read.parquet(files.dictionary).first()
     dict_hash, dictionary = held.dict_hash, bytes(held.dictionary)
     shards = spark.read.parquet(files.shards).join(spark.read.parquet(files.bases), ["part", "shard"])
@@ -178,6 +182,8 @@ def read(spark: SparkSession, files: TokenFiles, only: list[int] | None = None)
             hit = hit | ((F.col("first") <= i) & (F.col("last") >= i))
         shards = shards.filter(hit)
     wanted = None if only is None else set(only)
+    schema = "doc_id long, start long, n_tokens long, " + schema
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
         import pyarrow as pa
@@ -187,37 +193,26 @@ def read(spark: SparkSession, files: TokenFiles, only: list[int] | None = None)
             for r in range(batch.num_rows):
                 if batch.column("dict_hash")[r].as_py() != dict_hash:
                     raise ValueError("a shard was written with another dictionary")
-                index, frames = batch.column("offsets")[r].as_py(), memoryview(batch.column("frames")[r].as_buffer())
-                base = batch.column("base")[r].as_py()
+                index, frames, base = batch.column("offsets")[r].as_py(), memoryview(batch.column("frames")[r].as_buffer()), batch.column("base")[r].as_py()
                 entries = [e for e in struct.iter_unpack(_ENTRY, index) if wanted is None or e[0] in wanted]
                 for at in range(0, len(entries), 512):
-                    part = entries[at : at + 512]
-                    ids = [unzip.decompress(frames[o : o + size]) for _, _, _, o, size in part]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([None if e[0] == _NO_ID else e[0] for e in part], pa.int64()),
-                            pa.array([base + e[1] for e in part], pa.int64()),
-                            pa.array([e[2] for e in part], pa.int64()),
-                            pa.array(ids, pa.binary()),
-                        ],
-                        names=["doc_id", "start", "n_tokens", "ids"],
-                    )
+                    rows = []
+                    for doc, start, n, offset, size in entries[at : at + 512]:
+                        ids = unzip.decompress(frames[offset : offset + size])
+                        rows.append((None if doc == _NO_ID else doc, base + start, n, *((ids,) if finish is None else finish(ids))))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
-    return shards.select("dict_hash", "base", "offsets", "frames").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    return shards.select("dict_hash", "base", "offsets", "frames").mapInArrow(run, schema)
 
 
-def query(spark, sf_dir: str) -> DataFrame:
-    from chartloom.llm.common import table
+def crc32(ids: bytes) -> tuple[int]:
+    """Unsigned CRC-32 of the ids as 32-bit integers."""
+    import numpy as np
 
-    files = write(table(spark, sf_dir, "documents"))
+    return (zlib.crc32(np.frombuffer(ids, "<u2").astype("<u4")),)
 
-    def make():
-        import numpy as np
 
-        def f(batch):
-            crc = [zlib.crc32(np.frombuffer(x.as_buffer(), "<u2").astype("<u4")) for x in batch.column("ids")]
-            return {**{c: batch.column(c) for c in ("doc_id", "start", "n_tokens")}, "ids_crc32": crc}
-
-        return f
+def query(spark, sf_dir: str) -> DataFrame:
+    from chartloom.llm.common import table
 
-    return map_arrow(read(spark, files), "doc_id long, start long, n_tokens long, ids_crc32 long", make)
+    return read(spark, write(table(spark, sf_dir, "documents")), finish=crc32, schema="ids_crc32 long")
