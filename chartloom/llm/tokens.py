@@ -94,11 +94,19 @@ class Words:
         high &= _MASK[np.clip(self.length - 8, 0, 8)]
         return low, high
 
+    def classes(self) -> np.ndarray:
+        """The class of each word's first character."""
+        return _CLASS[self.raw[self.start]]
+
     def word(self, i: int) -> bytes:
         a = self.start[i]
         return self.raw[a : a + self.length[i]].tobytes()
 
 
+def classes(char: bytes) -> int:
+    return int(_CLASS[char[0]])
+
+
 _CLASS = _classes()
 _ONE = np.frombuffer(b"stmd", "u1")
 _MASK = np.array([(1 << (8 * n)) - 1 for n in range(9)], "<u8")
@@ -146,7 +154,91 @@ class Table:
             todo, slot = todo[on], (slot[on] + 1) & ((1 << self.bits) - 1)
 
 
-class Encoder:
+class WordTable:
+    """Numbers for words of batches of texts; what is known of a word is kept by its number (see _keep)."""
+
+    #: What the table leaves to others when a text holds it.
+    added: tuple[str, ...] = ()
+
+    def __init__(self, limit: int, lowers: bool):
+        self.limit, self.lowers = limit, lowers
+
+    def clear(self) -> None:
+        self.table = Table(self.limit)
+        self.long: dict[bytes, int] = {}
+
+    def _keep(self, words: list[str]) -> None:
+        """Told of distinct new words, whose numbers are the table's next."""
+
+    def safe_bytes(self, text: str) -> bytes | None:
+        """A safe text with one byte a character (in small letters if the tokenizer does that); else None."""
+        if UNSAFE.search(text) or "<|" in text and any(t in text for t in self.added):
+            return None
+        if self.lowers:
+            text = text.lower()
+        try:
+            return text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.encode(CODE)
+
+    def split(self, texts: list[bytes]) -> Words:
+        return Words(texts, self.lowers)
+
+    def numbers(self, words: Words, learn: bool = True) -> np.ndarray:
+        """Each word's number in the table; with learn, none is left at -1 but words over LONG."""
+        if learn and self.table.size + len(words.start) > self.limit:
+            self.limit = max(self.limit, 2 * len(words.start))
+            self.clear()
+        low, high = words.keys()
+        out = np.full(len(low), -1, "i4")
+        short = words.length <= 16
+        low, high = low[short], high[short]
+        found = self.table.find(low, high)
+        new = np.flatnonzero(found < 0)
+        if learn and len(new):
+            order = new[np.lexsort((high[new], low[new]))]
+            a, b = low[order], high[order]
+            step = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            a, b = a[step], b[step]
+            held = np.stack([a, b], 1).tobytes()
+            base = self.table.size
+            self._keep([held[i : i + 16].rstrip(b"\0").decode(CODE) for i in range(0, len(held), 16)])
+            self.table.add(a, b)
+            found[order] = base - 1 + np.cumsum(step)
+        out[short] = found
+        at = np.flatnonzero(~short & (words.length <= LONG))
+        if len(at):
+            fresh: dict[bytes, int] = {}
+            for i in at.tolist():
+                w = words.word(i)
+                n = self.long.get(w, -1)
+                if n < 0 and learn:
+                    n = fresh.setdefault(w, self.table.size + len(fresh))
+                out[i] = n
+            if fresh:
+                self._keep([w.decode(CODE) for w in fresh])
+                self.long.update(fresh)
+                self.table.size += len(fresh)
+        return out
+
+    def groups(self, texts: list[str], chars: int = 400_000):
+        """Lists of (place, safe bytes) of about so many characters, and then the places of all other texts."""
+        group: list[tuple[int, bytes]] = []
+        size, apart = 0, []
+        for i, text in enumerate(texts):
+            safe = self.safe_bytes(text)
+            if safe is None:
+                apart.append(i)
+                continue
+            group.append((i, safe))
+            size += len(safe)
+            if size >= chars:
+                yield group, ()
+                group, size = [], 0
+        yield group, apart
+
+
+class Encoder(WordTable):
     """ids of texts as little-endian unsigned 16-bit integers (both vocabularies fit)."""
 
     def __init__(self, path: str, limit: int = LIMIT):
@@ -155,39 +247,23 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.lowers = self.library.normalizer is not None
+        super().__init__(limit, self.library.normalizer is not None)
         self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
         # Words in one text: split at white space, where a word's last piece ends in </w>; else at the id of a line end.
         self.separator = " " if self.lowers else "\n"
         size = self.library.get_vocab_size(with_added_tokens=True)
         last = (lambda t: t.endswith("</w>")) if self.lowers else (lambda t: t == "Ċ")
         self.is_end = np.array([last(self.library.id_to_token(i) or "") for i in range(size)])
-        self.limit = limit
         self.clear()
 
     def clear(self) -> None:
-        self.table = Table(self.limit)
-        self.long: dict[bytes, int] = {}
+        super().clear()
         self.ids, self.used = np.zeros(self.limit * 3, "<u2"), 0
         self.at, self.count = np.zeros(self.limit + 1, "i4"), np.zeros(self.limit + 1, "i4")
 
     def library_ids(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def safe_bytes(self, text: str) -> bytes | None:
-        """A safe text with one byte a character (in small letters if the tokenizer does that); else None."""
-        if UNSAFE.search(text) or "<|" in text and any(t in text for t in self.added):
-            return None
-        if self.lowers:
-            text = text.lower()
-        try:
-            return text.encode("latin-1")
-        except UnicodeEncodeError:
-            return text.encode(CODE)
-
-    def split(self, texts: list[bytes]) -> Words:
-        return Words(texts, self.lowers)
-
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """ids of all words in a row, and each word's number of ids. Words go to the library many in a text."""
         ids_, counts = [], []
@@ -239,65 +315,12 @@ class Encoder:
         self.table.size = len(at)
         return self
 
-    def numbers(self, words: Words, learn: bool = True) -> np.ndarray:
-        """Each word's number in the table; with learn, none is left at -1 but words over LONG."""
-        if learn and self.table.size + len(words.start) > self.limit:
-            self.limit = max(self.limit, 2 * len(words.start))
-            self.clear()
-        low, high = words.keys()
-        out = np.full(len(low), -1, "i4")
-        short = words.length <= 16
-        low, high = low[short], high[short]
-        found = self.table.find(low, high)
-        new = np.flatnonzero(found < 0)
-        if learn and len(new):
-            order = new[np.lexsort((high[new], low[new]))]
-            a, b = low[order], high[order]
-            step = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-            a, b = a[step], b[step]
-            held = np.stack([a, b], 1).tobytes()
-            base = self.table.size
-            self._keep([held[i : i + 16].rstrip(b"\0").decode(CODE) for i in range(0, len(held), 16)])
-            self.table.add(a, b)
-            found[order] = base - 1 + np.cumsum(step)
-        out[short] = found
-        at = np.flatnonzero(~short & (words.length <= LONG))
-        if len(at):
-            fresh: dict[bytes, int] = {}
-            for i in at.tolist():
-                w = words.word(i)
-                n = self.long.get(w, -1)
-                if n < 0 and learn:
-                    n = fresh.setdefault(w, self.table.size + len(fresh))
-                out[i] = n
-            if fresh:
-                self._keep([w.decode(CODE) for w in fresh])
-                self.long.update(fresh)
-                self.table.size += len(fresh)
-        return out
-
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of words in a row (none for -1), and where each word's begin (with the end)."""
         n = np.where(numbers < 0, 0, self.count[numbers])
         begins = np.concatenate([[0], np.cumsum(n)])
         return self.ids[np.repeat(self.at[numbers] - begins[:-1], n) + np.arange(begins[-1])], begins
 
-    def groups(self, texts: list[str], chars: int = 400_000):
-        """Lists of (place, safe bytes) of about so many characters, and then the places of all other texts."""
-        group: list[tuple[int, bytes]] = []
-        size, apart = 0, []
-        for i, text in enumerate(texts):
-            safe = self.safe_bytes(text)
-            if safe is None:
-                apart.append(i)
-                continue
-            group.append((i, safe))
-            size += len(safe)
-            if size >= chars:
-                yield group, ()
-                group, size = [], 0
-        yield group, apart
-
     def encode(self, texts: list[str], learn: bool = True) -> list[bytes]:
         """ids of each text; without learn, none for words of up to LONG characters that the table has not."""
         out: list[bytes] = [b""] * len(texts)
