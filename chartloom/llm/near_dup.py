@@ -90,9 +90,9 @@ def shingles(texts: list[str], size: int = SHINGLE) -> list[tuple[np.ndarray, np
         if b - a >= size:
             own = np.sort(rolled[a : b - size + 1])
         elif b > a:
-            one = np.uint64(b - a)
-            for x in h[a:b]:
-                one = one * np.uint64(0x9E3779B97F4A7C15) + x
+            one = b - a
+            for x in h[a:b].tolist():
+                one = (one * 0x9E3779B97F4A7C15 + x) & 0xFFFFFFFFFFFFFFFF
             own = (_mix(np.array([one], "<u8")) >> np.uint64(32)).astype("<u4")
         else:
             own = np.zeros(0, "<u4")
