@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from chartloom.llm import bpe_table, language_id, near_dup, packing, quality_classifier, quality_rules, secret_scan, token_files
+from chartloom.llm import bpe_table, language_id, license_scan, near_dup, packing, quality_classifier, quality_rules, secret_scan, token_files
 
 QUERIES = {
+    "op1_license_scan": license_scan.query,
     "op2_quality_rules": quality_rules.query,
     "op3_token_files": token_files.query,
     "op4_packing": packing.query,
@@ -15,4 +16,6 @@ QUERIES = {
     "op9_bpe_table": bpe_table.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_license_scan": license_scan.oracle(),
+}
