@@ -34,7 +34,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import map_arrow, stage
+from chartloom.llm.common import kept, map_arrow, stage
 from chartloom.llm.tokens import CODE, LONG, Counts, Encoder, encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -83,7 +83,7 @@ def encode(docs: DataFrame, vocabulary: str = PATH, most_hot: int = 1 << 18, tex
     def known():
         import zstandard
 
-        enc, zip_ = Encoder(vocabulary, 1).restore(shared.value), zstandard.ZstdCompressor(level=3)
+        enc, zip_ = kept("hot words", shared.value, lambda held: Encoder(vocabulary, 1).restore(held)), zstandard.ZstdCompressor(level=3)
 
         def f(batch):
             out = [zip_.compress(x) for x in enc.encode(batch.column("text").to_pylist(), learn=False)]
@@ -94,7 +94,7 @@ def encode(docs: DataFrame, vocabulary: str = PATH, most_hot: int = 1 << 18, tex
     def others():
         import numpy as np
 
-        enc = Encoder(vocabulary, 1).restore(shared.value)
+        enc = kept("hot words", shared.value, lambda held: Encoder(vocabulary, 1).restore(held))
 
         def f(batch):
             rows, ks, ats, names = [], [], [], []
@@ -118,7 +118,7 @@ def encode(docs: DataFrame, vocabulary: str = PATH, most_hot: int = 1 << 18, tex
         return f
 
     def encode_runs():
-        enc = Encoder(vocabulary)
+        enc = encoder(vocabulary)
         last: list = [None, b""]
 
         def f(batch):

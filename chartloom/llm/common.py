@@ -80,6 +80,21 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
+_KEPT: dict[str, tuple] = {}
+
+
+def kept(name: str, source, build: Callable):
+    """build(source), made once for each Python worker while the source stays the same object.
+
+    A broadcast value is one object in a worker. Large tables made anew for each
+    task would leave its memory in pieces.
+    """
+    if name not in _KEPT or _KEPT[name][0] is not source:
+        _KEPT.pop(name, None)
+        _KEPT[name] = (source, build(source))
+    return _KEPT[name][1]
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for documents that no model may learn from: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -41,7 +41,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import bound_batches, map_arrow, stage
+from chartloom.llm.common import bound_batches, kept, map_arrow, stage
 from chartloom.llm.tokens import Words
 
 SHINGLE = 5
@@ -205,7 +205,7 @@ def signatures(docs: DataFrame, shared) -> DataFrame:
     """(doc_id, digest, bands, signature): bands and signature are null for a text without words."""
 
     def make():
-        sampler = Sampler(shared.value)
+        sampler = kept("sampler", shared.value, Sampler)
         recent: dict[bytes, tuple] = {}
 
         def f(batch):
@@ -276,7 +276,7 @@ def verified(pairs: DataFrame, sets: DataFrame, shared, least: float) -> DataFra
         return h, np.frombuffer(c, "<u4") if c else np.ones(len(h), "<u4")
 
     def make():
-        sampler = Sampler(shared.value, 1)
+        sampler = kept("sampler", shared.value, Sampler)
 
         def f(batch):
             a, b, ha, ca, hb, cb = (batch.column(c).to_pylist() for c in ("a", "b", "ha", "ca", "hb", "cb"))
@@ -389,6 +389,14 @@ def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     return done.unionByName(alone).select("doc_id", "class_id", (F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)) & (F.col("copy") == 1)).alias("is_first"))
 
 
+def one_row_for_each(docs: DataFrame) -> DataFrame:
+    """The row of least text for each doc_id; only doc_ids that repeat are looked at again."""
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    again = docs.join(repeated, "doc_id", "left_semi").withColumn("__r", rank).filter("__r = 1").drop("__r")
+    return docs.join(repeated, "doc_id", "left_anti").unionByName(again)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     from chartloom.llm.common import table
 

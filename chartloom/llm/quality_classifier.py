@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import held_out, map_arrow
+from chartloom.llm.common import held_out, kept, map_arrow
 from chartloom.llm.tokens import CODE, WordTable
 
 _WORD = re.compile(r"[^\W\d_]+|\d|[^\w\s]+|_+")
@@ -202,7 +202,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if not c.startswith("__")) + ", score double"
 
     def make():
-        table = Features(shared.value.bits)
+        table = kept("features", shared.value, lambda model: Features(model.bits))
 
         def f(batch):
             z = margins(shared.value, table.rows(batch.column("__text").to_pylist(), batch.column("__n").to_pylist()))

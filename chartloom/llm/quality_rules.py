@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _TRIM = " \t\n\x0b\f\r"
+_PUNCT = ".,;:!?()\"'"
 
 #: The most frequent function words of the four languages.
 STOP_WORDS = (
@@ -56,31 +57,23 @@ def words_of(text: Column) -> Column:
 
 
 def repeated_words(words: Column, size: int = 5) -> Column:
-    """How many words stand in a window of ``size`` words that occurs twice or more in the text."""
+    """How many words stand in a window of ``size`` words that occurs twice or more in the text.
 
-    def starts(ws: Column) -> Column:
-        windows = F.transform(
-            F.sequence(F.lit(0), F.size(ws) - size),
-            lambda i: F.struct(F.concat_ws(" ", *[F.get(ws, i + k) for k in range(size)]).alias("g"), i.alias("i")),
-        )
-        return _let(
-            F.array_sort(windows),
-            lambda s: F.array_sort(
-                F.transform(
-                    F.filter(
-                        F.transform(
-                            s,
-                            lambda x, k: F.struct(
-                                x["i"].alias("i"),
-                                (F.coalesce(F.get(s, k - 1)["g"] == x["g"], F.lit(False)) | F.coalesce(F.get(s, k + 1)["g"] == x["g"], F.lit(False))).alias("twice"),
-                            ),
-                        ),
-                        lambda x: x["twice"],
-                    ),
-                    lambda x: x["i"],
-                )
-            ),
-        )
+    If all windows have distinct hashes, none repeats. Else (hash, place) pairs
+    are sorted, and a window counts if a neighbour has its hash and its words.
+    """
+    same = lambda ws, a, b: F.slice(ws, a + 1, size) == F.slice(ws, b + 1, size)
+
+    def starts(ws: Column, hashes: Column) -> Column:
+        def twice(s: Column) -> Column:
+            def equal(x: Column, k: Column) -> Column:
+                y = F.get(s, k)
+                return F.coalesce((y["h"] == x["h"]) & same(ws, x["i"], y["i"]), F.lit(False))
+
+            kept = F.filter(s, lambda x, k: equal(x, k - 1) | equal(x, k + 1))
+            return F.array_sort(F.transform(kept, lambda x: x["i"]))
+
+        return _let(F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))), twice)
 
     def covered(at: Column) -> Column:
         step = lambda acc, i: F.struct(
@@ -88,7 +81,11 @@ def repeated_words(words: Column, size: int = 5) -> Column:
         )
         return F.aggregate(at, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), step, lambda acc: acc["n"])
 
-    return F.when(F.size(words) <= size, F.lit(0)).otherwise(_let(words, lambda ws: covered(starts(ws)))).cast("long")
+    def of(ws: Column) -> Column:
+        hashes = F.transform(F.sequence(F.lit(0), F.size(ws) - size), lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(size)]))
+        return _let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(starts(ws, h))))
+
+    return F.when(F.size(words) <= size, F.lit(0)).otherwise(_let(words, of)).cast("long")
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -109,7 +106,7 @@ def measures(text: str = "text") -> dict[str, Column]:
     joined = F.array_join(words, " ")
     count = lambda pattern: F.size(F.regexp_extract_all(joined, F.lit(pattern), F.lit(0)))
     word_chars = F.greatest(F.length(joined) - n + 1, F.lit(0)).cast("long")
-    stop = r"(?i)(?<![^ ])(?:" + "|".join(STOP_WORDS) + r")(?=[ .,;:!?]|$)"
+    stop = F.size(F.filter(words, lambda w: F.lower(F.btrim(w, F.lit(_PUNCT))).isin(STOP_WORDS)))
     return {
         "n_words": n,
         "word_chars": F.when(n == 0, F.lit(0)).otherwise(word_chars).cast("long"),
@@ -118,34 +115,38 @@ def measures(text: str = "text") -> dict[str, Column]:
         "n_repeat_words": repeated_words(words),
         "mean_word_chars": _share(word_chars, n),
         "symbol_word_ratio": _share(count(r"(?<![^ ])[^ ]*[#*$%&|<>][^ ]*"), n),
-        "stop_word_ratio": _share(count(stop), n),
-        "upper_word_ratio": _share(count(r"(?<![^ ])\p{Lu}{2}\P{Ll}*?(?= |$)"), n),
-        "alpha_word_ratio": _share(count(r"(?<![^ ])[^ ]*?\p{L}[^ ]*"), n),
+        "stop_word_ratio": _share(stop, n),
+        "upper_word_ratio": _share(count(r"(?<![^ ])\p{Lu}{2}[^\p{Ll} ]*(?= |$)"), n),
+        "alpha_word_ratio": _share(n - count(r"(?<![^ ])[^\p{L} ]+(?= |$)"), n),
         "dup_line_ratio": _share(n_lines - F.size(F.array_distinct(lines)), n_lines),
         "bullet_line_ratio": _share(F.size(F.filter(lines, lambda x: x.rlike(r"^[ \t]*[-*•]"))), n_lines),
         "ellipsis_line_ratio": _share(F.size(F.filter(lines, lambda x: x.rlike(r"(\.\.\.|…)[ \t\r]*$"))), n_lines),
     }
 
 
-def compile_rules(rules=RULES) -> Column:
-    """One boolean Column that holds if every measure is within its bounds."""
+def compile_rules(rules=RULES, prefix: str = "") -> Column:
+    """One boolean Column that holds if every measure is within its bounds; columns are named prefix + measure."""
     keep = F.lit(True)
     for name, least, most in rules:
         if least is not None:
-            keep = keep & (F.col(name) >= least)
+            keep = keep & (F.col(prefix + name) >= least)
         if most is not None:
-            keep = keep & (F.col(name) <= most)
+            keep = keep & (F.col(prefix + name) <= most)
     return F.coalesce(keep, F.lit(False))
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+def base_failed(prefix: str = "") -> Column:
+    return (F.col(prefix + "n_words") < 10) | (100 * F.col(prefix + "n_repeat_words") > 20 * F.col(prefix + "n_words"))
+
+
+def kept_by(rules=RULES, prefix: str = "") -> Column:
+    return ~base_failed(prefix) & compile_rules(rules, prefix)
 
 
 def score(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """docs with the measures, ``base_failed`` and ``kept``."""
     measured = with_words(docs, text).withColumns(measures(text)).drop("__words", "__lines")
-    return measured.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & compile_rules(rules))
+    return measured.withColumns({"base_failed": base_failed(), "kept": kept_by(rules)})
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chartloom.llm import bpe_table, language_id, license_scan, near_dup, packing, quality_classifier, quality_rules, secret_scan, token_files
+from chartloom.llm import bpe_table, language_id, license_scan, media, near_dup, packing, quality_classifier, quality_rules, secret_scan, token_files
 
 QUERIES = {
     "op1_license_scan": license_scan.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_language_id": language_id.query,
     "op8_quality_classifier": quality_classifier.query,
     "op9_bpe_table": bpe_table.query,
+    "op10_media_copies": media.query,
 }
 
 ORACLES: dict[str, str] = {
