@@ -1 +1 @@
-
+"""Readers of configuration, rasters and web pages."""
