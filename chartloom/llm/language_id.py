@@ -33,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import first_of, held_out, map_arrow
+from chartloom.llm.common import first_of, held_out, kept, map_arrow
 from chartloom.llm.tokens import CODE, LETTER, WordTable, classes
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -260,7 +260,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "__text") + ", lang_pred string, score double"
 
     def make():
-        table, languages = _Scores(shared.value), shared.value.languages
+        table, languages = kept("language scores", shared.value, _Scores), shared.value.languages
 
         def f(batch):
             names, scores = [], []
