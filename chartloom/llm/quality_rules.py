@@ -155,3 +155,39 @@ def query(spark, sf_dir: str) -> DataFrame:
     scored = score(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return scored.select(*base, *[F.round(F.col(m), 9).alias(m) for m, _, _ in RULES if m != "n_words"])
+
+
+def oracle() -> str:
+    """The same result as SQL over unnested words, windows and lines."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    share = lambda part, whole: f"CASE WHEN {whole} > 0 THEN ({part})::DOUBLE / {whole} ELSE 0.0::DOUBLE END"
+    words = lambda test: f"len(list_filter(ws, lambda x: {test}))"
+    stop = ", ".join(map(quote, STOP_WORDS))
+    bounds = " AND ".join(
+        [f"{m} >= {least}" for m, least, _ in RULES if least is not None] + [f"{m} <= {most}" for m, _, most in RULES if most is not None]
+    )
+    rules = ", ".join(f"round({m}, 9) AS {m}" for m, _, _ in RULES if m != "n_words")
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+g AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] || ' ' || ws[i + 3] || ' ' || ws[i + 4] AS gram
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+rep AS (SELECT doc_id, gram FROM g GROUP BY doc_id, gram HAVING count(*) > 1),
+pos AS (SELECT DISTINCT doc_id, unnest(range(i, i + 5)) AS p FROM g JOIN rep USING (doc_id, gram)),
+nr AS (SELECT doc_id, count(*) AS n_repeat FROM pos GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dups, count(*) FILTER (WHERE regexp_matches(line, '^[ \t]*[-*•]')) AS bullets,
+    count(*) FILTER (WHERE regexp_matches(line, '(\.\.\.|…)[ \t\r]*$')) AS dots
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+    coalesce(dups, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words,
+    {share("length(array_to_string(ws, ''))", "len(ws)")} AS mean_word_chars,
+    {share(words("regexp_matches(x, '[#*$%&|<>]')"), "len(ws)")} AS symbol_word_ratio,
+    {share(words(f"lower(trim(x, {quote(_PUNCT)})) IN ({stop})"), "len(ws)")} AS stop_word_ratio,
+    {share(words(r"regexp_full_match(x, '\p{Lu}{2}[^\p{Ll}]*')"), "len(ws)")} AS upper_word_ratio,
+    {share("len(ws) - " + words(r"regexp_full_match(x, '[^\p{L}]+')"), "len(ws)")} AS alpha_word_ratio,
+    {share("coalesce(dups, 0)", "coalesce(n_lines, 0)")} AS dup_line_ratio,
+    {share("coalesce(bullets, 0)", "coalesce(n_lines, 0)")} AS bullet_line_ratio,
+    {share("coalesce(dots, 0)", "coalesce(n_lines, 0)")} AS ellipsis_line_ratio
+  FROM w LEFT JOIN nr USING (doc_id) LEFT JOIN l USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND ({bounds}) AS kept, {rules} FROM m"""

@@ -19,4 +19,5 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan.oracle(),
+    "op2_quality_rules": quality_rules.oracle(),
 }
