@@ -92,7 +92,7 @@ def meters_to_tile(m, z) -> Column:
 def zoom_for_pixel_size(size, most: int = 32) -> Column:
     """The zoom below the first whose pixels are smaller than ``size`` (0 at least, most - 1 if none is)."""
     first = F.get(F.filter(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: col(size) > resolution(i)), F.lit(0))
-    return F.coalesce(F.greatest(first - 1, F.lit(0)), F.lit(most - 1)).cast("int")
+    return F.when(first.isNull(), F.lit(most - 1)).otherwise(F.greatest(first - 1, F.lit(0))).cast("int")
 
 
 def ground_resolution(z, lat) -> Column:

@@ -39,7 +39,7 @@ def text_matches(text, target: str) -> Column:
 
 def name_list(names) -> Column:
     """Trimmed, non-empty names of a comma list."""
-    return F.filter(F.transform(F.split(col(names), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(col(names), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def staged_name(name) -> Column:

@@ -69,3 +69,15 @@ def write_tiles(tiles: DataFrame, root: str, fmt: str = "png") -> DataFrame:
 
     located = tiles.select(tile_path("tileset", "z", "x", "y", fmt, root).alias("path"), "image")
     return located.mapInPandas(write, "path string, bytes long")
+
+
+def existing_tiles(spark, root: str, fmt: str = "png") -> DataFrame:
+    """(tileset, z, x, y) of the tile files below a folder; only their names are read."""
+    ending = ENDINGS[fmt]
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], "tileset string, z int, x int, y int")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{ending}").option("recursiveFileLookup", "true").load(root).select("path")
+    part = lambda i: F.regexp_extract("path", rf"([^/]+)/(\d+)/(\d+)/(\d+)\.{ending}$", i)
+    found = files.select(part(1).alias("tileset"), *[part(i).try_cast("int").alias(c) for i, c in ((2, "z"), (3, "x"), (4, "y"))])
+    return found.filter("z IS NOT NULL")

@@ -111,7 +111,7 @@ def meters_to_tile(t):
 
 
 @query(
-    f"SELECT p_partkey, coalesce(greatest(min(i) - 1, 0), 31)::INT AS zoom FROM part LEFT JOIN range(0, 32) r(i) ON p_retailprice * p_retailprice / 1000 > {res('i')} GROUP BY p_partkey"
+    f"SELECT p_partkey, CASE WHEN min(i) IS NULL THEN 31 ELSE greatest(min(i) - 1, 0) END::INT AS zoom FROM part LEFT JOIN range(0, 32) r(i) ON p_retailprice * p_retailprice / 1000 > {res('i')} GROUP BY p_partkey"
 )
 def zoom_for_pixel_size(t):
     return t.part.select("p_partkey", m.zoom_for_pixel_size(F.col("p_retailprice") * F.col("p_retailprice") / 1000).alias("zoom"))
@@ -132,15 +132,15 @@ def pack_tile(t):
     return _cells(t).select("event_id", m.pack_tile("x", "y").alias("key"))
 
 
-_GT = ["lon_min", F.lit(0.01), F.lit(0.002), "lat_max", F.lit(-0.003), F.lit(-0.01)]
-_OFF = "(id % 50)", "(id % 30)"
+def _gt() -> list:
+    return ["lon_min", F.lit(0.01), F.lit(0.002), "lat_max", F.lit(-0.003), F.lit(-0.01)]
 
 
 @query(
     with_("ds") + " SELECT id, round(lon_min + (id % 50) * 0.01::DOUBLE + (id % 30) * 0.002::DOUBLE, 6) AS gt0, round(lat_max + (id % 50) * -0.003::DOUBLE + (id % 30) * -0.01::DOUBLE, 6) AS gt3 FROM ds"
 )
 def window_geotransform(t):
-    gt = affine.shift_window(_GT, F.col("id") % 50, F.col("id") % 30)
+    gt = affine.shift_window(_gt(), F.col("id") % 50, F.col("id") % 30)
     return v.datasets(t).select("id", r(gt[0]).alias("gt0"), r(gt[3]).alias("gt3"))
 
 
@@ -153,7 +153,7 @@ def _corner_sql() -> str:
 
 @query(with_("ds") + f" SELECT id, {_corner_sql()} FROM ds")
 def rotated_bounds(t):
-    return v.datasets(t).select("id", *rounded(affine.rotated_bounds(_GT, F.col("id") % 50, F.col("id") % 30, F.lit(200), F.lit(100)), 6))
+    return v.datasets(t).select("id", *rounded(affine.rotated_bounds(_gt(), F.col("id") % 50, F.col("id") % 30, F.lit(200), F.lit(100)), 6))
 
 
 _PAIRS = f"""q AS (SELECT id, max_lod, lon_min, lat_min, lon_max, lat_max, {METERS} FROM ds),
