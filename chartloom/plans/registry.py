@@ -76,7 +76,7 @@ def _cells(t, z: int = 10) -> DataFrame:
 
 @query(
     with_("pt")
-    + f", c AS ({_CELL}), s AS (SELECT *, {res('z')} * 256 AS side FROM c) SELECT event_id, round(x * side - {O_}, 4) AS min_x, round({O_} - y * side - side, 4) AS min_y,"
+    + f", c AS ({_CELL}), s AS (SELECT *, {res('z')} * 256 AS side FROM c) SELECT event_id, round(x * side - {O_}, 4) AS min_x, round({O_} - y * side - side, 4) + 0.0 AS min_y,"
     f" round(x * side - {O_} + side, 4) AS max_x, round({O_} - y * side, 4) AS max_y FROM s"
 )
 def tile_bounds(t):
