@@ -80,7 +80,7 @@ def find_spans(text: str | None, encode, max_ratio: float = 2.0) -> list[tuple[s
     base = [(a, b) for _, a, b in out]
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
-        if any(x <= a and b <= y for x, y in base):
+        if any(x < b and a < y for x, y in base):
             continue
         if text[b : b + 1] in ("@", ":") or text[a - 1 : a] in ("@", "."):  # parts of addresses and URLs
             continue

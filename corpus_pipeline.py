@@ -46,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced by a mark; n_chars follows a changed text."""
     before = F.col("text")
-    clean = secret_scan.redact(docs.select(COLUMNS, before.alias("__before")))
+    clean = secret_scan.redact(docs.select(*COLUMNS, before.alias("__before")))
     changed = F.col("text") != F.col("__before")
     return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
