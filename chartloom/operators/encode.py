@@ -1,8 +1,7 @@
 """Tile images as bytes, and files of them.
 
-PNG is written here; JPEG by the JVM's image library on the driver's side is no
-option on executors, and no WebP encoder is at hand, so both raise an error that
-says so unless an encoder is given.
+PNG and JPEG are written here. No WebP encoder is at hand, so WebP raises an
+error that says so unless an encoder is given.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.mercator import TILE
 from chartloom.functions.text import ENDINGS, tile_path
+from chartloom.operators.jpeg import encode_jpeg
 
 
 def png(rgba: bytes, width: int = TILE, height: int = TILE) -> bytes:
@@ -28,7 +28,7 @@ def png(rgba: bytes, width: int = TILE, height: int = TILE) -> bytes:
 
 
 def encoder(fmt: str, given: dict[str, Callable] | None = None) -> Callable[[bytes], bytes]:
-    known = {"png": png} | (given or {})
+    known = {"png": png, "jpeg": encode_jpeg} | (given or {})
     if fmt not in ENDINGS:
         raise ValueError(f"unknown tile format {fmt!r}; choose from {', '.join(ENDINGS)}")
     if fmt not in known:

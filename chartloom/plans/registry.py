@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.functions import affine, text
+from chartloom.functions import affine, jsons, text
 from chartloom.functions import mercator as m
-from chartloom.operators import composite, encode, ingest, manifest, pyramid, raster, warp
+from chartloom.operators import composite, encode, ingest, jobs, manifest, pyramid, raster, warp
 from chartloom.operators import tilesets as ts
 from chartloom.plans import views as v
 from chartloom.plans.views import METERS, O_, ZOOMED, Tables, cover, res, tx, ty, with_
@@ -522,6 +522,12 @@ def encode_png(t):
     return encode.encode_tiles(tiles).select("x", F.length("image").alias("bytes"), F.sha2("rgba", 256).alias("rgba_sha256"))
 
 
+@query()
+def encode_jpeg(t):
+    tiles = composite.rgba(_drawn(t), ["x"])
+    return encode.encode_tiles(tiles, "jpeg").select("x", F.length("image").alias("bytes"), F.hex(F.substring("image", 1, 2)).alias("start"))
+
+
 _WARP = "(SELECT ds, x::INT AS x, y::INT AS y, -1000000.0 + (x + 0.5) * 200000.0 AS gx, 2200000.0 - (y + 0.5) * 200000.0 AS gy FROM (SELECT DISTINCT ds FROM rs), range(0, 16) a(x), range(0, 11) b(y))"
 
 
@@ -614,3 +620,18 @@ def status_counts(t):
 @query("SELECT event_id, (props->>'$.k')::INT AS k FROM events")
 def json_props(t):
     return t.events.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+@query("SELECT event_id, json_type(props) = 'OBJECT' AS is_object, len(json_keys(props))::INT AS keys, json_exists(props, '$.k') AS has_k FROM events")
+def json_shape(t):
+    return t.events.select("event_id", (jsons.kind("props") == "object").alias("is_object"), jsons.size("props").cast("int").alias("keys"), jsons.has("props", "$.k").alias("has_k"))
+
+
+@query("SELECT count(*) FILTER (WHERE o_orderkey % 4 <> 0)::BIGINT AS completed, count(*) FILTER (WHERE o_orderkey % 4 = 0)::BIGINT AS failed FROM orders")
+def job_results(t):
+    def work(row):
+        if row["job_index"] % 8 == 0:
+            raise ValueError("no such raster")
+        return row["job_index"] % 4 == 0
+
+    return ingest.status_counts(jobs.run_jobs(t.orders.select(F.col("o_orderkey").alias("job_index")), work))

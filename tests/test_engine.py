@@ -388,3 +388,54 @@ def test_stream_appends_new_tiles_once(spark, tmp_path):
 def test_a_png_written_here_is_well_formed():
     data = encode.png(bytes(4 * 4), 2, 2)
     assert data[:8] == b"\x89PNG\r\n\x1a\n" and data[-8:-4] == b"IEND" and io.BytesIO(data).read(4) == b"\x89PNG"
+
+
+# --- JSON and jobs
+
+
+def test_json(spark):
+    from chartloom.functions import jsons
+
+    texts = ['{"b": [1, 2], "a": "x // y"}', "[1, null]", "null", "1.5", '"s"', "true", "{", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    got = rows(df.select(jsons.kind("t"), jsons.size("t"), jsons.has("t", "$.b"), jsons.get("t", "$.b[1]", "int")))
+    assert [r[0] for r in got] == ["object", "array", "null", "number", "string", "boolean", None, None]
+    assert [r[1] for r in got] == [2, 2, None, None, None, None, None, None]
+    assert got[0][2:] == (True, 2) and got[1][2:] == (False, None)
+    one = lambda c: rows(spark.range(1).select(c))[0][0]
+    assert one(jsons.minify(F.lit('{ "a // b" : 1, /* x */ "c": 2 } // end'))) == '{"a // b":1,"c":2}'
+    assert one(jsons.equal(F.lit('{"a":1,"b":[1,2]}'), F.lit('{"b":[1,2],"a":1}'))) is True
+    assert one(jsons.equal(F.lit("[1,2]"), F.lit("[2,1]"))) is False
+    assert one(jsons.with_key(F.lit('{"a":1}'), "b", F.lit("[true]"))) == '{"a":1,"b":[true]}'
+    assert one(jsons.without_key(F.lit('{"a":1,"b":2}'), "a")) == '{"b":2}'
+    assert one(jsons.with_item(F.lit("[1,3]"), F.lit("2"), 1)) == "[1,2,3]" and one(jsons.without_item(F.lit("[1,2,3]"), 0)) == "[2,3]"
+
+
+def test_jobs_fail_as_rows(spark):
+    from chartloom.operators import jobs
+
+    df = spark.createDataFrame([(i,) for i in range(6)], "job_index long")
+    got = rows(jobs.run_jobs(df, lambda row: 1 // row["job_index"] and 0, parts=2), "job_index")
+    assert [r[1] for r in got] == [1, 0, 0, 0, 0, 0] and "zero" in got[0][2]
+
+    def broken():
+        raise RuntimeError("no licence")
+
+    assert {tuple(r)[1:] for r in jobs.run_jobs(df, lambda row: 0, broken).collect()} == {(1, "init: no licence")}
+
+
+@pytest.mark.parametrize("size", [(256, 256), (40, 23), (8, 8)])
+def test_jpeg_opens_in_spark(spark, tmp_path, size):
+    from chartloom.operators.jpeg import encode_jpeg
+
+    w, h = size
+    y, x = np.mgrid[0:h, 0:w]
+    rgba = np.stack([x * 255 // w, y * 255 // h, 128 + 60 * np.sin(x / 9) * np.cos(y / 7), np.full_like(x, 255)], -1).astype("u1")
+    rgba[: h // 4, : w // 4, :3] = 255
+    (tmp_path / "t.jpg").write_bytes(encode_jpeg(rgba.tobytes(), w, h))
+    image = spark.read.format("image").load(str(tmp_path)).select("image.*").first()
+    assert (image.width, image.height) == size
+    got = np.frombuffer(image.data, "u1").reshape(h, w, 3)[..., ::-1].astype(int)
+    assert np.abs(got - rgba[..., :3]).mean() < 6
+    (tmp_path / "t.jpg").write_bytes(encode_jpeg(np.random.default_rng(1).integers(0, 256, (h, w, 4), "u1").tobytes(), w, h, 98))
+    assert spark.read.format("image").load(str(tmp_path)).count() == 1
