@@ -332,22 +332,10 @@ def copies(media: DataFrame, data: str = "data", agree: int = AGREE) -> DataFram
     described = stage(features(media, data), "features")
     readable = described.filter(F.col("media_id").isNotNull() & F.col("digest").isNotNull())
     nodes = stage(readable.groupBy("digest").agg(F.min("media_id").alias("node"), F.first("places").alias("places"), F.first("tests").alias("tests")), "pictures")
-    members = table_keys(nodes)
-    several = members.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
-    members = stage(members.join(several, ["band", "key"], "left_semi"), "keys")
-    links = tested = None
-    classes = spark.createDataFrame([], "node long, class long")
-    for step in (near_dup.pivot_pairs, lambda m: near_dup.class_pivot_pairs(near_dup.mixed(m, classes)), lambda m: near_dup.rest_pairs(near_dup.mixed(m, classes))):
-        pairs = step(members)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        good = stage(confirmed(pairs, nodes, agree), "links")
-        links = good if links is None else links.unionByName(good)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        classes = stage(near_dup.components(links), "classes")
+    members = stage(near_dup.shared(table_keys(nodes)), "keys")
+    search = near_dup.Links(spark, lambda pairs: confirmed(pairs, nodes, agree))
+    search.search(members)
+    links, classes = search.links, search.classes
     found = nodes.select("digest", "node").join(classes, "node", "left").select("digest", "node", F.coalesce("class", "node").alias("class_id"))
     if links is None:
         found = found.withColumn("n_links", F.lit(0).cast("long"))

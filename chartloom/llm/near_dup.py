@@ -16,13 +16,18 @@
    each band (its pivot) is paired with all others, so a document meets up to
    BANDS different pivots, and a group of n copies costs n pairs for each band.
 4. Pairs are verified by their exact weighted Jaccard similarity (0.8 or more)
-   and components are found by large-star / small-star rounds in Spark.
-5. A key whose members are still in several components is not done: first a
-   pivot of each of up to ``PIVOTS`` of its components is paired with all
-   members of others, then every pair of members of different components that
-   are left is. So each pair that shares a band is either in one class or was
-   compared. Pairs whose samples agree in less than ``least - 0.2`` of all are
-   not verified: that is four standard errors below.
+   and components are found by large-star / small-star rounds in Spark. Pairs
+   whose samples agree in less than ``least - 0.2`` of all are not verified:
+   that is four standard errors below.
+5. A key whose members are then in several classes is looked at again: every
+   pair of different classes if it has SMALL members at most, else its members
+   with another pivot.
+6. Members of keys that are still mixed are similar, but not alike enough (a
+   group of copies that drift apart). They get finer keys, FINE of them from
+   FINE_ROWS samples each, which split such a group: at similarity 0.8 a pair
+   shares one with probability 0.99, at 0.6 a given one with 0.006. Steps 3 to 5
+   are done on these keys. So the pairs of a group grow with its size, not its
+   square.
 
 Result: one row for each input row with the class (the least doc_id in it).
 
@@ -47,7 +52,8 @@ from chartloom.llm.tokens import Words
 SHINGLE = 5
 BUCKET_BITS = 20
 BANDS, ROWS = 16, 5
-PIVOTS = 4
+SMALL = 6
+FINE, FINE_ROWS = 40, 10
 _TABLE_BITS = 16
 
 
@@ -201,11 +207,11 @@ class Sampler:
         return float(both / max(1e-300, wa.sum() + wb.sum() - both))
 
 
-def signatures(docs: DataFrame, shared) -> DataFrame:
+def signatures(docs: DataFrame, idf) -> DataFrame:
     """(doc_id, digest, bands, signature): bands and signature are null for a text without words."""
 
     def make():
-        sampler = kept("sampler", shared.value, Sampler)
+        sampler = kept("sampler", idf.value, Sampler)
         recent: dict[bytes, tuple] = {}
 
         def f(batch):
@@ -268,7 +274,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
     return map_arrow(both, "a long, b long", make, rows=4096)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, shared, least: float) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, idf, least: float) -> DataFrame:
     """Pairs (a, b) whose weighted Jaccard similarity is ``least`` or more."""
 
     def unpack(h, c):
@@ -276,7 +282,7 @@ def verified(pairs: DataFrame, sets: DataFrame, shared, least: float) -> DataFra
         return h, np.frombuffer(c, "<u4") if c else np.ones(len(h), "<u4")
 
     def make():
-        sampler = kept("sampler", shared.value, Sampler)
+        sampler = kept("sampler", idf.value, Sampler)
 
         def f(batch):
             a, b, ha, ca, hb, cb = (batch.column(c).to_pylist() for c in ("a", "b", "ha", "ca", "hb", "cb"))
@@ -290,7 +296,7 @@ def verified(pairs: DataFrame, sets: DataFrame, shared, least: float) -> DataFra
 
 
 def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
-    """(node, class): the least node of each component, for nodes that have a link. Links are (a, b)."""
+    """(node, class): the least node of each component, for all its nodes but that one. Links are (a, b)."""
     edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
     before = None
     for _ in range(most_rounds):
@@ -313,13 +319,10 @@ def _with_class(members: DataFrame, classes: DataFrame) -> DataFrame:
     return members.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
 
 
-def _spread(node, band, seed: int):
-    return F.xxhash64(node, band, F.lit(seed))
-
-
-def pivot_pairs(members: DataFrame) -> DataFrame:
+def pivot_pairs(members: DataFrame, seed: int = 1) -> DataFrame:
     """Each member of a key with the key's pivot. members: (band, key, node)."""
-    pivot = members.groupBy("band", "key").agg(F.min_by("node", _spread(F.col("node"), F.col("band"), 1)).alias("pivot"), F.count("*").alias("n")).filter("n > 1")
+    spread = F.xxhash64("node", "band", F.lit(seed))
+    pivot = members.groupBy("band", "key").agg(F.min_by("node", spread).alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     pairs = members.join(pivot, ["band", "key"]).filter("node != pivot")
     return pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
 
@@ -331,20 +334,72 @@ def mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
     return labelled.join(several.select("band", "key"), ["band", "key"], "left_semi")
 
 
-def class_pivot_pairs(left: DataFrame) -> DataFrame:
-    """Up to PIVOTS members of different classes of a key, with the key's members of other classes."""
-    first = left.groupBy("band", "key", "class").agg(F.min_by("node", _spread(F.col("node"), F.col("band"), 2)).alias("pivot"))
-    rank = F.row_number().over(Window.partitionBy("band", "key").orderBy(_spread(F.col("pivot"), F.col("band"), 3)))
-    pivots = first.withColumn("r", rank).filter(F.col("r") <= PIVOTS).select("band", "key", "pivot", F.col("class").alias("other"))
-    pairs = left.join(pivots, ["band", "key"]).filter("class != other")
-    return pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
+def second_pairs(left: DataFrame, small: int = SMALL) -> DataFrame:
+    """Pairs of members of different classes: all of them for small keys, those with another pivot for others."""
+    spread = F.xxhash64("node", "band", F.lit(2))
+    own = F.struct("node", "class")
+    keys = left.groupBy("band", "key").agg(F.count("*").alias("n"), F.min_by(own, spread).alias("o"))
+    sized = left.join(keys, ["band", "key"])
+    few = sized.filter(F.col("n") <= small).drop("o")
+    every = few.groupBy("band", "key").agg(F.collect_list(own).alias("os"))  # small members at most
+    pairs = sized.filter(F.col("n") > small).select("node", "class", "o")
+    pairs = pairs.unionByName(few.join(every, ["band", "key"]).select("node", "class", F.explode("os").alias("o"))).filter("class != o.class")
+    return pairs.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct()
+
+
+def fine_keys(nodes: DataFrame) -> DataFrame:
+    """(band, key, node) of (node, signature): hashes of fixed choices of samples."""
+
+    def make():
+        choice = np.random.default_rng(33).permuted(np.tile(np.arange(BANDS * ROWS), (FINE, 1)), axis=1)[:, :FINE_ROWS]
+        odd = np.random.default_rng(34).integers(0, 1 << 62, (FINE, FINE_ROWS)).astype("<u8") | np.uint64(1)
+
+        def f(batch):
+            own = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(batch.num_rows, -1).astype("<u8")
+            keys = _mix((_mix(own[:, choice] + np.uint64(1)) * odd).sum(2, dtype="<u8")).view("<i8")
+            return {"band": np.tile(np.arange(BANDS, BANDS + FINE), batch.num_rows), "key": keys.ravel(), "node": np.repeat(batch.column("node").to_numpy(), FINE)}
+
+        return f
+
+    return map_arrow(nodes.select("node", "signature"), "band int, key long, node long", make)
+
+
+def shared(members: DataFrame) -> DataFrame:
+    """Members of keys that have several."""
+    keys = members.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
+    return members.join(keys, ["band", "key"], "left_semi")
+
+
+class Links:
+    """Verified links so far, the pairs that were tested, and the classes that follow."""
+
+    def __init__(self, spark, verify):
+        self.verify, self.links, self.tested = verify, None, None
+        self.classes = spark.createDataFrame([], "node long, class long")
 
+    def test(self, pairs: DataFrame) -> bool:
+        """Tests pairs (a, b) that were not tested yet; whether any is a link."""
+        if self.tested is not None:
+            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
+        if pairs.isEmpty():
+            return False
+        good = stage(self.verify(pairs), "links")
+        if good.isEmpty():
+            return False
+        self.links = good if self.links is None else self.links.unionByName(good)
+        self.classes = stage(components(self.links), "classes")
+        return True
 
-def rest_pairs(left: DataFrame) -> DataFrame:
-    """Every pair of members of a key that are in different classes."""
-    other = left.select("band", "key", F.col("node").alias("b"), F.col("class").alias("other"))
-    pairs = left.join(other, ["band", "key"]).filter("class != other and node > b")
-    return pairs.select(F.col("node").alias("a"), "b").distinct()
+    def search(self, members: DataFrame) -> DataFrame:
+        """Tests the candidates of keys (band, key, node); gives the members of keys that stay mixed."""
+        self.test(pivot_pairs(members))
+        left = stage(mixed(members, self.classes), "mixed")
+        if left.isEmpty():
+            return left
+        self.test(second_pairs(left))
+        return mixed(left.select("band", "key", "node"), self.classes)
 
 
 def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
@@ -352,35 +407,24 @@ def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     idf, _ = frequency_weights(docs)
-    shared = spark.sparkContext.broadcast(idf)  # 4 MB, whatever the corpus
+    idf_ = spark.sparkContext.broadcast(idf)  # 4 MB, whatever the corpus
     named = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    signed = stage(signatures(named, shared), "signatures")
+    signed = stage(signatures(named, idf_), "signatures")
     texts = stage(signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "texts")
     nodes = texts.filter(F.col("bands").isNotNull()).select("node", "signature")
-    members = texts.filter(F.col("bands").isNotNull()).select("node", F.posexplode("bands").alias("band", "key"))
-    shared_keys = members.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
-    members = stage(members.join(shared_keys, ["band", "key"], "left_semi"), "members")
-
-    sets = None
-    links = None
-    tested = None
-    classes = spark.createDataFrame([], "node long, class long")
-    for step in (pivot_pairs, lambda m: class_pivot_pairs(mixed(m, classes)), lambda m: rest_pairs(mixed(m, classes))):
-        pairs = step(members)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = stage(likely(pairs, nodes, least - 0.2), "pairs")
-        if found.isEmpty():
-            continue
-        if sets is None:
-            # all nodes that share a key with another: their texts are read once more, and their shingles kept
-            wanted = members.select("node").distinct()
-            chosen = named.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
-            sets = stage(shingle_sets(chosen).dropDuplicates(["node"]), "sets")
-        good = stage(verified(found, sets, shared, least), "links")
-        links = good if links is None else links.unionByName(good)
-        tested = found if tested is None else tested.unionByName(found)
-        classes = stage(components(links), "classes")
+    members = stage(shared(texts.filter(F.col("bands").isNotNull()).select("node", F.posexplode("bands").alias("band", "key"))), "members")
+
+    # Texts of all nodes that share a key are read once more, and their shingles kept. The join is of one kind at
+    # every size, so that what it moves grows with the input.
+    wanted = members.select("node").distinct().hint("merge")
+    chosen = named.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
+    sets = stage(shingle_sets(chosen).dropDuplicates(["node"]), "sets")
+    links = Links(spark, lambda pairs: verified(likely(pairs, nodes, least - 0.2), sets, idf_, least))
+    left = links.search(members)
+    rest = left.select("node").distinct()
+    finer = stage(shared(fine_keys(nodes.join(rest, "node", "left_semi"))), "finer")
+    links.search(finer)
+    classes = links.classes
     per_text = texts.join(classes, "node", "left").select("digest", F.coalesce("class", "node").alias("class_id"))
     # a doc_id that repeats with other texts joins their classes
     alike = signed.join(per_text, "digest").select("doc_id", "class_id")
