@@ -117,8 +117,32 @@ def target_grid(areas: DataFrame, by: list[str], res, src_crs, dst_crs, src_gt:
 
 
 def warp(pixels: DataFrame, grid: DataFrame, by: list[str], value: str, method: str = "bilinear") -> DataFrame:
-    """Source pixels on a target grid."""
+    """Source pixels on a target grid: nearest, or a kernel around each place."""
     pyramid.check_method(method)
-    if method in ("nearest", "average", "mode"):
+    if method in ("average", "mode"):
+        raise ValueError(f"{method} gathers the source pixels of each target pixel; use gather()")
+    if method == "nearest":
         return pyramid.resample_nearest(grid, pixels, by, value)
     return pyramid.resample_kernel(grid, pixels, by, value, method)
+
+
+def gather(pixels: DataFrame, areas: DataFrame, by: list[str], value: str, res, src_crs, dst_crs, src_gt: list, method: str = "average") -> DataFrame:
+    """(by, x, y, value): the average or mode of the source pixels whose centres fall into each target pixel.
+
+    areas: (by, min_x, min_y, max_x, max_y) in dst_crs. One pass over the source, without a join of pixels.
+    """
+    if method not in ("average", "mode"):
+        raise ValueError(f"{method} is no gathering method")
+    res = m.col(res)
+    cx, cy = F.col("px") + 0.5, F.col("py") + 0.5
+    x0, a, b, y0, c, d = map(m.col, src_gt)
+    gx, gy = transform(src_crs, dst_crs, x0 + cx * a + cy * b, y0 + cx * c + cy * d)
+    at = pixels.join(areas, by).withColumns({"__gx": gx, "__gy": gy})
+    inside = (F.col("__gx") >= F.col("min_x")) & (F.col("__gx") < F.col("max_x")) & (F.col("__gy") > F.col("min_y")) & (F.col("__gy") <= F.col("max_y"))
+    at = at.filter(inside & F.col(value).isNotNull())
+    cell = {"x": F.floor((F.col("__gx") - F.col("min_x")) / res).cast("int"), "y": F.floor((F.col("max_y") - F.col("__gy")) / res).cast("int")}
+    at = at.select(*by, *[e.alias(k) for k, e in cell.items()], value)
+    if method == "average":
+        return at.groupBy(*by, "x", "y").agg(F.avg(value).alias(value))
+    counts = at.groupBy(*by, "x", "y", value).agg(F.count("*").alias("__n"))
+    return counts.groupBy(*by, "x", "y").agg(F.max_by(value, F.struct("__n", -F.col(value))).alias(value))

@@ -542,6 +542,17 @@ def warp_mercator(t):
     return warp.warp(v.raster(t), grid, ["ds"], "v", "nearest")
 
 
+@query(
+    with_("rs")
+    + f""", g AS (SELECT ds, v, (-9.0 + (px + 0.5) * 1.2::DOUBLE) * {O_} / 180.0 AS gx, asinh(tan(radians(19.0 - (py + 0.5) * 1.2::DOUBLE))) * 6378137.0 AS gy FROM rs)
+ SELECT ds, floor((gx + 1000000.0) / 500000.0)::INT AS x, floor((2200000.0 - gy) / 500000.0)::INT AS y, round(avg(v), 6) AS v FROM g WHERE gx >= -1000000 AND gx < 2200000 AND gy > 0 AND gy <= 2200000 GROUP BY ALL"""
+)
+def warp_average(t):
+    area = v.raster(t).select("ds").distinct().select("ds", F.lit(-1000000.0).alias("min_x"), F.lit(0.0).alias("min_y"), F.lit(2200000.0).alias("max_x"), F.lit(2200000.0).alias("max_y"))
+    gt = [F.lit(x) for x in (-9.0, 1.2, 0.0, 19.0, 0.0, -1.2)]
+    return warp.gather(v.raster(t), area, ["ds"], "v", F.lit(500000.0), 4326, 3857, gt).withColumn("v", F.round("v", 6))
+
+
 @query()
 def lambert_round_trip(t):
     p = warp.Lambert(lat0=38.0, lon0=-96.0, lat1=33.0, lat2=45.0)

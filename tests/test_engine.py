@@ -439,3 +439,13 @@ def test_jpeg_opens_in_spark(spark, tmp_path, size):
     assert np.abs(got - rgba[..., :3]).mean() < 6
     (tmp_path / "t.jpg").write_bytes(encode_jpeg(np.random.default_rng(1).integers(0, 256, (h, w, 4), "u1").tobytes(), w, h, 98))
     assert spark.read.format("image").load(str(tmp_path)).count() == 1
+
+
+def test_gather_takes_average_and_mode(spark):
+    df = spark.createDataFrame([(0, x, y, float(v)) for (x, y), v in {(0, 0): 1, (1, 0): 1, (0, 1): 4, (1, 1): 9, (2, 0): 5, (3, 0): 7}.items()], "ds int, px int, py int, v double")
+    area = spark.createDataFrame([(0, 0.0, -4.0, 4.0, 0.0)], "ds int, min_x double, min_y double, max_x double, max_y double")
+    gt = [F.lit(float(v)) for v in (0, 1, 0, 0, 0, -1)]
+    take = lambda method: {(r.x, r.y): r.v for r in warp.gather(df, area, ["ds"], "v", F.lit(2.0), 4326, 4326, gt, method).collect()}
+    assert take("average") == {(0, 0): 3.75, (1, 0): 6.0} and take("mode") == {(0, 0): 1.0, (1, 0): 5.0}
+    with pytest.raises(ValueError):
+        warp.warp(df, area, ["ds"], "v", "mode")
