@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -80,19 +83,29 @@ def map_arrow(
     return df.mapInArrow(run, schema)
 
 
-_KEPT: dict[str, tuple] = {}
+_KEPT: list[tuple] = []
 
 
 def kept(name: str, source, build: Callable):
-    """build(source), made once for each Python worker while the source stays the same object.
+    """build(source), kept by this Python worker until another table is asked for.
 
-    A broadcast value is one object in a worker. Large tables made anew for each
-    task would leave its memory in pieces.
+    A worker serves tasks of many queries one after the other. It keeps a single
+    large table, made once for many tasks, and gives the memory of the one
+    before back. A broadcast value is one object in a worker; strings are compared.
     """
-    if name not in _KEPT or _KEPT[name][0] is not source:
-        _KEPT.pop(name, None)
-        _KEPT[name] = (source, build(source))
-    return _KEPT[name][1]
+    same = _KEPT and _KEPT[0][0] == name and (_KEPT[0][1] is source or isinstance(source, str) and _KEPT[0][1] == source)
+    if not same:
+        _KEPT.clear()
+        give_back()
+        _KEPT.append((name, source, build(source)))
+    return _KEPT[0][2]
+
+
+def give_back() -> None:
+    """Returns freed memory to the system where the C library can."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -116,7 +116,7 @@ class Forward:
             alpha[on, j + 1] = total
         return alpha
 
-    def score(self, words: list[str], chance: np.ndarray, at_once: int = 20_000) -> np.ndarray:
+    def score(self, words: list[str], chance: np.ndarray, at_once: int = 8_000) -> np.ndarray:
         """Log-probability of each word (small letters, without the mark) in each language."""
         out = np.zeros((len(words), chance.shape[1]))
         parts, owner = [], []

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartloom.llm.common import bound_batches
+
 KINDS = ("assign", "access", "hex", "random")
 #: Which of the base kinds needs which number of characters, and of which group.
 BASE = (
@@ -102,6 +104,7 @@ def scan(
     def spans(value):
         return find_spans(value, _vocabulary(vocabulary).encode_ordinary, max_ratio)
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn("spans", spans(F.col(text)))
 
 
@@ -122,6 +125,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", **option
             at = max(at, b)
         return "".join([*out, value[at:]])
 
+    bound_batches(docs.sparkSession)
     return docs.withColumn(text, clean(F.col(text)))
 
 

@@ -15,12 +15,13 @@ of up to 16 bytes as two integers, longer ones as bytes.
 
 from __future__ import annotations
 
-import functools
 import os
 import re
 
 import numpy as np
 
+from chartloom.llm.common import kept
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: One byte a character; texts are safe if they have no other characters than these.
@@ -381,7 +382,6 @@ class Counts(Encoder):
         return names, n
 
 
-@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One encoder for each file and Python worker."""
-    return Encoder(path)
+    """The encoder of a file that this Python worker keeps."""
+    return kept("encoder", path, Encoder)
