@@ -5,7 +5,7 @@ Encoding, in four steps:
 1. Texts are split into words and counted, in each task first and then over
    all tasks: the distinct-word table.
 2. The most frequent words (``hot_words`` at most, none longer than LONG
-   characters, so at most about 100 MB in the worst case and some 10 MB in
+   characters, so at most about 100 MB in the worst case and some 15 MB in
    practice) are encoded and broadcast. They are nine tenths of all text and
    every hot key.
 3. Each other occurrence becomes a row (document, position, word). Rows meet by
@@ -73,7 +73,7 @@ def hot_words(counts: DataFrame, most: int) -> list[str]:
     return [] if least is None else [r.word for r in counts.filter(level >= least).select("word").collect()]
 
 
-def encode(docs: DataFrame, vocabulary: str = PATH, most_hot: int = 1 << 18, text: str = "text", finish=None, schema: str = "ids binary") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str = PATH, most_hot: int = 1 << 19, text: str = "text", finish=None, schema: str = "ids binary") -> DataFrame:
     """(doc_id, ids) of every document, or with finish(ids) -> tuple, (doc_id, *schema)."""
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("h"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
