@@ -68,7 +68,7 @@ class Forward:
 
         self.table = Table(len(pieces))
         if pieces:
-            grid = self._grid([p for p in pieces], PIECE)
+            grid = self._grid(pieces, PIECE)
             low, high = self._keys(grid, 0, PIECE)
             self.table.add(low, high)
 
@@ -182,7 +182,6 @@ def learn(
     docs: DataFrame, docs_per_language: int = 1500, words_per_language: int = 25_000, path: str = PATH
 ) -> Model:
     """A model from (doc_id, text, lang) rows whose lang is not null."""
-    spark = docs.sparkSession
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     picked = first_of(known.select("doc_id", "lang"), ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], docs_per_language).distinct()
     sample = known.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").select("lang", "text")  # docs_per_language ids for each language
@@ -203,7 +202,6 @@ def learn(
     found: dict[str, dict[str, int]] = {}
     for r in counts.collect():  # words_per_language rows for each language
         found.setdefault(r.lang, {})[r.word] = r.n
-    del spark
     return fit(found, vocabulary(path))
 
 

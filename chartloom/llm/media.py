@@ -196,7 +196,6 @@ def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
             mx += ox * v
         angle = np.arctan2(my, mx)
         found.append((n, strength, level, y, xx, angle, x))
-    out_places: list[list] = [[] for _ in range(count)]
     if not found:
         return [(np.zeros((0, 4), "f4"), np.zeros((0, BITS // 8), "u1"))] * count
     n = np.concatenate([f[0] for f in found])
@@ -221,7 +220,6 @@ def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         bits.append(np.packbits(v[:, :, 0] < v[:, :, 1], axis=1))
         places.append(np.stack([x_ / SCALES[level], yy / SCALES[level], np.full(len(mine), SCALES[level]), a], 1).astype("f4"))
         owner.append(n_[mine])
-    del out_places
     places, bits, owner = np.concatenate(places), np.concatenate(bits), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
     cuts = np.searchsorted(owner[order], np.arange(count + 1))
