@@ -51,6 +51,9 @@ from chartloom.llm.tokens import Words
 
 SHINGLE = 5
 BUCKET_BITS = 20
+#: How far rarity raises a weight. A plain idf would push the members of a large group of copies apart: what they share
+#: is frequent because of the group, and what each changed is rare.
+GAIN = 0.125
 BANDS, ROWS = 16, 5
 SMALL = 6
 FINE, FINE_ROWS = 40, 10
@@ -110,6 +113,11 @@ def shingles(texts: list[str], size: int = SHINGLE) -> list[tuple[np.ndarray, np
     return out
 
 
+def smooth_idf(df: np.ndarray, n: int, gain: float = GAIN) -> np.ndarray:
+    """Between 1 (in all of n documents) and about 1 + gain (in one)."""
+    return (1 + gain * np.log((n + 1) / (np.minimum(df, n) + 1)) / np.log(n + 2)).astype("f4")
+
+
 def frequency_weights(docs: DataFrame) -> tuple[np.ndarray, int]:
     """The smoothed idf of each counter, and the number of documents, over all documents."""
     pieces = 64
@@ -157,8 +165,7 @@ def frequency_weights(docs: DataFrame) -> tuple[np.ndarray, int]:
             n = int(own[0])
         else:
             df[r.piece * width : (r.piece + 1) * width] = own
-    smooth = 1 + np.log((n + 1) / (np.minimum(df, n) + 1)) / np.log(n + 2)
-    return smooth.astype("f4"), n
+    return smooth_idf(df, n), n
 
 
 class Sampler:
@@ -419,7 +426,7 @@ def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     wanted = members.select("node").distinct().hint("merge")
     chosen = named.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
     sets = stage(shingle_sets(chosen).dropDuplicates(["node"]), "sets")
-    links = Links(spark, lambda pairs: verified(likely(pairs, nodes, least - 0.2), sets, idf_, least))
+    links = Links(spark, lambda pairs: verified(stage(likely(pairs, nodes, least - 0.2), "likely"), sets, idf_, least))
     left = links.search(members)
     rest = left.select("node").distinct()
     finer = stage(shared(fine_keys(nodes.join(rest, "node", "left_semi"))), "finer")

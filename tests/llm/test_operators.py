@@ -266,7 +266,7 @@ def plain_classes(texts, least=0.8):
     for s in sets:
         if s is not None:
             np.add.at(df, s[0] >> np.uint32(32 - near_dup.BUCKET_BITS), 1)
-    idf = (1 + np.log((n + 1) / (np.minimum(df, n) + 1)) / np.log(n + 2)).astype("f4")
+    idf = near_dup.smooth_idf(df, n)
     sampler = near_dup.Sampler(idf, 1)
     parent = list(range(len(texts)))
 
