@@ -40,7 +40,8 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
-_NAME = re.compile(r"(?:[a-z]+|[A-Z][a-z]*|[0-9]{1,4})(?:[_/=-]*(?:[a-z]+|[A-Z][a-z]+|[0-9]{1,4}))*\Z")
+#: Words and short numbers with separators between them. Possessive, and no two ways to read a word: time is linear.
+_NAME = re.compile(r"[_/=-]*+(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+|[0-9]{1,4}+)(?:[_/=-]++(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+|[0-9]{1,4}+))*+[_/=-]*+\Z")
 
 SPAN = T.ArrayType(
     T.StructType(

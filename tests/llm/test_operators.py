@@ -4,6 +4,8 @@ import functools
 import hashlib
 import math
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -377,6 +379,13 @@ def test_secrets(spark, docs, none):
     assert clean[0] == '[secret] and [secret]" then' and clean[1:] == [None, "fine"]
 
 
+def test_long_words_take_linear_time():
+    texts = ["a" * 5000 + "-FAQ", "src/main/java/com/example/projectnames/" * 50, "long-attribute-name-" * 250 + "=", "a1" * 2500 + "-FAQ"]
+    code = "import sys; from chartloom.llm import secret_scan as s; s.find_spans(sys.stdin.read(), lambda w: [0])"
+    for text in texts:  # in a process of its own: a regex that goes back and forth cannot be stopped from within
+        subprocess.run([sys.executable, "-c", code], input=text, text=True, timeout=60, check=True)
+
+
 # --- 7 languages
 
 
