@@ -4,8 +4,8 @@ Prose costs few tokens for its length under a vocabulary learned from prose;
 a random string costs many. A candidate word of ``min_len`` characters or more
 is reported as kind ``random`` when it has fewer than ``max_ratio`` characters
 for each token, unless it is a known digest (a whole hexadecimal digest of the
-usual lengths, as of a commit or checksum) or a known identifier (UUID, e-mail
-address, URL, path, dotted name, number). Patterns (assign, access, hex) always stay.
+usual lengths, as of a commit or checksum) or a known identifier (UUID, number,
+words and short numbers with separators between them). Patterns (assign, access, hex) always stay.
 
 Edge cases: a null text has no span; so has an empty one. Texts are scanned
 whole, however long. Repeated rows give repeated results. Other columns of the
@@ -42,6 +42,8 @@ _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 #: Words and short numbers with separators between them. Possessive, and no two ways to read a word: time is linear.
 _NAME = re.compile(r"[_/=-]*+(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+|[0-9]{1,4}+)(?:[_/=-]++(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+|[0-9]{1,4}+))*+[_/=-]*+\Z")
+_PART = re.compile(r"[A-Za-z0-9]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+")
 
 SPAN = T.ArrayType(
     T.StructType(
@@ -59,11 +61,17 @@ def _vocabulary(path: str):
     return tiktoken.Encoding("scan", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _known(word: str) -> bool:
-    """Digests of the usual lengths, UUIDs, and names made of words and short numbers."""
+def _known(word: str, encode, max_ratio: float) -> bool:
+    """Digests of the usual lengths, UUIDs, and names made of words and short numbers with separators between."""
     if len(word) in DIGEST_LENGTHS and _DIGEST.match(word):
         return True
-    return bool(_UUID.match(word) or _NAME.match(word) or word.strip("0123456789-_=/+") == "")
+    if _UUID.match(word) or word.strip("0123456789-_=/+") == "":
+        return True
+    if not _NAME.match(word):
+        return False
+    parts = _WORD.findall(word)
+    long = [w for w in parts if len(w) > 3]  # shorter ones tell nothing
+    return len(_PART.findall(word)) > 1 and sum(map(len, long)) >= max_ratio * sum(len(encode(w)) for w in long)
 
 
 def find_spans(text: str | None, encode, max_ratio: float = 2.0) -> list[tuple[str, int, int]]:
@@ -88,7 +96,7 @@ def find_spans(text: str | None, encode, max_ratio: float = 2.0) -> list[tuple[s
         if text[b : b + 1] in ("@", ":") or text[a - 1 : a] in ("@", "."):  # parts of addresses and URLs
             continue
         word = m.group()
-        if not _known(word) and len(word) < max_ratio * len(encode(word)):
+        if not _known(word, encode, max_ratio) and len(word) < max_ratio * len(encode(word)):
             out.append(("random", a, b))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

@@ -379,6 +379,19 @@ def test_secrets(spark, docs, none):
     assert clean[0] == '[secret] and [secret]" then' and clean[1:] == [None, "fine"]
 
 
+def random_spans(text):
+    encode = secret_scan._vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode_ordinary
+    return [text[a:b] for k, a, b in secret_scan.find_spans(text, encode) if k == "random"]
+
+
+def test_secrets_of_small_letters_and_digits():
+    keys = ["x7k2m9q4w1z8p3v6n5b0", "9f8e7d6c5b4a39281706f", "k3j9x0q8w7e6r5t4y3u2i1o0", "qzxkvjwpfhgbtmcrdnlysaeoiu", "qzxkv-jwpfhg-btmcrd-nlysaeoiu"]
+    for key in keys:
+        assert random_spans(f"the key {key} is it") == [key]
+    names = ["img_2024_01_02_thumb_12", "some_long_snake_case_identifier_name", "thequickbrownfoxjumpsoverthelazydogs", "/src/main/java/com/example/ProjectNames/"]
+    assert random_spans(" ".join(names)) == []
+
+
 def test_long_words_take_linear_time():
     texts = ["a" * 5000 + "-FAQ", "src/main/java/com/example/projectnames/" * 50, "long-attribute-name-" * 250 + "=", "a1" * 2500 + "-FAQ"]
     code = "import sys; from chartloom.llm import secret_scan as s; s.find_spans(sys.stdin.read(), lambda w: [0])"
