@@ -5,7 +5,9 @@ a random string costs many. A candidate word of ``min_len`` characters or more
 is reported as kind ``random`` when it has fewer than ``max_ratio`` characters
 for each token, unless it is a known digest (a whole hexadecimal digest of the
 usual lengths, as of a commit or checksum) or a known identifier (UUID, number,
-words and short numbers with separators between them). Patterns (assign, access, hex) always stay.
+words and short numbers with separators between them). E-mail addresses and the
+hosts and paths of URLs are left out whole; their user-info, queries and all
+other text next to dots, colons and at signs are tested part by part. Patterns (assign, access, hex) always stay.
 
 Edge cases: a null text has no span; so has an empty one. Texts are scanned
 whole, however long. Repeated rows give repeated results. Other columns of the
@@ -44,6 +46,10 @@ _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}\Z")
 _NAME = re.compile(r"[_/=-]*+(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+|[0-9]{1,4}+)(?:[_/=-]++(?:[A-Z]?[a-z]++(?:[A-Z][a-z]++)*+|[0-9]{1,4}+))*+[_/=-]*+\Z")
 _PART = re.compile(r"[A-Za-z0-9]+")
 _WORD = re.compile(r"[A-Z]?[a-z]+")
+#: Group 1: host, port and path. Possessive, so that time is linear.
+_URL = re.compile(r"""://(?:[^\s/?\#@"'<>]*+@)?+([A-Za-z0-9.-]++(?::[0-9]++)?+(?:/[^\s?\#"'<>]*+)?+)""")
+_DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 SPAN = T.ArrayType(
     T.StructType(
@@ -74,6 +80,23 @@ def _known(word: str, encode, max_ratio: float) -> bool:
     return len(_PART.findall(word)) > 1 and sum(map(len, long)) >= max_ratio * sum(len(encode(w)) for w in long)
 
 
+def _addresses(text: str) -> list[tuple[int, int]]:
+    """Spans of e-mail addresses and of URLs' schemes, hosts and paths, in order. User-info, query and fragment are left out."""
+    out = []
+    if "://" in text:
+        for m in _URL.finditer(text):
+            out += [(m.start(), m.start() + 3), m.span(1)]
+    if "@" in text:
+        for m in _DOMAIN.finditer(text):
+            a = m.start()
+            while a > 0 and m.start() - a <= 64 and text[a - 1] in _LOCAL:
+                a -= 1
+            # a local part has 64 characters at most; with a path behind, it is the user of a host
+            if 0 < m.start() - a <= 64 and text[m.end() : m.end() + 1] not in (":", "/"):
+                out.append((a, m.end()))
+    return sorted(out)
+
+
 def find_spans(text: str | None, encode, max_ratio: float = 2.0) -> list[tuple[str, int, int]]:
     """All spans of one text as (kind, start, end), by start and then kind, in code points."""
     if not text:
@@ -89,15 +112,18 @@ def find_spans(text: str | None, encode, max_ratio: float = 2.0) -> list[tuple[s
             if b - a >= least:
                 out.append((kind, m.start(), m.end()))
     base = [(a, b) for _, a, b in out]
-    for m in _CANDIDATE.finditer(text):
-        a, b = m.span()
-        if any(x < b and a < y for x, y in base):
-            continue
-        if text[b : b + 1] in ("@", ":") or text[a - 1 : a] in ("@", "."):  # parts of addresses and URLs
-            continue
-        word = m.group()
-        if not _known(word, encode, max_ratio) and len(word) < max_ratio * len(encode(word)):
-            out.append(("random", a, b))
+    if not _CANDIDATE.search(text):
+        return out if len(out) < 2 else sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+    at = 0
+    for x, y in [*_addresses(text), (len(text), len(text))]:
+        for m in _CANDIDATE.finditer(text, at, max(at, x)):
+            a, b = m.span()
+            if any(x < b and a < y for x, y in base):
+                continue
+            word = m.group()
+            if not _known(word, encode, max_ratio) and len(word) < max_ratio * len(encode(word)):
+                out.append(("random", a, b))
+        at = max(at, y)
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

@@ -392,8 +392,19 @@ def test_secrets_of_small_letters_and_digits():
     assert random_spans(" ".join(names)) == []
 
 
+def test_secrets_next_to_dots_colons_and_at_signs():
+    head, body, sign = "eyJhbGciOiJIUzI1NiIsInR5cCI6IkpXVCJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIiwibmFtZSI6Ikpv", "SflKxwRJSMeKKF2QT4fwpMeJf36POk6yJV_adQssw5c"
+    assert random_spans(f"Bearer {head}.{body}.{sign}") == [head, body, sign]
+    key = "ghp_q7Zx8Qp3LmV7Rt2Wc9Kj4Hn6Bd1"
+    for text in (f"git clone https://{key}@github.com/some/repository.git", f"https://user:{key}@example.com:8080/", f"{key}: mine", f"me@{key}", f".{key}", f"git@{key}@github.com:a/b"):
+        assert random_spans(text) == [key]
+    assert random_spans(f"https://example.com/a?key={key}#x") == [f"key={key}"]
+    known = ["https://example.com/Zx8Qp3LmV7Rt2Wc9Kj4Hn6Bd1", "Zx8Qp3LmV7Rt2Wc9Kj4Hn6Bd1@mail.example.com", "http://x7k2m9q4w1z8p3v6n5b0qq.example.org"]
+    assert random_spans(" ".join(known)) == []
+
+
 def test_long_words_take_linear_time():
-    texts = ["a" * 5000 + "-FAQ", "src/main/java/com/example/projectnames/" * 50, "long-attribute-name-" * 250 + "=", "a1" * 2500 + "-FAQ"]
+    texts = ["a" * 5000 + "-FAQ", "src/main/java/com/example/projectnames/" * 50, "long-attribute-name-" * 250 + "=", "a1" * 2500 + "-FAQ", "a://" * 2500 + "b" * 5000, "b" * 5000 + "@a.b" * 2500]
     code = "import sys; from chartloom.llm import secret_scan as s; s.find_spans(sys.stdin.read(), lambda w: [0])"
     for text in texts:  # in a process of its own: a regex that goes back and forth cannot be stopped from within
         subprocess.run([sys.executable, "-c", code], input=text, text=True, timeout=60, check=True)
