@@ -331,7 +331,7 @@ def copies(media: DataFrame, data: str = "data", agree: int = AGREE) -> DataFram
     readable = described.filter(F.col("media_id").isNotNull() & F.col("digest").isNotNull())
     nodes = stage(readable.groupBy("digest").agg(F.min("media_id").alias("node"), F.first("places").alias("places"), F.first("tests").alias("tests")), "pictures")
     members = stage(near_dup.shared(table_keys(nodes)), "keys")
-    search = near_dup.Links(spark, lambda pairs: confirmed(pairs, nodes, agree))
+    search = near_dup.Links(spark, lambda pairs: confirmed(pairs, nodes, agree), every=True)
     search.search(members)
     links, classes = search.links, search.classes
     found = nodes.select("digest", "node").join(classes, "node", "left").select("digest", "node", F.coalesce("class", "node").alias("class_id"))

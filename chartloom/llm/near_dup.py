@@ -28,6 +28,10 @@
    shares one with probability 0.99, at 0.6 a given one with 0.006. Steps 3 to 5
    are done on these keys. So the pairs of a group grow with its size, not its
    square.
+7. What is still mixed after that is compared whole: in each key of step 3 with
+   more than SMALL members, those outside its largest class with all others of
+   other classes, in blocks. So each pair that shares a band is in one class or
+   was compared.
 
 Result: one row for each input row with the class (the least doc_id in it).
 
@@ -57,6 +61,8 @@ GAIN = 0.125
 BANDS, ROWS = 16, 5
 SMALL = 6
 FINE, FINE_ROWS = 40, 10
+#: Nodes, and bytes of their shingles, that are compared at once with as many others.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 _TABLE_BITS = 16
 
 
@@ -354,6 +360,90 @@ def second_pairs(left: DataFrame, small: int = SMALL) -> DataFrame:
     return pairs.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct()
 
 
+def block_pairs(left: DataFrame, sets: DataFrame, idf, least: float, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between members of different classes of keys of more than ``small`` members: all that join classes.
+
+    left: (band, key, node, class). Those outside a key's largest class meet all its members, in blocks of about ``block``
+    nodes or BLOCK_BYTES: what is moved grows with the number of blocks, not of pairs. A block's similarities are one
+    product of matrices; those near ``least`` or above it are computed once more as ``verified`` does, unless links found
+    in the same block have joined both classes already.
+    """
+
+    def links(table):
+        import pyarrow as pa
+
+        sampler = kept("sampler", idf.value, Sampler)
+        side, node, label = (table.column(c).to_numpy() for c in ("side", "node", "class"))
+        ia, ib = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        a, b = [], []
+        if len(ia) and len(ib) and not (label == label[0]).all():
+            hashes, counts = (table.column(c).to_pylist() for c in ("hashes", "counts"))
+            own = []
+            for h, c in zip(hashes, counts, strict=True):
+                h = np.frombuffer(h, "<u4")
+                own.append((h, np.frombuffer(c, "<u4") if c else np.ones(len(h), "<u4")))
+            total = np.array([sampler.weights(*x).sum(dtype="f8") for x in own])
+            both = common_weight([own[i] for i in ia], [own[i] for i in ib], sampler.idf)
+            alike = both >= (least - 1e-3) * (total[ia][:, None] + total[ib][None, :] - both)
+            parent = {c: c for c in label.tolist()}
+
+            def find(c):
+                while parent[c] != c:
+                    parent[c] = c = parent[parent[c]]
+                return c
+
+            for i, j in zip(*np.nonzero(alike & (label[ia][:, None] != label[ib][None, :])), strict=True):
+                x, y = int(ia[i]), int(ib[j])
+                p, q = find(int(label[x])), find(int(label[y]))
+                if p != q and sampler.similarity(own[x], own[y]) >= least:
+                    parent[max(p, q)] = min(p, q)
+                    a.append(max(node[x], node[y]))
+                    b.append(min(node[x], node[y]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    size = F.length("hashes") + F.length("counts")
+    whole = left.join(left.groupBy("band", "key").agg(F.count("*").alias("n")).filter(F.col("n") > small).select("band", "key"), ["band", "key"], "left_semi")
+    whole = stage(whole.join(sets.withColumn("size", size), "node"), "blocks")
+    parts = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_BYTES)).cast("int")
+    of_class = whole.groupBy("band", "key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    keys = of_class.groupBy("band", "key").agg(F.sum("n").alias("n"), F.sum("size").alias("s"), F.max(F.struct("n", "class", "size")).alias("most"))
+    keys = keys.select("band", "key", F.col("most.class").alias("most"), parts(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.size")).alias("few"), parts(F.col("n"), F.col("s")).alias("all"))
+    sized = whole.join(keys, ["band", "key"])
+    spread = F.xxhash64("node", F.lit(3))
+    columns = ["band", "key", "node", "class", "hashes", "counts"]
+    one = sized.filter("class != most").select(*columns, F.lit(0).alias("side"), F.pmod(spread, F.col("few")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"))
+    two = sized.select(*columns, F.lit(1).alias("side"), F.pmod(spread, F.col("all")).alias("j"), F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"))
+    both = one.withColumn("i", F.col("i").cast("int")).unionByName(two.withColumn("j", F.col("j").cast("int")))
+    return both.groupBy("band", "key", "i", "j").applyInArrow(links, "a long, b long").distinct()
+
+
+def common_weight(rows: list, columns: list, idf: np.ndarray, at_once: int = 4096) -> np.ndarray:
+    """The weight that each of some (hashes, counts) shares with each of others: the sum of the lesser of both weights."""
+    out = np.zeros((len(rows), len(columns)), "f8")
+
+    def units(sets):  # the k-th occurrence of a shingle is an element of its own
+        h = np.concatenate([x for x, _ in sets])
+        c = np.concatenate([x for _, x in sets]).astype("i8")
+        own = np.repeat(np.arange(len(sets)), [len(x) for x, _ in sets])
+        first = np.cumsum(c) - c
+        k = np.arange(c.sum()) - np.repeat(first, c)
+        return np.repeat(h, c).astype("<u8") << np.uint64(32) | k.astype("<u8"), np.repeat(own, c)
+
+    (ea, oa), (eb, ob) = units(rows), units(columns)
+    every = np.intersect1d(ea, eb)
+    pa, pb = np.searchsorted(every, ea), np.searchsorted(every, eb)
+    for e, p in ((ea, pa), (eb, pb)):
+        p[(p == len(every)) | (every[np.minimum(p, len(every) - 1)] != e if len(every) else True)] = -1
+    for at in range(0, len(every), at_once):
+        part = every[at : at + at_once]
+        x, y = np.zeros((len(rows), len(part)), "f4"), np.zeros((len(columns), len(part)), "f4")
+        for m, o, p in ((x, oa, pa), (y, ob, pb)):
+            here = (p >= at) & (p < at + len(part))
+            m[o[here], p[here] - at] = 1
+        out += (x * idf[(part >> np.uint64(64 - BUCKET_BITS)).astype("i8")]) @ y.T
+    return out
+
+
 def fine_keys(nodes: DataFrame) -> DataFrame:
     """(band, key, node) of (node, signature): hashes of fixed choices of samples."""
 
@@ -380,23 +470,32 @@ def shared(members: DataFrame) -> DataFrame:
 class Links:
     """Verified links so far, the pairs that were tested, and the classes that follow."""
 
-    def __init__(self, spark, verify):
-        self.verify, self.links, self.tested = verify, None, None
+    def __init__(self, spark, verify, every: bool = False):
+        """every: pairs that are in one class already are tested, too, so that links can be counted."""
+        self.verify, self.every, self.links, self.tested = verify, every, None, None
         self.classes = spark.createDataFrame([], "node long, class long")
 
     def test(self, pairs: DataFrame) -> bool:
         """Tests pairs (a, b) that were not tested yet; whether any is a link."""
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
+        if self.links is not None and not self.every:
+            of = lambda x: self.classes.select(F.col("node").alias(x), F.col("class").alias(f"c{x}"))
+            pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
         pairs = stage(pairs, "pairs")
         self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
         if pairs.isEmpty():
             return False
-        good = stage(self.verify(pairs), "links")
+        return self.add(self.verify(pairs))
+
+    def add(self, links: DataFrame) -> bool:
+        """Adds links (a, b) and follows their classes; whether there is any."""
+        good = stage(links, "links")
         if good.isEmpty():
             return False
         self.links = good if self.links is None else self.links.unionByName(good)
-        self.classes = stage(components(self.links), "classes")
+        # the classes so far stand for the links before
+        self.classes = stage(components(good.unionByName(self.classes.select(F.col("node").alias("a"), F.col("class").alias("b")))), "classes")
         return True
 
     def search(self, members: DataFrame) -> DataFrame:
@@ -431,6 +530,7 @@ def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     rest = left.select("node").distinct()
     finer = stage(shared(fine_keys(nodes.join(rest, "node", "left_semi"))), "finer")
     links.search(finer)
+    links.add(block_pairs(mixed(left.select("band", "key", "node"), links.classes), sets, idf_, least))
     classes = links.classes
     per_text = texts.join(classes, "node", "left").select("digest", F.coalesce("class", "node").alias("class_id"))
     # a doc_id that repeats with other texts joins their classes

@@ -339,6 +339,30 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100, 102: 100}
 
 
+def test_blocks_compare_every_pair_of_a_mixed_key(spark):
+    origin = prose(99, 120)
+    texts = [changed(origin, 0.05 if i % 2 else 0.02, 7000 + i) for i in range(40)] + [origin * 2, prose(4, 80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    idf = near_dup.smooth_idf(np.ones(1 << near_dup.BUCKET_BITS), 40)
+    sampler, sets = near_dup.Sampler(idf, 1), near_dup.shingles(texts)
+    exact = np.array([[sampler.similarity(a, b) for b in sets] for a in sets])
+    label = [0 if i < 15 else i for i in range(len(texts))]
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if exact[i, j] >= 0.8 and label[i] != label[j]}
+    left = spark.createDataFrame([(band, 1, i, c) for band in (0, 3) for i, c in enumerate(label)], "band int, key long, node long, class long")
+    idf_ = spark.sparkContext.broadcast(idf)
+
+    def joined(links):
+        own = list(label)
+        for _ in label:
+            for a, b in links:
+                own = [min(own[a], own[b]) if c in (own[a], own[b]) else c for c in own]
+        return own
+
+    for block in (7, 256):
+        got = {tuple(r) for r in near_dup.block_pairs(left, near_dup.shingle_sets(docs), idf_, 0.8, block=block).collect()}
+        assert got and got <= want and joined(got) == joined(want)
+
+
 def test_second_pairs_lists_small_keys_and_pivots_large_ones(spark):
     rows = [(0, 1, n, n) for n in range(4)] + [(0, 2, n, n % 2) for n in range(20)]
     pairs = {tuple(r) for r in near_dup.second_pairs(spark.createDataFrame(rows, "band int, key long, node long, class long")).collect()}
