@@ -48,10 +48,14 @@ def selected(spark: SparkSession, o: Options) -> tuple[DataFrame, DataFrame, Dat
     return datasets, tilesets, ts.members(config.membership(tilesets), datasets)
 
 
+SYSTEMS = (3857, 4326)
+
+
 def dataset_pixels(spark: SparkSession, datasets: DataFrame, zip_dir: str) -> DataFrame:
     """(dataset, mx, my, r, g, b, a): pixels of each dataset in Web Mercator metres, masked and clipped.
 
-    Rasters in Web Mercator or in degrees are read; their pixels keep their
+    Rasters in Web Mercator or in degrees are read; another reference system, none,
+    or a raster without a geotransform is an error. Their pixels keep their
     size, and sampling happens once, when tiles are drawn.
     """
     members = rasters.archive_members(spark, zip_dir)
@@ -68,7 +72,9 @@ def dataset_pixels(spark: SparkSession, datasets: DataFrame, zip_dir: str) -> Da
                 grid, palette = rasters.pixels(data)
                 _, _, _, gt, epsg = rasters.metadata(data)
                 if gt is None:
-                    continue
+                    raise ValueError(f"the raster of dataset {name} has no geotransform")
+                if epsg not in SYSTEMS:
+                    raise ValueError(f"dataset {name}: reference system {epsg} is not read")
                 if palette is not None:
                     grid = palette[grid[0]].transpose(2, 0, 1)
                 bands = [grid[i] if i < grid.shape[0] else grid[0] for i in range(3)]
@@ -76,7 +82,7 @@ def dataset_pixels(spark: SparkSession, datasets: DataFrame, zip_dir: str) -> Da
                 for y in range(grid.shape[1]):  # a row of pixels at a time
                     x = np.arange(grid.shape[2])
                     yield pd.DataFrame(
-                        {"dataset": name, "px": x, "py": y, "gx": gt[0] + (x + 0.5) * gt[1] + (y + 0.5) * gt[2], "gy": gt[3] + (x + 0.5) * gt[4] + (y + 0.5) * gt[5], "epsg": epsg or 3857}
+                        {"dataset": name, "px": x, "py": y, "gx": gt[0] + (x + 0.5) * gt[1] + (y + 0.5) * gt[2], "gy": gt[3] + (x + 0.5) * gt[4] + (y + 0.5) * gt[5], "epsg": epsg}
                         | {c: b[y].astype("i4") for c, b in zip("rgb", bands, strict=True)}
                         | {"a": alpha[y].astype("i4")}
                     )

@@ -343,6 +343,16 @@ PAGE = """<html><div id="other"><table><tr><td>1</td><td><a href="/no.zip">Geo-T
 <div><table><tr><td>1</td><td><a href="/after.zip">Geo-TIFF</a></td></tr></table></div></html>"""
 
 
+def test_build_refuses_other_reference_systems(spark, tmp_path):
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("a.tif", rasters.geotiff(np.full((3, 4, 4), 9, "u1"), [0.0, 1.0, 0.0, 4.0, 0.0, -1.0], 2154))
+    schema = "name string, zip_file string, input_file string, mask array<array<struct<x:double,y:double>>>, lon_min double, lat_min double, lon_max double, lat_max double"
+    wanted = spark.createDataFrame([("a", "a.zip", "a.tif", None, None, None, None, None)], schema)
+    with pytest.raises(Exception, match="2154 is not read"):
+        pipeline.dataset_pixels(spark, wanted, str(tmp_path)).collect()
+
+
 def test_links_of_second_cells():
     assert ingest.section_links(PAGE, "vfr") == ["/a.zip", "/in.zip"]
     assert ingest.section_links("", "vfr") == [] and ingest.section_links(None, "vfr") == []
