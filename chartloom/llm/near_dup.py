@@ -3,43 +3,45 @@
 1. Shingles are five words in a row (words: runs without white space, in small
    letters; a text of fewer words is one shingle). A shingle's hash has 32
    bits. Its weight is its count in the document times a smoothed inverse
-   document frequency, 1 + log((N + 1) / (df + 1)) / log(N + 1), between 1 and
-   2, where df counts over all documents, by hashing into ``2 ** BUCKET_BITS``
-   counters (a table of fixed size; shingles that share a counter share its
-   df). The same shingle has the same weight in every document.
+   document frequency, 1 + GAIN * log((N + 1) / (df + 1)) / log(N + 2), between 1
+   and 1 + GAIN, where df counts over all documents, by hashing into
+   ``2 ** BUCKET_BITS`` counters (a table of fixed size; shingles that share a
+   counter share its df, so far above a million distinct shingles rarity tells
+   less and less). The same shingle has the same weight in every document. As
+   weights differ by the factor 1 + GAIN at most, two texts of plain similarity
+   s have a weighted one of s / (s + (1 + GAIN) (1 - s)) or more in every corpus:
+   none above 0.82 falls below 0.8. An unbounded idf would part a large group of
+   copies: what they share is frequent because of the group.
 2. Improved consistent weighted sampling draws ``BANDS * ROWS`` samples of each
    document; two documents agree in one with the probability of their weighted
    Jaccard similarity. Rows of samples are hashed into bands. At similarity 0.8
    a pair shares a band with probability 0.998.
-3. Exact copies of a text are one node from here on. Documents that share a
-   band key are candidates. Each key's first member by a hash that differs for
-   each band (its pivot) is paired with all others, so a document meets up to
-   BANDS different pivots, and a group of n copies costs n pairs for each band.
-4. Pairs are verified by their exact weighted Jaccard similarity (0.8 or more)
-   and components are found by large-star / small-star rounds in Spark. Pairs
-   whose samples agree in less than ``least - 0.2`` of all are not verified:
-   that is four standard errors below.
-5. A key whose members are then in several classes is looked at again: every
-   pair of different classes if it has SMALL members at most, else its members
-   with another pivot.
-6. Members of keys that are still mixed are similar, but not alike enough (a
-   group of copies that drift apart). They get finer keys, FINE of them from
-   FINE_ROWS samples each, which split such a group: at similarity 0.8 a pair
-   shares one with probability 0.99, at 0.6 a given one with 0.006. Steps 3 to 5
-   are done on these keys. So the pairs of a group grow with its size, not its
-   square.
-7. What is still mixed after that is compared whole: in each key of step 3 with
-   more than SMALL members, those outside its largest class with all others of
-   other classes, in blocks. So each pair that shares a band is in one class or
-   was compared.
-
-Result: one row for each input row with the class (the least doc_id in it).
+3. Equal texts are one node from here on. Documents that share a band key are
+   candidates. Each key's first member by a hash that differs for each band (its
+   pivot) is paired with all others, so a document meets up to BANDS different
+   pivots, and a group of n copies costs n pairs for each band.
+4. Pairs are verified by their exact weighted Jaccard similarity (0.8 or more).
+   Pairs whose samples agree in less than ``least - 0.2`` of all are not: that is
+   four and a half standard errors below, so of a million pairs at 0.8 some three
+   are lost. Links become classes by rounds of large and small stars over one
+   spanning forest for each task; later links are first contracted to the classes
+   that they join.
+5. Keys of three members or more that are then in several classes are looked at
+   again: all pairs of different classes if they have SMALL members at most, else
+   their members with a second pivot.
+6. What is still mixed after that is compared whole: in each key of more than
+   SMALL members, those outside its largest class with all others of other
+   classes, in blocks (products of matrices). So each pair that shares a band is
+   in one class or was compared. What is moved grows with the number of blocks.
+
+Result: one row for each input row with its text's digest, its class (the least
+doc_id in it), and whether it is the one row of the class to keep.
 
 Edge cases: a null text has no class but its own, and so has a null doc_id
 (class null). Texts without a word are copies of each other only if equal.
-doc_id names a document: rows that repeat it with the same text are copies, and
-with other texts are put into one class. An empty table gives no row. Other
-columns are left out. Long texts are sampled in slices, whole.
+Rows that repeat a doc_id with the same text are copies; with other texts each
+row has the class of its own text, and each class keeps a row. An empty table
+gives no row. Other columns are left out. Long texts are sampled in slices, whole.
 """
 
 from __future__ import annotations
@@ -55,14 +57,13 @@ from chartloom.llm.tokens import Words
 
 SHINGLE = 5
 BUCKET_BITS = 20
-#: How far rarity raises a weight. A plain idf would push the members of a large group of copies apart: what they share
-#: is frequent because of the group, and what each changed is rare.
+#: How far rarity raises a weight.
 GAIN = 0.125
 BANDS, ROWS = 16, 5
+#: Keys of so many members have all their pairs listed; those of larger ones are compared in blocks.
 SMALL = 6
-FINE, FINE_ROWS = 40, 10
 #: Nodes, and bytes of their shingles, that are compared at once with as many others.
-BLOCK, BLOCK_BYTES = 256, 8 << 20
+BLOCK, BLOCK_BYTES = 1024, 8 << 20
 _TABLE_BITS = 16
 
 
@@ -220,54 +221,42 @@ class Sampler:
         return float(both / max(1e-300, wa.sum() + wb.sum() - both))
 
 
+def digest_of(text: str = "text"):
+    """16 bytes that name a text; none for a null."""
+    return F.coalesce(F.substring(F.unhex(F.sha2(F.col(text), 256)), 1, 16), F.lit(b""))
+
+
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """(doc_id, digest, bands, signature): bands and signature are null for a text without words."""
+    """(doc_id, digest, bands, signature, hashes, counts): bands and signature are null for a text without words; counts is empty if all are one."""
 
     def make():
         sampler = kept("sampler", idf.value, Sampler)
         recent: dict[bytes, tuple] = {}
 
         def f(batch):
-            texts = batch.column("text").to_pylist()
-            digests = [hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest() for t in texts]
-            new = {d: t for d, t in zip(digests, texts, strict=True) if d not in recent}
-            if len(recent) > 4096:
-                keep = {d: recent[d] for d in digests if d in recent}
+            digests = batch.column("digest").to_pylist()
+            new: dict[bytes, int] = {}
+            for i, d in enumerate(digests):
+                if d not in recent:
+                    new.setdefault(d, i)
+            if len(recent) > 1024:
+                again = {d: recent[d] for d in digests if d in recent}
                 recent.clear()
-                recent.update(keep)
-            for d, (h, counts) in zip(new, shingles(list(new.values())), strict=True):
+                recent.update(again)
+            texts = batch.column("text")
+            for d, (h, counts) in zip(new, shingles([texts[i].as_py() for i in new.values()]), strict=True):
                 if len(h):
                     value = sampler.draw(h, counts)
-                    recent[d] = (sampler.bands(value).tolist(), value.astype("<u2").tobytes())
+                    recent[d] = (sampler.bands(value).tolist(), value.astype("<u2").tobytes(), h.tobytes(), b"" if (counts == 1).all() else counts.astype("<u4").tobytes())
                 else:
-                    recent[d] = (None, None)
-            return {
-                "doc_id": batch.column("doc_id"),
-                "digest": digests,
-                "bands": [recent[d][0] for d in digests],
-                "signature": [recent[d][1] for d in digests],
-            }
-
-        return f
-
-    return map_arrow(docs, "doc_id long, digest binary, bands array<long>, signature binary", make, rows=128)
-
-
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """(node, hashes, counts) of (node, text); counts is empty if all are one."""
-
-    def make():
-        def f(batch):
-            sets = shingles(batch.column("text").to_pylist())
-            return {
-                "node": batch.column("node"),
-                "hashes": [h.tobytes() for h, _ in sets],
-                "counts": [b"" if (c == 1).all() else c.astype("<u4").tobytes() for _, c in sets],
-            }
+                    recent[d] = (None, None, b"", b"")
+            own = [recent[d] for d in digests]
+            return {"doc_id": batch.column("doc_id"), "digest": digests} | {c: [o[i] for o in own] for i, c in enumerate(("bands", "signature", "hashes", "counts"))}
 
         return f
 
-    return map_arrow(docs, "node long, hashes binary, counts binary", make, rows=128)
+    schema = "doc_id long, digest binary, bands array<long>, signature binary, hashes binary, counts binary"
+    return map_arrow(docs.withColumn("digest", digest_of()), schema, make, rows=128)
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
@@ -308,24 +297,58 @@ def verified(pairs: DataFrame, sets: DataFrame, idf, least: float) -> DataFrame:
     return map_arrow(pairs.join(one("a"), "a").join(one("b"), "b"), "a long, b long", make, rows=256)
 
 
-def components(links: DataFrame, most_rounds: int = 40) -> DataFrame:
+def forest(links: DataFrame, most: int = 1 << 20) -> DataFrame:
+    """(u, v) of links (a, b): those of each task as stars around the least node, for some ``most`` nodes at a time."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        parent: dict[int, int] = {}
+
+        def find(x):
+            while (p := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[p]
+            return x
+
+        def stars():
+            ends = [(u, find(u)) for u in list(parent)]
+            ends = [(u, v) for u, v in ends if u != v]
+            parent.clear()
+            return pa.RecordBatch.from_arrays([pa.array([e[i] for e in ends], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                a, b = find(a), find(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if len(parent) > most:
+                yield stars()
+        if parent:
+            yield stars()
+
+    return links.select("a", "b").mapInArrow(run, "u long, v long")
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one centre, and no centre another."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("n"), F.col("v").alias("c")), F.struct(F.col("v").alias("n"), F.lit(None).cast("long").alias("c")))).alias("e"))
+    seen = ends.groupBy("e.n").agg(F.min("e.c").alias("low"), F.max("e.c").alias("high"), F.count("e.c").alias("children"), F.count("*").alias("all"))
+    return seen.filter("low != high OR (children > 0 AND children < all)").isEmpty()
+
+
+def components(links: DataFrame) -> DataFrame:
     """(node, class): the least node of each component, for all its nodes but that one. Links are (a, b)."""
-    edges = stage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(), "edges")
-    before = None
-    for _ in range(most_rounds):
+    edges = stage(forest(links), "edges")
+    while not _are_stars(edges):
         # large star: each node's larger neighbours go to its least neighbour
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: each node's smaller neighbours and itself go to its least neighbour
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = stage(small.select("e.u", "e.v").filter("u != v").distinct(), "edges")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == before:
-            break
-        before = now
-    return edges.groupBy("u").agg(F.min("v").alias("class")).select(F.col("u").alias("node"), "class")
+        small = large.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        edges = stage(forest(small.filter("a != b").distinct()), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("class")).distinct()
 
 
 def _with_class(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -341,9 +364,9 @@ def pivot_pairs(members: DataFrame, seed: int = 1) -> DataFrame:
 
 
 def mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """Members (band, key, node, class) of the keys that span several classes."""
+    """Members (band, key, node, class) of the keys of three members or more that span several classes; the pair of a key of two was tested."""
     labelled = _with_class(members, classes)
-    several = labelled.groupBy("band", "key").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x != y")
+    several = labelled.groupBy("band", "key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count("*").alias("n")).filter("x != y AND n > 2")
     return labelled.join(several.select("band", "key"), ["band", "key"], "left_semi")
 
 
@@ -355,8 +378,9 @@ def second_pairs(left: DataFrame, small: int = SMALL) -> DataFrame:
     sized = left.join(keys, ["band", "key"])
     few = sized.filter(F.col("n") <= small).drop("o")
     every = few.groupBy("band", "key").agg(F.collect_list(own).alias("os"))  # small members at most
-    pairs = sized.filter(F.col("n") > small).select("node", "class", "o")
-    pairs = pairs.unionByName(few.join(every, ["band", "key"]).select("node", "class", F.explode("os").alias("o"))).filter("class != o.class")
+    # each pair once: from its greater node
+    listed = few.join(every, ["band", "key"]).select("node", "class", F.explode(F.filter("os", lambda o: (o["node"] < F.col("node")) & (o["class"] != F.col("class")))).alias("o"))
+    pairs = sized.filter((F.col("n") > small) & (F.col("class") != F.col("o.class"))).select("node", "class", "o").unionByName(listed)
     return pairs.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct()
 
 
@@ -444,23 +468,6 @@ def common_weight(rows: list, columns: list, idf: np.ndarray, at_once: int = 409
     return out
 
 
-def fine_keys(nodes: DataFrame) -> DataFrame:
-    """(band, key, node) of (node, signature): hashes of fixed choices of samples."""
-
-    def make():
-        choice = np.random.default_rng(33).permuted(np.tile(np.arange(BANDS * ROWS), (FINE, 1)), axis=1)[:, :FINE_ROWS]
-        odd = np.random.default_rng(34).integers(0, 1 << 62, (FINE, FINE_ROWS)).astype("<u8") | np.uint64(1)
-
-        def f(batch):
-            own = np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<u2").reshape(batch.num_rows, -1).astype("<u8")
-            keys = _mix((_mix(own[:, choice] + np.uint64(1)) * odd).sum(2, dtype="<u8")).view("<i8")
-            return {"band": np.tile(np.arange(BANDS, BANDS + FINE), batch.num_rows), "key": keys.ravel(), "node": np.repeat(batch.column("node").to_numpy(), FINE)}
-
-        return f
-
-    return map_arrow(nodes.select("node", "signature"), "band int, key long, node long", make)
-
-
 def shared(members: DataFrame) -> DataFrame:
     """Members of keys that have several."""
     keys = members.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
@@ -468,87 +475,88 @@ def shared(members: DataFrame) -> DataFrame:
 
 
 class Links:
-    """Verified links so far, the pairs that were tested, and the classes that follow."""
+    """Classes that follow from links that were verified so far."""
 
-    def __init__(self, spark, verify, every: bool = False):
-        """every: pairs that are in one class already are tested, too, so that links can be counted."""
-        self.verify, self.every, self.links, self.tested = verify, every, None, None
+    def __init__(self, spark, verify):
+        self.verify = verify
         self.classes = spark.createDataFrame([], "node long, class long")
-
-    def test(self, pairs: DataFrame) -> bool:
-        """Tests pairs (a, b) that were not tested yet; whether any is a link."""
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        if self.links is not None and not self.every:
-            of = lambda x: self.classes.select(F.col("node").alias(x), F.col("class").alias(f"c{x}"))
-            pairs = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-        pairs = stage(pairs, "pairs")
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-        if pairs.isEmpty():
-            return False
-        return self.add(self.verify(pairs))
-
-    def add(self, links: DataFrame) -> bool:
-        """Adds links (a, b) and follows their classes; whether there is any."""
-        good = stage(links, "links")
+        self.any = False
+
+    def between(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different classes, with these as (ca, cb)."""
+        if not self.any:
+            return pairs.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
+        of = lambda x: self.classes.select(F.col("node").alias(x), F.col("class").alias(f"__{x}"))
+        both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        return both.select("a", "b", F.coalesce("__a", "a").alias("ca"), F.coalesce("__b", "b").alias("cb")).filter("ca != cb")
+
+    def test(self, pairs: DataFrame) -> None:
+        pairs = stage(self.between(pairs).select("a", "b"), "pairs")
+        if not pairs.isEmpty():
+            self.add(self.verify(pairs))
+
+    def add(self, links: DataFrame) -> None:
+        """Adds links (a, b): contracted to classes, so that only what they join is followed."""
+        good = stage(self.between(links).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "links")
         if good.isEmpty():
-            return False
-        self.links = good if self.links is None else self.links.unionByName(good)
-        # the classes so far stand for the links before
-        self.classes = stage(components(good.unionByName(self.classes.select(F.col("node").alias("a"), F.col("class").alias("b")))), "classes")
-        return True
-
-    def search(self, members: DataFrame) -> DataFrame:
-        """Tests the candidates of keys (band, key, node); gives the members of keys that stay mixed."""
+            return
+        found = components(good)
+        if self.any:
+            moved = self.classes.join(found.select(F.col("node").alias("class"), F.col("class").alias("to")), "class", "left")
+            found = moved.select("node", F.coalesce("to", "class").alias("class")).unionByName(found)
+        self.classes, self.any = stage(found, "classes"), True
+
+    def search(self, members: DataFrame, blocks) -> None:
+        """Follows all candidates of keys (band, key, node). blocks(left): links of the keys that stay mixed."""
         self.test(pivot_pairs(members))
         left = stage(mixed(members, self.classes), "mixed")
         if left.isEmpty():
-            return left
+            return
         self.test(second_pairs(left))
-        return mixed(left.select("band", "key", "node"), self.classes)
+        self.add(blocks(mixed(left.select("band", "key", "node"), self.classes)))
 
 
 def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
-    """(doc_id, class_id, is_first) of (doc_id, text) rows."""
+    """(doc_id, digest, class_id, is_first) of (doc_id, text) rows."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     idf, _ = frequency_weights(docs)
     idf_ = spark.sparkContext.broadcast(idf)  # 4 MB, whatever the corpus
     named = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     signed = stage(signatures(named, idf_), "signatures")
-    texts = stage(signed.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("signature").alias("signature")), "texts")
-    nodes = texts.filter(F.col("bands").isNotNull()).select("node", "signature")
-    members = stage(shared(texts.filter(F.col("bands").isNotNull()).select("node", F.posexplode("bands").alias("band", "key"))), "members")
-
-    # Texts of all nodes that share a key are read once more, and their shingles kept. The join is of one kind at
-    # every size, so that what it moves grows with the input.
-    wanted = members.select("node").distinct().hint("merge")
-    chosen = named.withColumnRenamed("doc_id", "node").join(wanted, "node", "left_semi")
-    sets = stage(shingle_sets(chosen).dropDuplicates(["node"]), "sets")
+    columns = ("bands", "signature", "hashes", "counts")
+    # the numbers of the nodes hold as the table is written once
+    texts = stage(signed.groupBy("digest").agg(*[F.first(c).alias(c) for c in columns]).withColumn("node", F.monotonically_increasing_id()), "texts")
+    worded = texts.filter(F.col("bands").isNotNull())
+    members = stage(shared(worded.select("node", F.posexplode("bands").alias("band", "key"))), "members")
+    nodes, sets = worded.select("node", "signature"), worded.select("node", "hashes", "counts")
     links = Links(spark, lambda pairs: verified(stage(likely(pairs, nodes, least - 0.2), "likely"), sets, idf_, least))
-    left = links.search(members)
-    rest = left.select("node").distinct()
-    finer = stage(shared(fine_keys(nodes.join(rest, "node", "left_semi"))), "finer")
-    links.search(finer)
-    links.add(block_pairs(mixed(left.select("band", "key", "node"), links.classes), sets, idf_, least))
-    classes = links.classes
-    per_text = texts.join(classes, "node", "left").select("digest", F.coalesce("class", "node").alias("class_id"))
-    # a doc_id that repeats with other texts joins their classes
-    alike = signed.join(per_text, "digest").select("doc_id", "class_id")
-    done = alike.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n")).select("doc_id", "class_id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
-    alone = docs.filter(F.col("doc_id").isNull() | F.col("text").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).alias("copy"))
-    return done.unionByName(alone).select("doc_id", "class_id", (F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)) & (F.col("copy") == 1)).alias("is_first"))
-
-
-def one_row_for_each(docs: DataFrame) -> DataFrame:
-    """The row of least text for each doc_id; only doc_ids that repeat are looked at again."""
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    again = docs.join(repeated, "doc_id", "left_semi").withColumn("__r", rank).filter("__r = 1").drop("__r")
-    return docs.join(repeated, "doc_id", "left_anti").unionByName(again)
+    links.search(members, lambda left: block_pairs(left, sets, idf_, least))
+
+    per_text = texts.join(links.classes, "node", "left").select("digest", F.coalesce("class", "node").alias("class"))
+    rows = stage(signed.groupBy("doc_id", "digest").agg(F.count("*").alias("n")).join(per_text, "digest"), "rows")
+    idf_.destroy()
+    head = rows.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("head"))
+    found = rows.join(head, "class").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    first = (F.col("doc_id") == F.col("head.doc_id")) & (F.col("digest") == F.col("head.digest")) & (F.col("copy") == 1)
+    found = found.select("doc_id", "digest", F.col("head.doc_id").alias("class_id"), first.alias("is_first"))
+    alone = docs.filter(F.col("doc_id").isNull() | F.col("text").isNull())
+    return found.unionByName(alone.select("doc_id", digest_of().alias("digest"), F.col("doc_id").alias("class_id"), F.lit(True).alias("is_first")))
+
+
+def first_rows(docs: DataFrame, least: float = 0.8) -> DataFrame:
+    """The rows of docs that stay: one of each class, with all their columns; rows without a doc_id stay."""
+    first = classes_of(docs, least).filter("is_first AND doc_id IS NOT NULL").select("doc_id", F.col("digest").alias("__digest")).distinct()
+    key = ["doc_id", "__digest"]
+    named = docs.filter(F.col("doc_id").isNotNull()).withColumn("__digest", digest_of()).join(first, key, "left_semi")
+    # rows that repeat both are copies, and the least of the other columns stays
+    repeated = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")], "text"))
+    again = named.join(repeated, "doc_id", "left_semi").withColumn("__r", rank).filter("__r = 1").drop("__r")
+    return named.join(repeated, "doc_id", "left_anti").unionByName(again).drop("__digest").unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     from chartloom.llm.common import table
 
-    return classes_of(table(spark, sf_dir, "documents"))
+    return classes_of(table(spark, sf_dir, "documents")).drop("digest")

@@ -325,6 +325,26 @@ def test_near_duplicates_of_odd_rows(spark, docs, none):
     assert [r.class_id for r in near_dup.classes_of(spark.createDataFrame([(5, None), (6, None)], DOCS)).orderBy("doc_id").collect()] == [5, 6]
 
 
+def test_repeated_ids_lose_no_text(spark):
+    a, b = prose(1, 40), prose(2, 40)
+    table = spark.createDataFrame([(1, a), (5, a), (5, b), (9, b)], DOCS)
+    got = near_dup.classes_of(table).collect()
+    assert sorted((r.doc_id, r.class_id, r.is_first) for r in got) == [(1, 1, True), (5, 1, False), (5, 5, True), (9, 5, False)]
+    assert sorted(tuple(r) for r in near_dup.first_rows(table).collect()) == [(1, a), (5, b)]
+
+
+def test_near_duplicates_by_plain_sets(spark):
+    """Against plain Python sets of word fives: those far above the threshold are joined, those far below are not."""
+    texts = [changed(prose(40 + g, 150), share, 60 * g + i) for g in range(12) for i, share in enumerate((0.01, 0.01, 0.02, 0.2))] + [prose(900 + i, 80) for i in range(20)]
+    fives = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.lower().split() for t in texts)]
+    label = {r.doc_id: r.class_id for r in near_dup.classes_of(spark.createDataFrame(list(enumerate(texts)), DOCS)).collect()}
+    for i in range(len(texts)):
+        for j in range(i):
+            s = len(fives[i] & fives[j]) / len(fives[i] | fives[j])
+            assert s < 0.86 or label[i] == label[j]
+            assert s > 0.5 or label[i] != label[j]
+
+
 def test_samples_agree_as_often_as_documents_are_similar():
     idf = np.linspace(1, 2, 1 << near_dup.BUCKET_BITS).astype("f4")
     sampler = near_dup.Sampler(idf, 4000)
@@ -342,9 +362,9 @@ def test_components_of_a_long_chain(spark):
 def test_blocks_compare_every_pair_of_a_mixed_key(spark):
     origin = prose(99, 120)
     texts = [changed(origin, 0.05 if i % 2 else 0.02, 7000 + i) for i in range(40)] + [origin * 2, prose(4, 80)]
-    docs = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
     idf = near_dup.smooth_idf(np.ones(1 << near_dup.BUCKET_BITS), 40)
     sampler, sets = near_dup.Sampler(idf, 1), near_dup.shingles(texts)
+    table = spark.createDataFrame([(i, bytearray(h.tobytes()), bytearray(c.astype("<u4").tobytes())) for i, (h, c) in enumerate(sets)], "node long, hashes binary, counts binary")
     exact = np.array([[sampler.similarity(a, b) for b in sets] for a in sets])
     label = [0 if i < 15 else i for i in range(len(texts))]
     want = {(i, j) for i in range(len(texts)) for j in range(i) if exact[i, j] >= 0.8 and label[i] != label[j]}
@@ -359,7 +379,7 @@ def test_blocks_compare_every_pair_of_a_mixed_key(spark):
         return own
 
     for block in (7, 256):
-        got = {tuple(r) for r in near_dup.block_pairs(left, near_dup.shingle_sets(docs), idf_, 0.8, block=block).collect()}
+        got = {tuple(r) for r in near_dup.block_pairs(left, table, idf_, 0.8, block=block).collect()}
         assert got and got <= want and joined(got) == joined(want)
 
 
