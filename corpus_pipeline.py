@@ -38,11 +38,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the least doc_id. Documents without a doc_id stay."""
-    docs = docs.select(COLUMNS)
-    first = near_dup.classes_of(docs).filter("is_first").filter("doc_id IS NOT NULL").select("doc_id")
-    named = docs.filter(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi")
-    # rows that repeat a doc_id are copies of one another, and the least text stays
-    return near_dup.one_row_for_each(named).unionByName(docs.filter(F.col("doc_id").isNull())).select(COLUMNS)
+    return near_dup.first_rows(docs.select(COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
