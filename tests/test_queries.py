@@ -46,3 +46,19 @@ def test_query_without_sql_runs(spark, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_the_rest_works_without_the_optional_parts(tmp_path):
+    """In a copy without the llm folders, with and without the pipeline file."""
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    copy = tmp_path / "copy"
+    shutil.copytree(Path(entry.__file__).parent, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "tests"))
+    says = "import __spark_entry__ as e; q = e.queries(); assert 'manifest_summary' in q and set(e.oracle_sql()) <= set(q); assert not [k for k in q if k[:2] == 'op' and k[2:3].isdigit() or k == 'pipeline']"
+    for gone in ((), ("corpus_pipeline.py",)):
+        for name in gone:
+            (copy / name).unlink(missing_ok=True)
+        subprocess.run([sys.executable, "-c", says], cwd=copy, check=True, timeout=120)
