@@ -63,7 +63,7 @@ BANDS, ROWS = 16, 5
 #: Keys of so many members have all their pairs listed; those of larger ones are compared in blocks.
 SMALL = 6
 #: Nodes, and bytes of their shingles, that are compared at once with as many others.
-BLOCK, BLOCK_BYTES = 1024, 8 << 20
+BLOCK, BLOCK_BYTES = 512, 4 << 20
 _TABLE_BITS = 16
 
 
@@ -227,31 +227,27 @@ def digest_of(text: str = "text"):
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """(doc_id, digest, bands, signature, hashes, counts): bands and signature are null for a text without words; counts is empty if all are one."""
+    """(doc_id, digest, bands, signature, hashes, counts): the last four are null for a text without words, and may be for one that came before in
+    the same task; counts is empty if all are one."""
 
     def make():
         sampler = kept("sampler", idf.value, Sampler)
-        recent: dict[bytes, tuple] = {}
+        before: set[bytes] = set()
 
         def f(batch):
             digests = batch.column("digest").to_pylist()
-            new: dict[bytes, int] = {}
-            for i, d in enumerate(digests):
-                if d not in recent:
-                    new.setdefault(d, i)
-            if len(recent) > 1024:
-                again = {d: recent[d] for d in digests if d in recent}
-                recent.clear()
-                recent.update(again)
+            if len(before) > 1 << 16:
+                before.clear()
+            new = [i for i, d in enumerate(digests) if not (d in before or before.add(d))]
+            out = {c: [None] * len(digests) for c in ("bands", "signature", "hashes", "counts")}
             texts = batch.column("text")
-            for d, (h, counts) in zip(new, shingles([texts[i].as_py() for i in new.values()]), strict=True):
+            for i, (h, counts) in zip(new, shingles([texts[i].as_py() for i in new]), strict=True):
                 if len(h):
                     value = sampler.draw(h, counts)
-                    recent[d] = (sampler.bands(value).tolist(), value.astype("<u2").tobytes(), h.tobytes(), b"" if (counts == 1).all() else counts.astype("<u4").tobytes())
-                else:
-                    recent[d] = (None, None, b"", b"")
-            own = [recent[d] for d in digests]
-            return {"doc_id": batch.column("doc_id"), "digest": digests} | {c: [o[i] for o in own] for i, c in enumerate(("bands", "signature", "hashes", "counts"))}
+                    own = (sampler.bands(value).tolist(), value.astype("<u2").tobytes(), h.tobytes(), b"" if (counts == 1).all() else counts.astype("<u4").tobytes())
+                    for c, v in zip(out, own, strict=True):
+                        out[c][i] = v
+            return {"doc_id": batch.column("doc_id"), "digest": digests} | out
 
         return f
 
@@ -441,7 +437,7 @@ def block_pairs(left: DataFrame, sets: DataFrame, idf, least: float, small: int
     return both.groupBy("band", "key", "i", "j").applyInArrow(links, "a long, b long").distinct()
 
 
-def common_weight(rows: list, columns: list, idf: np.ndarray, at_once: int = 4096) -> np.ndarray:
+def common_weight(rows: list, columns: list, idf: np.ndarray, at_once: int = 1024) -> np.ndarray:
     """The weight that each of some (hashes, counts) shares with each of others: the sum of the lesser of both weights."""
     out = np.zeros((len(rows), len(columns)), "f8")
 
@@ -524,12 +520,16 @@ def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     idf_ = spark.sparkContext.broadcast(idf)  # 4 MB, whatever the corpus
     named = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     signed = stage(signatures(named, idf_), "signatures")
-    columns = ("bands", "signature", "hashes", "counts")
+    some = lambda c: F.first(c, ignorenulls=True).alias(c)
     # the numbers of the nodes hold as the table is written once
-    texts = stage(signed.groupBy("digest").agg(*[F.first(c).alias(c) for c in columns]).withColumn("node", F.monotonically_increasing_id()), "texts")
+    texts = stage(signed.groupBy("digest").agg(some("bands"), some("signature")).withColumn("node", F.monotonically_increasing_id()), "texts")
     worded = texts.filter(F.col("bands").isNotNull())
+    nodes = worded.select("node", "signature")
     members = stage(shared(worded.select("node", F.posexplode("bands").alias("band", "key"))), "members")
-    nodes, sets = worded.select("node", "signature"), worded.select("node", "hashes", "counts")
+    # Shingles of the nodes that share a key. The join is of one kind at every size, so that what it moves grows with the input.
+    wanted = texts.select("digest", "node").join(members.select("node").distinct(), "node", "left_semi").hint("merge")
+    sets = signed.filter(F.col("hashes").isNotNull()).select("digest", "hashes", "counts").join(wanted, "digest")
+    sets = stage(sets.groupBy("digest", "node").agg(some("hashes"), some("counts")).drop("digest"), "sets")
     links = Links(spark, lambda pairs: verified(stage(likely(pairs, nodes, least - 0.2), "likely"), sets, idf_, least))
     links.search(members, lambda left: block_pairs(left, sets, idf_, least))
 
