@@ -44,6 +44,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of what earlier steps left on the driver: shuffle files and broadcasts that nothing refers to any more are removed."""
+    gc.collect()
+    spark._jvm.System.gc()
+    give_back()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

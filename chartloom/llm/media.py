@@ -1,30 +1,34 @@
 """Media columns: copies of pictures, found by local descriptors.
 
-1. Pictures (PGM, PPM or PNG bytes, see ``decode``) become grey. Equal pixels
-   are one node from here on.
-2. Corners: the Harris response at SCALES sizes of the picture, its local maxima,
-   the strongest CORNERS of them (a fixed size of the descriptor, like the number
-   of scales).
+1. Pictures (PGM, PPM or PNG bytes, see ``decode``) become grey; those of more
+   than MOST_SIDE pixels a side are halved until they fit. Equal pixels are one
+   node from here on.
+2. Corners: local maxima of the Harris response at SCALES sizes of the picture,
+   placed between pixels by a parabola; the strongest CORNERS of them make up the
+   descriptor (a fixed size of it, like the number of scales).
 3. Each corner gets an angle (from the centre of mass of the patch around it)
-   and 256 binary tests, pairs of smoothed grey values compared at places turned
-   by that angle. Brighter, darker, cropped, shifted and turned copies keep most
-   tests.
-4. Hamming tables: the bits are cut into TABLES parts. Pictures with the same
-   part in the same table are candidates; descriptors that differ in fewer than
-   TABLES bits must share one, and a copy has up to CORNERS descriptors to do so. Each key's pivot is paired with all others, not
-   all pairs; keys that span several classes afterwards are looked at again (the
-   steps of ``near_dup``).
+   and BITS binary tests, pairs of smoothed grey values compared at places turned
+   by that angle. Copies that are brighter, darker, cropped, shifted, turned,
+   resized, blurred or noisy keep most tests.
+4. Hamming tables: each of TABLES tables has a fixed choice of KEY_BITS tests.
+   Pictures with a corner of the same bits there are candidates. Two corners that
+   differ in a share d of their tests meet in a table with probability
+   (1 - d) ** KEY_BITS, and a copy has many corners to do so. Each key's pivot is
+   paired with all others; keys of several classes afterwards are looked at again
+   and in the end compared whole, in blocks (the steps of ``near_dup``), so no
+   two pictures that share a key go uncompared if they are in different classes.
 5. Geometric consensus: corners of two pictures that match in BITS - FAR tests
    or more each propose a shift, turn and scale; a pair is a copy if AGREE matches
    or more fit one proposal.
 
-Result of ``copies``: one row for each picture with its class (least id in it)
-and its number of verified links to other pictures.
+Result of ``copies`` (a detection of near copies, so classes and no pairs): one
+row for each picture with its class (least id in it).
 
 Edge cases: a null or unreadable picture, or one without corners, has a class
 of its own unless its pixels equal another's. A null id gets no class. Rows
-that repeat an id join its classes. An empty table gives no row. Other columns
-are left out.
+that repeat an id with other pictures each have the class of their own picture.
+An empty table gives no row. Other columns are left out. PNG of other depths,
+interlaced PNG, JPEG, and pictures of more than MOST_PIXELS count as unreadable.
 """
 
 from __future__ import annotations
@@ -39,34 +43,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm import near_dup
-from chartloom.llm.common import map_arrow, stage
+from chartloom.llm.common import map_arrow, release, stage
 
-SCALES = (1.0, 0.7, 0.5)
-CORNERS = 24
-BITS, TABLES = 256, 2
+SCALES = (1.0, 0.89, 0.79, 0.71, 0.63, 0.56, 0.5)
+CORNERS = 60
+BITS, TABLES, KEY_BITS = 128, 4, 52
 EDGE = 13
-ANGLES = 36
-FAR = 32
+ANGLES = 72
+FAR = 20
 AGREE = 6
+MOST_SIDE, MOST_PIXELS = 1024, 1 << 26
+_REACH = 9.5
 
 
 def _tests() -> np.ndarray:
-    """Places of the test pairs, (BITS, 2, 2), within the patch."""
-    rng = np.random.default_rng(5)
-    return np.clip(rng.normal(0, 5.5, (BITS, 2, 2)), -9.5, 9.5)
+    """Places of the test pairs, (BITS, 2, 2), within the patch and some way apart."""
+    rng, out = np.random.default_rng(5), []
+    while len(out) < BITS:
+        pair = np.clip(rng.normal(0, 0.58 * _REACH, (2, 2)), -_REACH, _REACH)
+        if np.hypot(*(pair[0] - pair[1])) >= 6:
+            out.append(pair)
+    return np.array(out)
 
 
 def _turned() -> np.ndarray:
-    """The same for each angle, rounded: (ANGLES, BITS, 2, 2) as (dy, dx)."""
+    """The same for each angle: (ANGLES, BITS, 2, 2) as (dy, dx)."""
     out = []
     for k in range(ANGLES):
         a = 2 * np.pi * k / ANGLES
         out.append(_tests() @ np.array([[np.cos(a), np.sin(a)], [-np.sin(a), np.cos(a)]]).T)
-    return np.rint(np.array(out)).astype("i4")
+    return np.array(out).astype("f4")
 
 
 _TURNED = _turned()
-_DISC = [(y, x) for y in range(-7, 8) for x in range(-7, 8) if x * x + y * y <= 52]
+#: Which tests make up the key of each table.
+_CHOICE = np.array([np.random.default_rng(100 + t).permutation(BITS)[:KEY_BITS] for t in range(TABLES)])
+_DISC = [(y, x, float(np.exp(-(y * y + x * x) / (2 * (_REACH / 1.6) ** 2)))) for y in range(-9, 10) for x in range(-9, 10) if x * x + y * y <= _REACH**2]
 
 
 def pgm(grey: np.ndarray) -> bytes:
@@ -88,7 +100,7 @@ def _png(data: bytes) -> np.ndarray:
             palette = np.frombuffer(data[at + 8 : at + 8 + size], "u1").reshape(-1, 3)
         at += 12 + size
     bands = {0: 1, 2: 3, 3: 1, 4: 2, 6: 4}[kind]
-    raw = np.frombuffer(zlib.decompress(b"".join(idat)), "u1").reshape(height, 1 + width * bands)
+    raw = np.frombuffer(zlib.decompressobj().decompress(b"".join(idat), height * (1 + width * bands)), "u1").reshape(height, 1 + width * bands)
     out = np.zeros((height, width * bands), "u1")
     before = np.zeros(width * bands, "i4")
     for y in range(height):
@@ -121,15 +133,29 @@ def _grey(pixels: np.ndarray) -> np.ndarray:
     return np.rint(pixels @ np.array([0.299, 0.587, 0.114])).astype("u1")
 
 
+def _few(width: int, height: int) -> bool:
+    return 0 < width * height <= MOST_PIXELS
+
+
+def _fitted(grey: np.ndarray) -> np.ndarray:
+    """The picture halved until its sides fit."""
+    while max(grey.shape) > MOST_SIDE:
+        h, w = grey.shape[0] // 2 * 2, grey.shape[1] // 2 * 2
+        grey = (grey[:h:2, :w:2].astype("u2") + grey[1:h:2, :w:2] + grey[:h:2, 1:w:2] + grey[1:h:2, 1:w:2] + 2 >> 2).astype("u1")
+    return grey
+
+
 def decode(data: bytes | None) -> np.ndarray | None:
     """Grey values of a picture; None if it cannot be read."""
     if not data:
         return None
     try:
         if data[:8] == b"\x89PNG\r\n\x1a\n":
-            return _png(data)
+            return _png(data) if _few(*struct.unpack(">II", data[16:24])) else None
         if m := re.match(rb"P([56])\s+(?:#[^\n]*\n\s*)*(\d+)\s+(\d+)\s+255\s", data):
             bands, width, height = 3 if m[1] == b"6" else 1, int(m[2]), int(m[3])
+            if not _few(width, height):
+                return None
             return _grey(np.frombuffer(data, "u1", width * height * bands, m.end()).reshape(height, width, bands))
     except (ValueError, KeyError, IndexError, TypeError, struct.error, zlib.error):
         pass
@@ -165,7 +191,7 @@ def _smooth(x: np.ndarray) -> np.ndarray:
 
 
 def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For pictures of one size, (n, height, width): (places (k, 4): x, y, scale, angle; tests (k, 32) bytes) of each."""
+    """For pictures of one size, (n, height, width): (places (k, 4): x, y, scale, angle; tests (k, BITS // 8) bytes) of each."""
     count = len(grey)
     found: list[list[tuple]] = []
     for level, scale in enumerate(SCALES):
@@ -189,13 +215,17 @@ def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
             continue
         strength = inner[n, y, xx]
         y, xx = y + EDGE, xx + EDGE
+        # the top of a parabola through the maximum and its neighbours
+        top = lambda low, high: np.clip((high - low) / (2 * np.maximum(2 * strength - low - high, 1e-6)), -0.5, 0.5)  # noqa: B023, E731
+        fy, fx = top(r[n, y - 1, xx], r[n, y + 1, xx]), top(r[n, y, xx - 1], r[n, y, xx + 1])
+        x = _smooth(_smooth(x))
         my, mx = np.zeros(len(n)), np.zeros(len(n))
-        for oy, ox in _DISC:
-            v = x[n, y + oy, xx + ox]
+        for oy, ox, weight in _DISC:
+            v = x[n, y + oy, xx + ox] * weight
             my += oy * v
             mx += ox * v
         angle = np.arctan2(my, mx)
-        found.append((n, strength, level, y, xx, angle, x))
+        found.append((n, strength, level, y + fy, xx + fx, angle, x))
     if not found:
         return [(np.zeros((0, 4), "f4"), np.zeros((0, BITS // 8), "u1"))] * count
     n = np.concatenate([f[0] for f in found])
@@ -214,8 +244,8 @@ def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         turn = np.rint(a / (2 * np.pi) * ANGLES).astype("i4") % ANGLES
         at = _TURNED[turn]
         h, w = x.shape[1:]
-        vy = np.clip(yy[:, None, None] + at[..., 0], 0, h - 1)
-        vx = np.clip(x_[:, None, None] + at[..., 1], 0, w - 1)
+        vy = np.clip(np.rint(yy[:, None, None] + at[..., 0]).astype("i4"), 0, h - 1)
+        vx = np.clip(np.rint(x_[:, None, None] + at[..., 1]).astype("i4"), 0, w - 1)
         v = x[n_[mine][:, None, None], vy, vx]
         bits.append(np.packbits(v[:, :, 0] < v[:, :, 1], axis=1))
         places.append(np.stack([x_ / SCALES[level], yy / SCALES[level], np.full(len(mine), SCALES[level]), a], 1).astype("f4"))
@@ -247,7 +277,8 @@ def consensus(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
     ty = q[:, 1] - (sin * p[:, 0] + cos * p[:, 1])
     x = cos[:, None] * p[None, :, 0] - sin[:, None] * p[None, :, 1] + tx[:, None]
     y = sin[:, None] * p[None, :, 0] + cos[:, None] * p[None, :, 1] + ty[:, None]
-    fit = (np.hypot(x - q[None, :, 0], y - q[None, :, 1]) <= 3) & (np.abs(np.log(ratio[:, None] / ratio[None, :])) < 0.4)
+    bent = np.abs((turn[:, None] - turn[None, :] + np.pi) % (2 * np.pi) - np.pi)
+    fit = (np.hypot(x - q[None, :, 0], y - q[None, :, 1]) <= 3) & (np.abs(np.log(ratio[:, None] / ratio[None, :])) < 0.4) & (bent < 0.4)
     best = 0
     for row in fit:  # a corner counts once on either side
         best = max(best, min(len({*i[row].tolist()}), len({*j[row].tolist()})))
@@ -255,23 +286,35 @@ def consensus(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
 
 
 def features(media: DataFrame, data: str = "data") -> DataFrame:
-    """(media_id, digest, places, tests): digest of the pixels; null for a picture that cannot be read."""
+    """(media_id, digest, places, tests): digest of the pixels; null for a picture that cannot be read, or without an id.
+
+    places and tests may be null for a picture that came before in the same task.
+    """
 
     def make():
+        before: set[bytes] = set()
+
         def f(batch):
             ids = batch.column("media_id")
-            pictures = [decode(x) for x in batch.column(data).to_pylist()]
-            places, tests, digest = [b""] * len(pictures), [b""] * len(pictures), [None] * len(pictures)
-            sizes: dict[tuple, dict[bytes, list[int]]] = {}
-            for i, p in enumerate(pictures):
-                if p is not None:
-                    digest[i] = hashlib.blake2b(repr(p.shape).encode() + p.tobytes(), digest_size=16).digest()
-                    sizes.setdefault(p.shape, {}).setdefault(digest[i], []).append(i)
-            for equal in sizes.values():
-                heads = [at[0] for at in equal.values()]
-                for at, (place, bits) in zip(equal.values(), describe(np.stack([pictures[i] for i in heads])), strict=True):
-                    for i in at:
-                        places[i], tests[i] = place.tobytes(), bits.tobytes()
+            n = batch.num_rows
+            places, tests, digest = [None] * n, [None] * n, [None] * n
+            sizes: dict[tuple, list[tuple[int, np.ndarray]]] = {}
+            if len(before) > 1 << 16:
+                before.clear()
+            for i, (media_id, data_) in enumerate(zip(ids, batch.column(data), strict=True)):
+                if not media_id.is_valid or (p := decode(data_.as_py())) is None:
+                    continue
+                digest[i] = hashlib.blake2b(repr(p.shape).encode() + p.tobytes(), digest_size=16).digest()
+                if digest[i] not in before:
+                    before.add(digest[i])
+                    p = _fitted(p)
+                    sizes.setdefault(p.shape, []).append((i, p))
+            for shape, own in sizes.items():
+                at_once = max(1, (1 << 20) // (shape[0] * shape[1]))
+                for k in range(0, len(own), at_once):
+                    part = own[k : k + at_once]
+                    for (i, _), (place, bits) in zip(part, describe(np.stack([p for _, p in part])), strict=True):
+                        places[i], tests[i] = _packed(place), bits.tobytes()
             return {"media_id": ids, "digest": digest, "places": places, "tests": tests}
 
         return f
@@ -279,30 +322,39 @@ def features(media: DataFrame, data: str = "data") -> DataFrame:
     return map_arrow(media.select(F.col("media_id").cast("long"), data), "media_id long, digest binary, places binary, tests binary", make, rows=64)
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """x and y in 16ths of a pixel, the number of the scale, and the angle in 256ths of a turn: six bytes a corner."""
+    out = np.zeros(len(places), np.dtype([("x", "<u2"), ("y", "<u2"), ("s", "u1"), ("a", "u1")]))
+    out["x"], out["y"] = np.rint(places[:, 0] * 16), np.rint(places[:, 1] * 16)
+    out["s"] = np.abs(places[:, 2, None] - np.array(SCALES, "f4")).argmin(1)
+    out["a"] = np.rint(places[:, 3] / (2 * np.pi) * 256).astype("i4") & 255
+    return out.tobytes()
+
+
 def _corners(places: bytes, tests: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(places, "f4").reshape(-1, 4), np.frombuffer(tests, "u1").reshape(-1, BITS // 8)
+    p = np.frombuffer(places, np.dtype([("x", "<u2"), ("y", "<u2"), ("s", "u1"), ("a", "u1")]))
+    place = np.stack([p["x"] / 16, p["y"] / 16, np.array(SCALES)[p["s"]], p["a"] * (2 * np.pi / 256)], 1)
+    return place, np.frombuffer(tests, "u1").reshape(-1, BITS // 8)
 
 
 def table_keys(nodes: DataFrame) -> DataFrame:
-    """(band, key, node): one row for each table and distinct part of a picture's tests."""
+    """(band, key, node): one row for each table and distinct choice of a picture's tests."""
 
     def make():
+        weight = (np.uint64(1) << np.arange(KEY_BITS, dtype="<u8")).astype("<u8")
+
         def f(batch):
-            node, band, key = [], [], []
-            for n, tests in zip(batch.column("node").to_pylist(), batch.column("tests").to_pylist(), strict=True):
-                if not tests:
-                    continue
-                parts = np.frombuffer(tests, "<u8").reshape(-1, TABLES, BITS // 64 // TABLES)
-                for t in range(TABLES):
-                    h = np.zeros(len(parts), "<u8")
-                    for k in range(parts.shape[2]):
-                        h = (h ^ parts[:, t, k]) * np.uint64(0x9E3779B97F4A7C15)
-                        h ^= h >> np.uint64(29)
-                    own = np.unique(h.view("<i8"))
-                    node += [n] * len(own)
-                    band += [t] * len(own)
-                    key += own.tolist()
-            return {"band": band, "key": key, "node": node}
+            tests = [t or b"" for t in batch.column("tests").to_pylist()]
+            count = np.array([len(t) // (BITS // 8) for t in tests])
+            bits = np.unpackbits(np.frombuffer(b"".join(tests), "u1").reshape(-1, BITS // 8), axis=1)
+            node = np.repeat(batch.column("node").to_numpy(), count)
+            bands, keys, nodes_ = [], [], []
+            for t in range(TABLES):
+                own = np.unique(np.stack([node, (bits[:, _CHOICE[t]] * weight).sum(1, dtype="<u8").view("<i8")], 1), axis=0)
+                bands.append(np.full(len(own), t))
+                nodes_.append(own[:, 0])
+                keys.append(own[:, 1])
+            return {"band": np.concatenate(bands), "key": np.concatenate(keys), "node": np.concatenate(nodes_)}
 
         return f
 
@@ -324,36 +376,41 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, agree: int) -> DataFrame:
     return map_arrow(pairs.join(one("a"), "a").join(one("b"), "b"), "a long, b long", make)
 
 
+def consensus_blocks(left: DataFrame, nodes: DataFrame, agree: int, block: int = 128) -> DataFrame:
+    """Links (a, b) between members of different classes of large keys: all that join classes."""
+
+    def compare(one: dict, two: dict):
+        own, other = ([_corners(p, t) for p, t in zip(x["places"], x["tests"], strict=True)] for x in (one, two))
+        for i in range(len(own)):
+            for j in range(len(other)):
+                yield i, j, lambda a=own[i], b=other[j]: consensus(a, b) >= agree
+
+    return near_dup.in_blocks(left, nodes.select("node", "places", "tests"), ["places", "tests"], compare, block=block)
+
+
 def copies(media: DataFrame, data: str = "data", agree: int = AGREE) -> DataFrame:
-    """(media_id, class_id, n_links) of (media_id, data) rows."""
+    """(media_id, class_id) of (media_id, data) rows."""
     spark = media.sparkSession
     described = stage(features(media, data), "features")
     readable = described.filter(F.col("media_id").isNotNull() & F.col("digest").isNotNull())
-    nodes = stage(readable.groupBy("digest").agg(F.min("media_id").alias("node"), F.first("places").alias("places"), F.first("tests").alias("tests")), "pictures")
+    some = lambda c: F.first(c, ignorenulls=True).alias(c)
+    nodes = stage(readable.groupBy("digest").agg(some("places"), some("tests")).withColumn("node", F.monotonically_increasing_id()), "pictures")
     members = stage(near_dup.shared(table_keys(nodes)), "keys")
-    search = near_dup.Links(spark, lambda pairs: confirmed(pairs, nodes, agree), every=True)
-    search.search(members)
-    links, classes = search.links, search.classes
-    found = nodes.select("digest", "node").join(classes, "node", "left").select("digest", "node", F.coalesce("class", "node").alias("class_id"))
-    if links is None:
-        found = found.withColumn("n_links", F.lit(0).cast("long"))
-    else:
-        ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-        found = found.join(ends, "node", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
-    own = readable.select("media_id", "digest").join(found.select("digest", "class_id", "n_links"), "digest")
-    own = own.groupBy("media_id").agg(F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
-    every = described.groupBy("media_id").agg(F.count("*").alias("__n")).join(own, "media_id", "left")
-    every = every.withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
-    return every.select("media_id", F.coalesce("class_id", "media_id").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-
-
-def picture(vector: np.ndarray, cell: int = 8) -> np.ndarray:
-    """A vector drawn as a picture: its values as a square of cells, blended, with hard contrast."""
-    side = int(np.ceil(np.sqrt(len(vector))))
-    grid = np.zeros(side * side, "f8")
-    grid[: len(vector)] = vector
-    spread = np.abs(grid).max() or 1.0
-    grid = np.pad(grid.reshape(side, side) / spread, 1, "edge")
+    release(spark)
+    links = near_dup.Links(spark, lambda pairs: confirmed(pairs, nodes, agree))
+    links.search(members, lambda left: consensus_blocks(left, nodes, agree))
+    per_picture = nodes.select("digest", "node").join(links.classes, "node", "left").select("digest", F.coalesce("class", "node").alias("class"))
+    rows = stage(readable.groupBy("media_id", "digest").agg(F.count("*").alias("n")).join(per_picture, "digest"), "rows")
+    found = rows.join(rows.groupBy("class").agg(F.min("media_id").alias("class_id")), "class")
+    found = found.select("media_id", "class_id", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("media_id", "class_id")
+    alone = described.filter(F.col("media_id").isNull() | F.col("digest").isNull())
+    return found.unionByName(alone.select("media_id", F.col("media_id").alias("class_id")))
+
+
+def picture(vector: np.ndarray, side: int = 24, cell: int = 4) -> np.ndarray:
+    """A vector drawn as a picture: a square of cells, each a fixed random sum of its values, blended, with hard contrast."""
+    grid = (np.random.default_rng(11).normal(0, 1, (side * side, len(vector))) @ vector).reshape(side, side)
+    grid = np.pad(np.clip(grid / (2 * grid.std() or 1.0), -1, 1), 1, "edge")
     at = (np.arange(side * cell) + 0.5) / cell + 0.5
     low = at.astype("i4")
     w = at - low
@@ -363,16 +420,45 @@ def picture(vector: np.ndarray, cell: int = 8) -> np.ndarray:
     return np.rint(127.5 + 100 * both).astype("u1")
 
 
+def moved(grey: np.ndarray, degrees: float, scale: float) -> np.ndarray:
+    """Turned about its centre and resized, bilinear; the largest part without empty corners."""
+    h, w = grey.shape
+    cos, sin = np.cos(np.deg2rad(degrees)), np.sin(np.deg2rad(degrees))
+    fits = 1 / (abs(cos) + abs(sin) * max(h, w) / min(h, w))
+    y, x = np.mgrid[0 : int(h * scale * fits), 0 : int(w * scale * fits)].astype("f8")
+    y, x = y - y.max() / 2, x - x.max() / 2
+    sy, sx = (cos * y + sin * x) / scale + (h - 1) / 2, (cos * x - sin * y) / scale + (w - 1) / 2
+    y0, x0 = np.clip(sy.astype("i4"), 0, h - 2), np.clip(sx.astype("i4"), 0, w - 2)
+    fy, fx, g = sy - y0, sx - x0, grey.astype("f8")
+    out = (g[y0, x0] * (1 - fx) + g[y0, x0 + 1] * fx) * (1 - fy) + (g[y0 + 1, x0] * (1 - fx) + g[y0 + 1, x0 + 1] * fx) * fy
+    return np.clip(np.rint(out), 0, 255).astype("u1")
+
+
+#: Edits of the gallery's copies.
+EDITS = ("crop and brighter", "crop and flatter", "crop and turned by a quarter", "resized to 0.9", "resized to 0.8", "turned by 10 degrees", "noise", "fewer shades")
+
+
 def edited(grey: np.ndarray, kind: int) -> np.ndarray:
-    """A copy as people make them: cropped, and brighter, flatter or turned by a quarter."""
+    """A copy as people make them."""
     h, w = grey.shape
-    out = grey[h // 16 : h - h // 10, w // 12 : w - w // 16].astype("f8")
-    if kind % 3 == 0:
-        out = out + 18
-    elif kind % 3 == 1:
-        out = 0.85 * out + 10
-    else:
-        out = np.rot90(out)
+    cropped = grey[h // 16 : h - h // 10, w // 12 : w - w // 16].astype("f8")
+    match kind % len(EDITS):
+        case 0:
+            out = cropped + 18
+        case 1:
+            out = 0.85 * cropped + 10
+        case 2:
+            out = np.rot90(cropped)
+        case 3:
+            return moved(grey, 0, 0.9)
+        case 4:
+            return moved(grey, 0, 0.8)
+        case 5:
+            return moved(grey, 10, 1)
+        case 6:
+            out = grey + np.random.default_rng(kind).normal(0, 8, grey.shape)
+        case _:
+            out = grey // 12 * 12
     return np.clip(np.rint(out), 0, 255).astype("u1")
 
 

@@ -52,7 +52,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import bound_batches, kept, map_arrow, stage
+from chartloom.llm.common import bound_batches, kept, map_arrow, release, stage
 from chartloom.llm.tokens import Words
 
 SHINGLE = 5
@@ -380,31 +380,23 @@ def second_pairs(left: DataFrame, small: int = SMALL) -> DataFrame:
     return pairs.select(F.greatest("node", "o.node").alias("a"), F.least("node", "o.node").alias("b")).distinct()
 
 
-def block_pairs(left: DataFrame, sets: DataFrame, idf, least: float, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+def in_blocks(left: DataFrame, payload: DataFrame, columns: list[str], compare, small: int = SMALL, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between members of different classes of keys of more than ``small`` members: all that join classes.
 
-    left: (band, key, node, class). Those outside a key's largest class meet all its members, in blocks of about ``block``
-    nodes or BLOCK_BYTES: what is moved grows with the number of blocks, not of pairs. A block's similarities are one
-    product of matrices; those near ``least`` or above it are computed once more as ``verified`` does, unless links found
-    in the same block have joined both classes already.
+    left: (band, key, node, class). payload: (node, *columns), binary. Those outside a key's largest class meet all its
+    members, in blocks of about ``block`` nodes or BLOCK_BYTES: what is moved grows with the number of blocks, not of pairs.
+    compare(rows, others) of two dicts of columns gives (i, j, test) of pairs that may be links; test() tells, and is asked
+    only while links found in the same block have not joined both classes already.
     """
 
     def links(table):
         import pyarrow as pa
 
-        sampler = kept("sampler", idf.value, Sampler)
         side, node, label = (table.column(c).to_numpy() for c in ("side", "node", "class"))
         ia, ib = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         a, b = [], []
         if len(ia) and len(ib) and not (label == label[0]).all():
-            hashes, counts = (table.column(c).to_pylist() for c in ("hashes", "counts"))
-            own = []
-            for h, c in zip(hashes, counts, strict=True):
-                h = np.frombuffer(h, "<u4")
-                own.append((h, np.frombuffer(c, "<u4") if c else np.ones(len(h), "<u4")))
-            total = np.array([sampler.weights(*x).sum(dtype="f8") for x in own])
-            both = common_weight([own[i] for i in ia], [own[i] for i in ib], sampler.idf)
-            alike = both >= (least - 1e-3) * (total[ia][:, None] + total[ib][None, :] - both)
+            own = {c: table.column(c).to_pylist() for c in columns}
             parent = {c: c for c in label.tolist()}
 
             def find(c):
@@ -412,31 +404,52 @@ def block_pairs(left: DataFrame, sets: DataFrame, idf, least: float, small: int
                     parent[c] = c = parent[parent[c]]
                 return c
 
-            for i, j in zip(*np.nonzero(alike & (label[ia][:, None] != label[ib][None, :])), strict=True):
+            part = lambda at: {c: [own[c][i] for i in at] for c in columns} | {"class": label[at]}
+            for i, j, test in compare(part(ia), part(ib)):
                 x, y = int(ia[i]), int(ib[j])
                 p, q = find(int(label[x])), find(int(label[y]))
-                if p != q and sampler.similarity(own[x], own[y]) >= least:
+                if p != q and test():
                     parent[max(p, q)] = min(p, q)
                     a.append(max(node[x], node[y]))
                     b.append(min(node[x], node[y]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    size = F.length("hashes") + F.length("counts")
+    size = sum(F.length(c) for c in columns)
     whole = left.join(left.groupBy("band", "key").agg(F.count("*").alias("n")).filter(F.col("n") > small).select("band", "key"), ["band", "key"], "left_semi")
-    whole = stage(whole.join(sets.withColumn("size", size), "node"), "blocks")
+    whole = stage(whole.join(payload.withColumn("size", size), "node"), "blocks")
     parts = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_BYTES)).cast("int")
     of_class = whole.groupBy("band", "key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     keys = of_class.groupBy("band", "key").agg(F.sum("n").alias("n"), F.sum("size").alias("s"), F.max(F.struct("n", "class", "size")).alias("most"))
     keys = keys.select("band", "key", F.col("most.class").alias("most"), parts(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.size")).alias("few"), parts(F.col("n"), F.col("s")).alias("all"))
     sized = whole.join(keys, ["band", "key"])
     spread = F.xxhash64("node", F.lit(3))
-    columns = ["band", "key", "node", "class", "hashes", "counts"]
-    one = sized.filter("class != most").select(*columns, F.lit(0).alias("side"), F.pmod(spread, F.col("few")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"))
-    two = sized.select(*columns, F.lit(1).alias("side"), F.pmod(spread, F.col("all")).alias("j"), F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"))
+    kept_ = ["band", "key", "node", "class", *columns]
+    one = sized.filter("class != most").select(*kept_, F.lit(0).alias("side"), F.pmod(spread, F.col("few")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"))
+    two = sized.select(*kept_, F.lit(1).alias("side"), F.pmod(spread, F.col("all")).alias("j"), F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i"))
     both = one.withColumn("i", F.col("i").cast("int")).unionByName(two.withColumn("j", F.col("j").cast("int")))
     return both.groupBy("band", "key", "i", "j").applyInArrow(links, "a long, b long").distinct()
 
 
+def block_pairs(left: DataFrame, sets: DataFrame, idf, least: float, small: int = SMALL, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) of large keys that stayed mixed. A block's similarities are one product of matrices; those near ``least`` or above
+    it are computed once more as ``verified`` does.
+    """
+
+    def compare(one: dict, two: dict):
+        sampler = kept("sampler", idf.value, Sampler)
+        sets_ = []
+        for x in (one, two):
+            hashes = [np.frombuffer(h, "<u4") for h in x["hashes"]]
+            sets_.append([(h, np.frombuffer(c, "<u4") if c else np.ones(len(h), "<u4")) for h, c in zip(hashes, x["counts"], strict=True)])
+        total = [np.array([sampler.weights(*x).sum(dtype="f8") for x in own]) for own in sets_]
+        both = common_weight(*sets_, sampler.idf)
+        alike = both >= (least - 1e-3) * (total[0][:, None] + total[1][None, :] - both)
+        for i, j in zip(*np.nonzero(alike & (one["class"][:, None] != two["class"][None, :])), strict=True):
+            yield i, j, lambda a=sets_[0][i], b=sets_[1][j]: sampler.similarity(a, b) >= least
+
+    return in_blocks(left, sets.select("node", "hashes", "counts"), ["hashes", "counts"], compare, small, block)
+
+
 def common_weight(rows: list, columns: list, idf: np.ndarray, at_once: int = 1024) -> np.ndarray:
     """The weight that each of some (hashes, counts) shares with each of others: the sum of the lesser of both weights."""
     out = np.zeros((len(rows), len(columns)), "f8")
@@ -536,6 +549,7 @@ def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     per_text = texts.join(links.classes, "node", "left").select("digest", F.coalesce("class", "node").alias("class"))
     rows = stage(signed.groupBy("doc_id", "digest").agg(F.count("*").alias("n")).join(per_text, "digest"), "rows")
     idf_.destroy()
+    release(spark)
     head = rows.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("head"))
     found = rows.join(head, "class").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     first = (F.col("doc_id") == F.col("head.doc_id")) & (F.col("digest") == F.col("head.digest")) & (F.col("copy") == 1)

@@ -588,13 +588,49 @@ def test_copies_are_found_and_others_are_not(spark):
     got = media.copies(spark.createDataFrame([(i, d, "x") for i, d in rows], "media_id long, data binary, class_id string")).collect()
     assert len(got) == len(rows)
     by = {r.media_id: r for r in got}
-    assert sum(by[10 * i].class_id == by[10 * i + 1].class_id for i in range(60)) >= 58
+    found = {i: by[10 * i].class_id == by[10 * i + 1].class_id for i in range(60)}
+    assert all(v for i, v in found.items() if i % 8 < 3)  # crops
+    assert sum(found.values()) >= 54  # turned and resized ones among them
     assert sum(by[10 * i].class_id == by[10 * j].class_id for i in range(60) for j in range(i)) == 0
     assert by[35].class_id == by[30].class_id and by[5002].class_id == by[5003].class_id == 5002
     assert by[5000].class_id == 5000 and by[5001].class_id == 5001 and by[None].class_id is None
     assert media.copies(spark.createDataFrame([], "media_id long, data binary")).count() == 0
 
 
+def test_hard_edits_are_found(spark):
+    """Share of copies found for each kind of edit, and consensus of all pairs as the plain version."""
+    rng = np.random.default_rng(8)
+    pictures = [media.picture(v) for v in rng.normal(size=(40, 64))]
+    noisy = lambda g: np.clip(np.rint(g + rng.normal(0, 8, g.shape)), 0, 255).astype("u1")
+    kinds = {"0.9": lambda g: media.moved(g, 0, 0.9), "0.8": lambda g: media.moved(g, 0, 0.8), "10": lambda g: media.moved(g, 10, 1), "noise": noisy, "crop": lambda g: g[6:-9, 8:-5], "shades": lambda g: g // 12 * 12}
+    least = {"0.9": 0.9, "0.8": 0.85, "10": 0.8}
+    every = [(i, g) for i, g in enumerate(pictures)] + [(100 * k + i, edit(g)) for k, edit in enumerate(kinds.values(), 1) for i, g in enumerate(pictures)]
+    got = {r.media_id: r.class_id for r in media.copies(spark.createDataFrame([(i, media.pgm(g)) for i, g in every], "media_id long, data binary")).collect()}
+    for k, name in enumerate(kinds, 1):
+        assert np.mean([got[100 * k + i] == got[i] for i in range(40)]) >= least.get(name, 0.97), name
+    assert len({got[i] for i in range(40)}) == 40
+    corners = [media._corners(media._packed(p), t.tobytes()) for p, t in (media.describe(g[None])[0] for _, g in every)]
+    for a in range(0, 40, 7):
+        for b in range(len(every)):
+            assert (media.consensus(corners[a], corners[b]) >= media.AGREE) == (every[b][0] % 100 == a) or a == b
+
+
+def test_blocks_of_pictures_find_every_link(spark):
+    """A key that all pictures share, against the consensus of all pairs."""
+    pictures = [media.picture(v) for v in np.random.default_rng(2).normal(size=(6, 64))]
+    every = [media.edited(g, k) for g in pictures for k in (0, 1, 7)]
+    found = [media.describe(g[None])[0] for g in every]
+    nodes = spark.createDataFrame([(i, bytearray(media._packed(p)), bytearray(t.tobytes())) for i, (p, t) in enumerate(found)], "node long, places binary, tests binary")
+    left = spark.createDataFrame([(0, 7, i, i) for i in range(len(every))], "band int, key long, node long, class long")
+    for block in (4, 128):
+        links = [tuple(r) for r in media.consensus_blocks(left, nodes, media.AGREE, block=block).collect()]
+        own = list(range(len(every)))
+        for _ in own:
+            for a, b in links:
+                own = [min(own[a], own[b]) if c in (own[a], own[b]) else c for c in own]
+        assert own == [i // 3 * 3 for i in range(len(every))]
+
+
 def test_pictures_are_read():
     from chartloom.operators import encode
 
