@@ -17,6 +17,8 @@
    paired with all others; keys of several classes afterwards are looked at again
    and in the end compared whole, in blocks (the steps of ``near_dup``), so no
    two pictures that share a key go uncompared if they are in different classes.
+   Before pairs are compared, a first SKETCH tests of each corner tell whether enough
+   corners can match at all.
 5. Geometric consensus: corners of two pictures that match in BITS - FAR tests
    or more each propose a shift, turn and scale; a pair is a copy if AGREE matches
    or more fit one proposal.
@@ -39,19 +41,21 @@ import struct
 import zlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.llm import near_dup
 from chartloom.llm.common import map_arrow, release, stage
 
-SCALES = (1.0, 0.89, 0.79, 0.71, 0.63, 0.56, 0.5)
-CORNERS = 60
-BITS, TABLES, KEY_BITS = 128, 4, 52
+SCALES = (1.0, 0.89, 0.79, 0.71)
+CORNERS = 48
+BITS, TABLES, KEY_BITS = 128, 4, 50
 EDGE = 13
 ANGLES = 72
 FAR = 20
 AGREE = 6
+#: Tests of each corner that a first look at a pair uses, and how many may differ there.
+SKETCH, SKETCH_FAR = 32, 3
 MOST_SIDE, MOST_PIXELS = 1024, 1 << 26
 _REACH = 9.5
 
@@ -78,7 +82,7 @@ def _turned() -> np.ndarray:
 _TURNED = _turned()
 #: Which tests make up the key of each table.
 _CHOICE = np.array([np.random.default_rng(100 + t).permutation(BITS)[:KEY_BITS] for t in range(TABLES)])
-_DISC = [(y, x, float(np.exp(-(y * y + x * x) / (2 * (_REACH / 1.6) ** 2)))) for y in range(-9, 10) for x in range(-9, 10) if x * x + y * y <= _REACH**2]
+_DISC = np.array([(y, x, np.exp(-(y * y + x * x) / (2 * (_REACH / 1.6) ** 2))) for y in range(-9, 10) for x in range(-9, 10) if x * x + y * y <= _REACH**2], "f4")
 
 
 def pgm(grey: np.ndarray) -> bytes:
@@ -185,8 +189,8 @@ def _smooth(x: np.ndarray) -> np.ndarray:
         pad[axis] = (2, 2)
         p = np.pad(x, pad, "edge")
         n = x.shape[axis]
-        part = lambda k: np.take(p, range(k, k + n), axis)  # noqa: B023, E731
-        x = (part(0) + 4 * part(1) + 6 * part(2) + 4 * part(3) + part(4)) / 16
+        part = lambda k: p[:, k : k + n] if axis == 1 else p[:, :, k : k + n]  # noqa: B023, E731
+        x = (part(0) + part(4)) * np.float32(1 / 16) + (part(1) + part(3)) * np.float32(4 / 16) + part(2) * np.float32(6 / 16)
     return x
 
 
@@ -201,7 +205,7 @@ def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         dy, dx = np.zeros_like(x), np.zeros_like(x)
         dy[:, 1:-1], dx[:, :, 1:-1] = x[:, 2:] - x[:, :-2], x[:, :, 2:] - x[:, :, :-2]
         a, b, c = _smooth(dx * dx), _smooth(dy * dy), _smooth(dx * dy)
-        r = a * b - c * c - 0.04 * (a + b) ** 2
+        r = a * b - c * c - np.float32(0.04) * (a + b) ** 2
         inner = r[:, EDGE:-EDGE, EDGE:-EDGE]
         high = np.full(inner.shape, True)
         h, w = r.shape[1:]
@@ -219,13 +223,7 @@ def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         top = lambda low, high: np.clip((high - low) / (2 * np.maximum(2 * strength - low - high, 1e-6)), -0.5, 0.5)  # noqa: B023, E731
         fy, fx = top(r[n, y - 1, xx], r[n, y + 1, xx]), top(r[n, y, xx - 1], r[n, y, xx + 1])
         x = _smooth(_smooth(x))
-        my, mx = np.zeros(len(n)), np.zeros(len(n))
-        for oy, ox, weight in _DISC:
-            v = x[n, y + oy, xx + ox] * weight
-            my += oy * v
-            mx += ox * v
-        angle = np.arctan2(my, mx)
-        found.append((n, strength, level, y + fy, xx + fx, angle, x))
+        found.append((n, strength, level, y + fy, xx + fx, x))
     if not found:
         return [(np.zeros((0, 4), "f4"), np.zeros((0, BITS // 8), "u1"))] * count
     n = np.concatenate([f[0] for f in found])
@@ -236,11 +234,14 @@ def describe(grey: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     rank = np.arange(len(n)) - np.searchsorted(n[order], n[order])
     keep = order[rank < CORNERS]
     places, bits, owner = [], [], []
-    for i, (n_, _, level, y, xx, angle, x) in enumerate(found):
+    for i, (n_, _, level, y, xx, x) in enumerate(found):
         mine = item[keep[source[keep] == i]]
         if not len(mine):
             continue
-        yy, x_, a = y[mine], xx[mine], angle[mine]
+        yy, x_ = y[mine], xx[mine]
+        cy, cx = np.rint(yy).astype("i4"), np.rint(x_).astype("i4")
+        around = x[n_[mine][:, None], cy[:, None] + _DISC[:, 0].astype("i4"), cx[:, None] + _DISC[:, 1].astype("i4")] * _DISC[:, 2]
+        a = np.arctan2(around @ _DISC[:, 0], around @ _DISC[:, 1])
         turn = np.rint(a / (2 * np.pi) * ANGLES).astype("i4") % ANGLES
         at = _TURNED[turn]
         h, w = x.shape[1:]
@@ -286,9 +287,9 @@ def consensus(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]
 
 
 def features(media: DataFrame, data: str = "data") -> DataFrame:
-    """(media_id, digest, places, tests): digest of the pixels; null for a picture that cannot be read, or without an id.
+    """(media_id, digest, places, tests, sketch): digest of the pixels; null for a picture that cannot be read, or without an id.
 
-    places and tests may be null for a picture that came before in the same task.
+    The last three may be null for a picture that came before in the same task.
     """
 
     def make():
@@ -297,7 +298,7 @@ def features(media: DataFrame, data: str = "data") -> DataFrame:
         def f(batch):
             ids = batch.column("media_id")
             n = batch.num_rows
-            places, tests, digest = [None] * n, [None] * n, [None] * n
+            places, tests, sketch, digest = [None] * n, [None] * n, [None] * n, [None] * n
             sizes: dict[tuple, list[tuple[int, np.ndarray]]] = {}
             if len(before) > 1 << 16:
                 before.clear()
@@ -314,12 +315,12 @@ def features(media: DataFrame, data: str = "data") -> DataFrame:
                 for k in range(0, len(own), at_once):
                     part = own[k : k + at_once]
                     for (i, _), (place, bits) in zip(part, describe(np.stack([p for _, p in part])), strict=True):
-                        places[i], tests[i] = _packed(place), bits.tobytes()
-            return {"media_id": ids, "digest": digest, "places": places, "tests": tests}
+                        places[i], tests[i], sketch[i] = _packed(place), bits.tobytes(), bits[:, : SKETCH // 8].tobytes()
+            return {"media_id": ids, "digest": digest, "places": places, "tests": tests, "sketch": sketch}
 
         return f
 
-    return map_arrow(media.select(F.col("media_id").cast("long"), data), "media_id long, digest binary, places binary, tests binary", make, rows=64)
+    return map_arrow(media.select(F.col("media_id").cast("long"), data), "media_id long, digest binary, places binary, tests binary, sketch binary", make, rows=64)
 
 
 def _packed(places: np.ndarray) -> bytes:
@@ -361,6 +362,30 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     return map_arrow(nodes.select("node", "tests"), "band int, key long, node long", make)
 
 
+def shared(members: DataFrame) -> DataFrame:
+    """Members of keys that have several: one exchange of the rows, which are many and short."""
+    return members.withColumn("__n", F.count("*").over(Window.partitionBy("band", "key"))).filter("__n > 1").drop("__n")
+
+
+def possible(pairs: DataFrame, nodes: DataFrame, agree: int) -> DataFrame:
+    """Pairs (a, b) of which ``agree`` corners on either side have one on the other that differs in few of SKETCH tests."""
+
+    def make():
+        def f(batch):
+            keep = []
+            for k, (a, b) in enumerate(zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True)):
+                own, other = (np.frombuffer(v, "<u4") for v in (a, b))
+                near = np.bitwise_count(own[:, None] ^ other) <= SKETCH_FAR
+                if min(near.any(1).sum(), near.any(0).sum()) >= agree:
+                    keep.append(k)
+            return {c: batch.column(c).take(np.array(keep, "i8")) for c in ("a", "b")}
+
+        return f
+
+    one = lambda x: nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}"))
+    return map_arrow(pairs.join(one("a"), "a").join(one("b"), "b"), "a long, b long", make, rows=4096)
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, agree: int) -> DataFrame:
     """Pairs (a, b) with geometric consensus."""
 
@@ -373,7 +398,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, agree: int) -> DataFrame:
         return f
 
     one = lambda x: nodes.select(F.col("node").alias(x), F.col("places").alias(f"p{x}"), F.col("tests").alias(f"t{x}"))
-    return map_arrow(pairs.join(one("a"), "a").join(one("b"), "b"), "a long, b long", make)
+    return map_arrow(stage(possible(pairs, nodes, agree), "possible").join(one("a"), "a").join(one("b"), "b"), "a long, b long", make)
 
 
 def consensus_blocks(left: DataFrame, nodes: DataFrame, agree: int, block: int = 128) -> DataFrame:
@@ -394,8 +419,9 @@ def copies(media: DataFrame, data: str = "data", agree: int = AGREE) -> DataFram
     described = stage(features(media, data), "features")
     readable = described.filter(F.col("media_id").isNotNull() & F.col("digest").isNotNull())
     some = lambda c: F.first(c, ignorenulls=True).alias(c)
-    nodes = stage(readable.groupBy("digest").agg(some("places"), some("tests")).withColumn("node", F.monotonically_increasing_id()), "pictures")
-    members = stage(near_dup.shared(table_keys(nodes)), "keys")
+    nodes = stage(readable.groupBy("digest").agg(some("places"), some("tests"), some("sketch")).withColumn("node", F.monotonically_increasing_id()), "pictures")
+    release(spark)
+    members = stage(shared(table_keys(nodes)), "keys")
     release(spark)
     links = near_dup.Links(spark, lambda pairs: confirmed(pairs, nodes, agree))
     links.search(members, lambda left: consensus_blocks(left, nodes, agree))
