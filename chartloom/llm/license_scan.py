@@ -2,7 +2,11 @@ r"""Licence scans: normalised text against licence templates, by Dice coefficien
 
 Text is normalised to small letters with one space between words (runs of
 letters and digits). A text is compared as a whole, by paragraphs (parted by
-blank lines) and by lines, so that a notice inside other prose is found, too.
+blank lines), by lines, and by windows: wherever one of a template's anchors (its
+longest words, three at most) stands, as many words as the template has, placed
+so that the anchor is where the template has it. So a notice within a line, over
+several lines or paragraphs, or inside other prose is found, too, if one of its
+anchors is left.
 Dice is 2 |A n B| / (|A| + |B|) over the sets of bigrams. As it cannot exceed
 2 min(|A|, |B|) / (|A| + |B|), a template whose number of bigrams lies outside
 [t / (2 - t), (2 - t) / t] times the part's is never compared.
@@ -12,7 +16,8 @@ no join and no shuffle. The templates (a fixed list, or one given) are a
 constant of the plan.
 
 Edge cases: a null or empty text has no match; a text or template of one word
-has that word as its only gram. Equal parts of one text count once. If several
+has that word as its only gram. Equal matches of one text (licence, Dice, part)
+count once. A window that would begin before the text begins with it. If several
 templates tie, all are listed. Very long texts are scanned whole. Other columns
 are kept; ``licenses`` is added (an input column of that name is replaced).
 """
@@ -54,9 +59,24 @@ TEMPLATES = (
 )
 
 
+def words_of(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def anchors(templates) -> list[tuple[str, int, int, int]]:
+    """(word, template, offset, words of the template): the longest words of each template, fewer for short ones."""
+    out = []
+    for t, (_, text) in enumerate(templates):
+        words = words_of(text)
+        most = 1 if len(words) < 6 else 2 if len(words) < 11 else 3
+        for w in sorted(dict.fromkeys(words), key=lambda w: (-len(w), words.index(w)))[:most]:
+            out.append((w, t, words.index(w), len(words)))
+    return out
+
+
 def grams_of(text: str) -> list[str]:
     """Distinct bigrams of a normalised template, in order."""
-    words = re.findall(r"[^\W_]+", text.lower())
+    words = words_of(text)
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False))) if len(words) > 1 else words
 
 
@@ -66,16 +86,16 @@ def _let(value: Column, body) -> Column:
 
 def _grams(part: Column) -> Column:
     """Distinct bigrams of a normalised part (words with one space between)."""
-    return _let(
-        F.split(part, " "),
-        lambda w: F.when(F.size(w) < 2, w).otherwise(
-            F.array_distinct(F.transform(F.slice(w, 1, F.size(w) - 1), lambda x, i: F.concat(x, F.lit(" "), F.get(w, i + 1))))
-        ),
-    )
+    return _let(F.split(part, " "), _grams_of)
+
+
+def _grams_of(w: Column) -> Column:
+    pairs = F.transform(F.slice(w, 1, F.size(w) - 1), lambda x, i: F.concat(x, F.lit(" "), F.get(w, i + 1)))
+    return F.when(F.size(w) < 2, w).otherwise(F.array_distinct(pairs))
 
 
 def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> Column:
-    """Array of (license, dice, part): every part of a text that is close to a template, by place in the text."""
+    """Array of (license, dice, part): every part of a text that is close to a template; windows come last, by place in the text."""
     table = [(name, grams_of(t)) for name, t in templates]
     known = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(len(g)).alias("n"), F.array(*map(F.lit, g)).alias("grams")) for n, g in table])
     lowest = min(len(g) for _, g in table) * threshold / (2 - threshold)
@@ -100,7 +120,26 @@ def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) ->
 
         return _let(_grams(part), against)
 
-    return F.flatten(F.transform(parts, close))
+    held = anchors(templates)
+    spots = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(t).alias("t"), F.lit(o).alias("offset"), F.lit(n).alias("n")) for w, t, o, n in held])
+    names = sorted({w for w, *_ in held})
+
+    def placed(w: Column) -> Column:
+        """Matches of windows of the words w."""
+        seen = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("word"), i.alias("i"))), lambda x: x["word"].isin(names))
+        start = lambda x, a: F.struct(a["t"].alias("t"), F.greatest(x["i"] - a["offset"], F.lit(0)).alias("start"), a["n"].alias("n"))
+        windows = F.array_distinct(F.flatten(F.transform(seen, lambda x: F.transform(F.filter(spots, lambda a: a["word"] == x["word"]), lambda a: start(x, a)))))
+
+        def score(x: Column) -> Column:
+            part = F.slice(w, x["start"] + 1, x["n"])
+            t = F.get(known, x["t"])
+            return _let(_grams_of(part), lambda g: F.struct(t["name"].alias("license"), (F.lit(2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["n"])).alias("dice"), F.array_join(part, " ").alias("part")))
+
+        found = F.filter(F.transform(windows, score), lambda s: s["dice"] >= threshold)
+        return F.when(F.arrays_overlap(w, F.array(*map(F.lit, names))), found)
+
+    of_parts = F.flatten(F.transform(parts, close))
+    return F.array_distinct(F.concat(of_parts, F.coalesce(_let(F.split(whole, " "), placed), F.slice(of_parts, 1, 0))))
 
 
 def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -125,22 +164,28 @@ def oracle() -> str:
     """The same result as relational SQL: parts, bigrams and templates are joined and counted."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({i}, {quote(n)}, {quote(g)})" for i, (n, t) in enumerate(TEMPLATES) for g in grams_of(t))
+    spots = ", ".join(f"({quote(w)}, {t}, {o}, {n})" for w, t, o, n in anchors(TEMPLATES))
     return rf"""
 WITH template(t, license, gram) AS (VALUES {values}),
+anchor(word, t, shift, words) AS (VALUES {spots}),
 sizes AS (SELECT t, license, count(*) AS tn FROM template GROUP BY t, license),
 clean AS (SELECT doc_id, regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS c FROM documents),
 pieces AS (
   SELECT doc_id, c AS p FROM clean
   UNION ALL SELECT doc_id, unnest(string_split_regex(c, '\n *\n( *\n)*')) FROM clean WHERE regexp_matches(c, '\n *\n')
   UNION ALL SELECT doc_id, unnest(string_split(c, chr(10))) FROM clean),
-part AS (SELECT DISTINCT doc_id, trim(regexp_replace(p, '[ \n]+', ' ', 'g')) AS p FROM pieces),
-words AS (SELECT doc_id, p, string_split(p, ' ') AS w FROM part WHERE p <> ''),
+part AS (SELECT DISTINCT doc_id, trim(regexp_replace(p, '[ \n]+', ' ', 'g')) AS p, -1 AS of_t FROM pieces),
+text_words AS (SELECT doc_id, string_split(trim(regexp_replace(c, '[ \n]+', ' ', 'g')), ' ') AS w FROM clean),
+spot AS (SELECT doc_id, w, unnest(w) AS word, unnest(range(len(w))) AS i FROM text_words),
+win AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, greatest(i - shift, 0) + 1, greatest(i - shift, 0) + words), ' ') AS p, t FROM spot JOIN anchor USING (word)),
+every AS (SELECT doc_id, p, of_t FROM part WHERE p <> '' UNION ALL SELECT doc_id, p, t FROM win),
+words AS (SELECT doc_id, p, of_t, string_split(p, ' ') AS w FROM every),
 grams AS (
-  SELECT DISTINCT doc_id, p, CASE WHEN len(w) < 2 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS gram
-  FROM (SELECT doc_id, p, w, unnest(range(1, greatest(len(w), 2))) AS i FROM words)),
-size AS (SELECT doc_id, p, count(*) AS n FROM grams GROUP BY doc_id, p),
-shared AS (SELECT g.doc_id, g.p, m.t, count(*) AS k FROM grams g JOIN template m USING (gram) GROUP BY g.doc_id, g.p, m.t),
-scored AS (SELECT s.doc_id, z.license, 2.0::DOUBLE * k / (n + tn) AS dice FROM shared s JOIN size USING (doc_id, p) JOIN sizes z USING (t)),
+  SELECT DISTINCT doc_id, p, of_t, CASE WHEN len(w) < 2 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS gram
+  FROM (SELECT doc_id, p, of_t, w, unnest(range(1, greatest(len(w), 2))) AS i FROM words)),
+size AS (SELECT doc_id, p, of_t, count(*) AS n FROM grams GROUP BY doc_id, p, of_t),
+shared AS (SELECT g.doc_id, g.p, g.of_t, m.t, count(*) AS k FROM grams g JOIN template m USING (gram) WHERE g.of_t IN (-1, m.t) GROUP BY g.doc_id, g.p, g.of_t, m.t),
+scored AS (SELECT DISTINCT s.doc_id, z.license, 2.0::DOUBLE * k / (n + tn) AS dice, p FROM shared s JOIN size USING (doc_id, p, of_t) JOIN sizes z USING (t)),
 hits AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) AS n_matches, max(dice) AS best FROM scored WHERE dice >= {THRESHOLD}::DOUBLE GROUP BY doc_id)
 SELECT d.doc_id, coalesce(h.licenses, '') AS licenses, coalesce(h.n_matches, 0)::BIGINT AS n_matches, round(coalesce(h.best, 0.0)::DOUBLE, 9) AS best_dice
 FROM documents d LEFT JOIN hits h USING (doc_id)"""
