@@ -4,11 +4,11 @@
    sequences of their own. Cutting anywhere is allowed; rests stay whole.
 2. The histogram of rest lengths (at most ``window`` numbers, whatever the
    size of the table) goes to the driver. Shallow combinations of lengths that
-   fill a window are listed: all pairs a + b = window, and triples spread
-   evenly over all lengths, so that every length has some.
+   fill a window are listed: all pairs a + b = window, and ``triples`` triples
+   for each length, spread evenly over what fits it.
 3. Non-negative least squares solves for how often each combination repeats,
-   so that the lengths used match the histogram; repeats are rounded down
-   (never below what the histogram still holds).
+   so that the lengths used match the histogram; repeats are rounded to the
+   nearest number (never above what the histogram still holds).
 4. What is left is packed greedily, most first: the longest length left opens
    a sequence, and the longest that fits fills it, again and again. A pattern
    repeats as often as its lengths allow, so the plan stays at a few thousand
@@ -72,11 +72,12 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int, window: int, text: str
     return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")), PIECE + ", ids binary" * with_ids, make)
 
 
-def nnls(a_rows, a_cols, b, n_cols: int, steps: int = 400):
+def nnls(a_rows, a_cols, b, n_cols: int, steps: int = 4000, still: float = 1e-3):
     """x >= 0 that nearly minimises |Ax - b|, for a sparse A given by its ones (repeats add up).
 
     Multiplicative updates x *= (A'b) / (A'Ax): they keep x non-negative, cost
-    a few passes over the ones, and need no matrix.
+    a few passes over the ones, and need no matrix. They end when no number
+    moves by more than ``still`` of itself or of one repeat.
     """
     import numpy as np
 
@@ -85,7 +86,11 @@ def nnls(a_rows, a_cols, b, n_cols: int, steps: int = 400):
     for _ in range(steps):
         ax = np.bincount(a_rows, x[a_cols], len(b))
         atax = np.bincount(a_cols, ax[a_rows], n_cols)
-        x *= atb / np.maximum(atax, 1e-12)
+        new = x * (atb / np.maximum(atax, 1e-12))
+        done = (np.abs(new - x) <= still * np.maximum(x, 1)).all()
+        x = new
+        if done:
+            break
     return x
 
 
