@@ -114,11 +114,20 @@ def find_spans(text: str | None, encode, max_ratio: float = 2.0) -> list[tuple[s
     base = [(a, b) for _, a, b in out]
     if not _CANDIDATE.search(text):
         return out if len(out) < 2 else sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
-    at = 0
+    # base spans as runs that do not overlap, in order; next_ is the first that ends behind a candidate's start
+    runs: list[list[int]] = []
+    for a, b in sorted(base):
+        if runs and a < runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], b)
+        else:
+            runs.append([a, b])
+    at = next_ = 0
     for x, y in [*_addresses(text), (len(text), len(text))]:
         for m in _CANDIDATE.finditer(text, at, max(at, x)):
             a, b = m.span()
-            if any(x < b and a < y for x, y in base):
+            while next_ < len(runs) and runs[next_][1] <= a:
+                next_ += 1
+            if next_ < len(runs) and runs[next_][0] < b:
                 continue
             word = m.group()
             if not _known(word, encode, max_ratio) and len(word) < max_ratio * len(encode(word)):
