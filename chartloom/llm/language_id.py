@@ -1,7 +1,7 @@
 """Language identification by unigrams of pieces, summed over all segmentations.
 
-The pieces are those of a fixed public vocabulary, up to ``PIECE`` characters
-long. A language gives each piece a probability; a word's probability is the
+The pieces are those of a fixed public vocabulary that a word in small letters
+can hold. A language gives each piece a probability; a word's probability is the
 sum over all ways to cut it into pieces of the product of theirs, which the
 forward algorithm finds in one pass over the word. Words (runs of letters, in
 small letters, with the vocabulary's mark at the start) are independent. The
@@ -9,18 +9,18 @@ language of a text is the one with the greatest sum of log-probabilities over
 all words of the whole text; ``score`` is its share among the languages.
 
 Probabilities are learned by expectation-maximisation (forward and backward)
-on words of a bounded sample of labelled documents: ``docs_per_language``
-documents of each language, those of least hash, and their ``words_per_language``
-most frequent words. Prediction covers every text.
+on all words of a bounded sample of labelled documents: ``docs_per_language``
+documents of each language, those of least hash. Prediction covers every text.
 
 Each distinct word is scored once in a batch and kept in a table of bounded
 size, so most words cost one look-up; nothing shuffles.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; so
 is every text if no label was learned. Words of more than ``WORD`` characters
-are scored in parts of that length. Characters outside the vocabulary have a
+are learned and scored in parts of that length, all of them. More than
+MOST_LANGUAGES labels are an error. Characters outside the vocabulary have a
 small fixed probability. Ties go to the language first in the alphabet. Other
-columns of the input are left out.
+columns of the input are left out, and columns named like the results replaced.
 """
 
 from __future__ import annotations
@@ -33,12 +33,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import first_of, held_out, kept, map_arrow
+from chartloom.llm.common import first_of, give_back, held_out, kept, map_arrow
 from chartloom.llm.tokens import CODE, LETTER, WordTable, classes
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
-PIECE = 6
 WORD = 40
+MOST_LANGUAGES = 500
 UNKNOWN = 1e-7
 FLOOR = 0.02
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -57,7 +57,10 @@ def vocabulary(path: str = PATH) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     every = (model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)))
-    return sorted({p for p in every if len(p) <= PIECE and not any(c.isdigit() or c.isupper() for c in p) and "▁" not in p[1:]})
+    return sorted({p for p in every if not any(c.isdigit() or c.isupper() for c in p) and "▁" not in p[1:]})
+
+
+_FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 class Forward:
@@ -67,10 +70,17 @@ class Forward:
         from chartloom.llm.tokens import Table
 
         self.table = Table(len(pieces))
+        self.longest = max(map(len, pieces), default=1)
+        by_size: dict[int, list[int]] = {}
+        for i, p in enumerate(pieces):
+            by_size.setdefault(len(p), []).append(i)
         if pieces:
-            grid = self._grid(pieces, PIECE)
-            low, high = self._keys(grid, 0, PIECE)
-            self.table.add(low, high)
+            keys = np.zeros((2, len(pieces)), "<u8")
+            for size, at in by_size.items():
+                grid = self._grid([pieces[i] for i in at], size)
+                for k in range(size):
+                    keys[:, at] = self._more(keys[:, at], grid[:, k])
+            self.table.add(keys[0], keys[1])
 
     @staticmethod
     def _grid(words: list[str], width: int) -> np.ndarray:
@@ -79,52 +89,48 @@ class Forward:
         return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), width).astype("<u8")
 
     @staticmethod
-    def _keys(grid: np.ndarray, start: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Six code points of 21 bits in two integers: exact."""
-        out = []
-        for part in (range(start, start + min(size, 3)), range(start + 3, start + size)):
-            key = np.zeros(len(grid), "<u8")
-            for place, i in enumerate(part):
-                key |= grid[:, i] << np.uint64(21 * place)
-            out.append(key)
-        return out[0], out[1]
+    def _more(keys: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """Two hashes of 64 bits of strings, after one more character."""
+        return np.stack([(k ^ (k >> np.uint64(29))) * f + letter + np.uint64(1) for k, f in zip(keys, _FACTORS, strict=True)])
 
     def lattice(self, words: list[str]):
         """Arrays (length, numbers): numbers[i, j, k] is 1 + the piece that ends after j + 1 characters and has k + 1, or 0."""
         length = np.fromiter(map(len, words), "i4", len(words))
         width = int(length.max(initial=1))
         grid = self._grid(words, width)
-        numbers = np.zeros((len(words), width, PIECE), "i4")
-        for j in range(width):
-            on = np.flatnonzero(length > j)
-            rows = grid[on]
-            for k in range(min(PIECE, j + 1)):
-                numbers[on, j, k] = 1 + self.table.find(*self._keys(rows, j - k, k + 1))
+        numbers = np.zeros((len(words), width, min(self.longest, width)), "i4")
+        for start in range(width):
+            keys = np.zeros((2, len(words)), "<u8")
+            for k in range(min(self.longest, width - start)):
+                on = np.flatnonzero(length > start + k)
+                if not len(on):
+                    break
+                keys[:, on] = self._more(keys[:, on], grid[on, start + k])
+                numbers[on, start + k, k] = 1 + self.table.find(keys[0, on], keys[1, on])
         return length, numbers
 
     @staticmethod
     def sums(length, numbers, chance):
         """Forward sums alpha[i, j, language] over the first j characters. chance: a row for each number."""
-        n, width, _ = numbers.shape
+        n, width, most = numbers.shape
         alpha = np.zeros((n, width + 1, chance.shape[1]))
         alpha[:, 0] = 1
         for j in range(width):
             on = np.flatnonzero(length > j)
             total = alpha[on, j] * np.where(numbers[on, j, 0] > 0, 0, UNKNOWN)[:, None]
-            for k in range(min(PIECE, j + 1)):
+            for k in range(min(most, j + 1)):
                 total += alpha[on, j - k] * chance[numbers[on, j, k]]
             alpha[on, j + 1] = total
         return alpha
 
-    def score(self, words: list[str], chance: np.ndarray, at_once: int = 8_000) -> np.ndarray:
+    def score(self, words: list[str], chance: np.ndarray, at_once: int = 3_000) -> np.ndarray:
         """Log-probability of each word (small letters, without the mark) in each language."""
         out = np.zeros((len(words), chance.shape[1]))
         parts, owner = [], []
         for i, w in enumerate(words):
-            w = "▁" + w
-            for at in range(0, len(w), WORD):
-                parts.append(w[at : at + WORD])
-                owner.append(i)
+            own = in_parts(w)
+            parts += own
+            owner += [i] * len(own)
         order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
         for at in range(0, len(order), at_once):
             now = order[at : at + at_once]
@@ -134,18 +140,24 @@ class Forward:
         return out
 
 
+def in_parts(word: str) -> list[str]:
+    """The word with its mark, in parts of WORD characters."""
+    return [f"▁{word}"[at : at + WORD] for at in range(0, len(word) + 1, WORD)]
+
+
 def fit(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int = 4) -> Model:
     """Piece probabilities of each language from its word counts, by expectation-maximisation."""
     languages = sorted(counts)
     forward, size = Forward(pieces), len(pieces)
     chance = np.zeros((size + 1, len(languages)))
     for c, language in enumerate(languages):
-        words = sorted({("▁" + w)[:WORD] for w in counts[language]}, key=lambda w: (len(w), w))
+        words = sorted({p for w in counts[language] for p in in_parts(w)}, key=lambda w: (len(w), w))
         n = np.zeros(len(words))
         place = {w: i for i, w in enumerate(words)}
         for w, k in counts[language].items():
-            n[place[("▁" + w)[:WORD]]] += k
-        lattices = [(at, *forward.lattice(words[at : at + 5000])) for at in range(0, len(words), 5000)]
+            for p in in_parts(w):
+                n[place[p]] += k
+        lattices = [(at, *forward.lattice(words[at : at + 2000])) for at in range(0, len(words), 2000)]
         # the first probabilities follow how often a piece occurs as a string
         p = np.zeros(size + 1)
         for at, _, numbers in lattices:
@@ -159,18 +171,18 @@ def fit(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int = 4) -
             seen = np.zeros(size + 1)
             for at, length, numbers in lattices:
                 alpha = Forward.sums(length, numbers, p[:, None])[:, :, 0]
-                rows, width = np.arange(len(length)), numbers.shape[1]
+                rows, (_, width, most) = np.arange(len(length)), numbers.shape
                 beta = np.zeros((len(length), width + 1))
                 beta[rows, length] = 1
                 for j in range(width - 1, -1, -1):  # from the last character: what ends after j + 1
-                    for k in range(min(PIECE, j + 1)):
+                    for k in range(min(most, j + 1)):
                         use = p[numbers[:, j, k]]
                         if k == 0:
                             use = np.where(numbers[:, j, 0] > 0, use, UNKNOWN)
                         beta[:, j - k] += np.where(length > j, beta[:, j + 1] * use, 0)
                 share = n[at : at + len(length)] / alpha[rows, length]
                 for j in range(width):
-                    for k in range(min(PIECE, j + 1)):
+                    for k in range(min(most, j + 1)):
                         weight = share * alpha[:, j - k] * p[numbers[:, j, k]] * beta[:, j + 1]
                         seen += np.bincount(numbers[:, j, k], np.where(length > j, weight, 0), size + 1)
             p = seen
@@ -179,7 +191,7 @@ def fit(counts: dict[str, dict[str, int]], pieces: list[str], rounds: int = 4) -
 
 
 def learn(
-    docs: DataFrame, docs_per_language: int = 1500, words_per_language: int = 25_000, path: str = PATH
+    docs: DataFrame, docs_per_language: int = 500, path: str = PATH
 ) -> Model:
     """A model from (doc_id, text, lang) rows whose lang is not null."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -192,16 +204,18 @@ def learn(
         def f(batch):
             counts = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                counts.update((lang, w[:WORD]) for w in _LETTERS.findall(text.lower()))
+                counts.update((lang, w) for w in _LETTERS.findall(text.lower()))
             return {"lang": [k for k, _ in counts], "word": [w for _, w in counts], "n": list(counts.values())}
 
         return f
 
     counts = map_arrow(sample, "lang string, word string, n long", make).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = first_of(counts, ["lang"], [F.col("n").desc(), F.col("word")], words_per_language)
     found: dict[str, dict[str, int]] = {}
-    for r in counts.collect():  # words_per_language rows for each language
+    for r in counts.collect():  # the words of docs_per_language documents for each language
         found.setdefault(r.lang, {})[r.word] = r.n
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"{len(found)} languages; at most {MOST_LANGUAGES} are told apart")
+    give_back()
     return fit(found, vocabulary(path))
 
 
@@ -251,8 +265,8 @@ class _Scores(WordTable):
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(*keep, lang_pred, score); keep is doc_id by default."""
-    keep = ["doc_id"] if keep is None else keep
+    """(*keep, lang_pred, score); keep is doc_id by default, and columns of those names in it are replaced."""
+    keep = ["doc_id"] if keep is None else [c for c in keep if c not in ("lang_pred", "score")]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the vocabulary times the languages
     rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c != "__text") + ", lang_pred string, score double"
