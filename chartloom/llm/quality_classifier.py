@@ -187,16 +187,17 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_doc
 
         return f
 
-    joined = docs.join(F.broadcast(sample), "doc_id").select(F.col("label").cast("int"), "text", "n_chars")  # sample_docs rows
-    # one row for a label, and at most one number and weight for each hashed word
-    got = map_arrow(joined, "label int, f binary, x binary", make).orderBy("label", "f", "x").limit(sample_docs).collect()
+    # sample_docs rows at most: rows that repeat a doc_id are one, that of the least text
+    own = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", F.col("label").cast("int").alias("label")).agg(F.min(F.struct("text", "n_chars")).alias("d"))
+    # for each, at most one number and weight for each hashed word
+    got = map_arrow(own.select("label", "d.text", "d.n_chars"), "label int, f binary, x binary", make).orderBy("label", "f", "x").collect()
     rows = [(np.frombuffer(bytes(r.f), "i4"), np.frombuffer(bytes(r.x), "f4")) for r in got]
     return fit(rows, [int(r.label > 0) for r in got], bits)
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """(*keep, score) of (text, n_chars) rows; keep is doc_id by default."""
-    keep = ["doc_id"] if keep is None else keep
+    """(*keep, score) of (text, n_chars) rows; keep is doc_id by default, and a column score in it is replaced."""
+    keep = ["doc_id"] if keep is None else [c for c in keep if c != "score"]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
     rows = docs.select(*keep, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"), F.col("n_chars").cast("long").alias("__n"))
     schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if not c.startswith("__")) + ", score double"
