@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chartloom.llm import bpe_table, language_id, license_scan, media, near_dup, packing, quality_classifier, quality_rules, secret_scan, token_files, tokens
+from chartloom.llm.common import first_of
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -89,6 +90,14 @@ def dice(a, b):
     return 2 * len(a & b) / (len(a) + len(b))
 
 
+def mit_of_paragraphs():
+    """The MIT licence as it is usually written: three paragraphs with a line of copyright before."""
+    text = next(t for n, t in license_scan.TEMPLATES if n == "MIT" and len(t) > 500)
+    for start in ("The above copyright", "THE SOFTWARE IS PROVIDED"):
+        text = text.replace(" " + start, "\n\n" + start)
+    return "Copyright (c) 2020 Somebody\n\n" + text
+
+
 def test_licences_by_loops(spark, docs, none):
     notice = "Licensed under the Apache License, Version 2.0."
     texts = [
@@ -100,6 +109,10 @@ def test_licences_by_loops(spark, docs, none):
         "all rights",
         "rights",
         notice + " " + prose(5, 400),
+        f"Our notes from last week. {notice} Please keep it so.",
+        prose(6, 90) + "\n\nMIT License\n\n" + mit_of_paragraphs() + "\n\n" + prose(7, 200),
+        prose(8, 30) + " This Source Code Form is subject to the\nterms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not\ndistributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/. " + prose(9, 30),
+        "licensed", "under cc by 4 0 licensed",
         *[t for _, t in ODD],
     ]
     got = [r.m for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", license_scan.matches(F.col("text")).alias("m")).orderBy("i").collect()]
@@ -109,15 +122,20 @@ def test_licences_by_loops(spark, docs, none):
         clean = regex.sub(r"[^\p{L}\p{N}\n]+", " ", (text or "").lower())
         parts = {clean.replace("\n", " "), *clean.split("\n"), *(regex.split(r"\n *\n(?: *\n)*", clean) if regex.search(r"\n *\n", clean) else ())}
         parts = {" ".join(p.split()) for p in parts} - {""}
-        want = []
-        for p in parts:
-            w = p.split(" ")
-            grams = {f"{a} {b}" for a, b in zip(w, w[1:], strict=False)} or set(w)
-            for name, template in license_scan.TEMPLATES:
+        want = set()
+        words = clean.split()
+        for name, template in license_scan.TEMPLATES:
+            own = regex.findall(r"[^\W_]+", template.lower())
+            longest = sorted(dict.fromkeys(own), key=lambda w: (-len(w), own.index(w)))[: 1 if len(own) < 6 else 2 if len(own) < 11 else 3]  # noqa: B023
+            windows = {" ".join(words[max(0, i - own.index(w)) :][: len(own)]) for i, w in enumerate(words) if w in longest}
+            for p in parts | windows:
+                w = p.split(" ")
+                grams = {f"{a} {b}" for a, b in zip(w, w[1:], strict=False)} or set(w)
                 if (d := dice(grams, set(license_scan.grams_of(template)))) >= license_scan.THRESHOLD:
-                    want.append((name, round(d, 9), p))
+                    want.add((name, round(d, 9), p))
         assert sorted((x.license, round(x.dice, 9), x.part) for x in m) == sorted(want), text
     assert {x.license for x in got[1]} == {"Apache-2.0"} and {x.license for x in got[2]} == {"ISC"} and not got[6]
+    assert [{x.license for x in m} for m in got[8:11]] == [{"Apache-2.0"}, {"MIT"}, {"MPL-2.0"}]
     assert license_scan.scan(none).count() == 0
     kept = license_scan.scan(docs.withColumn("licenses", F.lit("old")))
     assert set(docs.columns) < set(kept.columns) and kept.count() == len(ODD)
@@ -454,6 +472,28 @@ def test_long_words_take_linear_time():
         subprocess.run([sys.executable, "-c", code], input=text, text=True, timeout=60, check=True)
 
 
+def test_many_spans_take_linear_time_and_are_the_plain_ones():
+    """The efficiency test by plain loops: all pairs of candidates and base spans."""
+    import re
+
+    encode = secret_scan._vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken")).encode_ordinary
+    rng = random.Random(5)
+    key = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    words = ["token=" + key(24), key(24), "plainwordsinarow", "some_name_of_some_thing", "deadbeef" * 4, "AKIA" + "Q7" * 8, "secret: x" + key(20) + "/" + key(20), "password=" + key(6)]
+    text = " ".join(rng.choice(words[:3] if rng.random() < 0.5 else words) + rng.choice(["", ",", ";"]) for _ in range(300))
+    got = secret_scan.find_spans(text, encode)
+    base_ = [(kind, m.start(), m.end()) for kind, p, group, least in secret_scan.BASE for m in p.finditer(text) if len(m[group]) >= least]
+    want = list(base_)
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        if not any(a < m.end() and m.start() < b for _, a, b in base_) and not secret_scan._known(m[0], encode, 2.0) and len(m[0]) < 2.0 * len(encode(m[0])):
+            want.append(("random", *m.span()))
+    assert sorted(got) == sorted(want) and {k for k, *_ in got} == set(secret_scan.KINDS)
+    many = " ".join(["token=abcdefgh1 " + "q" * 30] * 100_000)
+    code = "import sys; from chartloom.llm import secret_scan as s; print(len(s.find_spans(sys.stdin.read(), lambda w: [0])))"
+    for text, n in ((many, 100_000), ("z" * 10**6 + "+ ok", 0)):
+        assert int(subprocess.run([sys.executable, "-c", code], input=text, text=True, timeout=60, check=True, capture_output=True).stdout) == n
+
+
 # --- 7 languages
 
 
@@ -466,7 +506,7 @@ def brute_chance(word, pieces, chance):
         if at == len(w):
             return 1.0
         total = 0.0
-        for k in range(1, language_id.PIECE + 1):
+        for k in range(1, max(map(len, pieces)) + 1):
             part = w[at : at + k]
             if len(part) == k and part in index:
                 total += chance[index[part]] * go(at + k)
@@ -479,16 +519,35 @@ def brute_chance(word, pieces, chance):
 
 def test_forward_sums_all_segmentations():
     rng = np.random.default_rng(2)
-    pieces = sorted({"▁", "▁a", "▁ab", *"abcdé", "ab", "bc", "abc", "cd", "dé", "bcd", "abcdab"})
+    pieces = sorted({"▁", "▁a", "▁ab", *"abcdé", "ab", "bc", "abc", "cd", "dé", "bcd", "abcdab", "abcdabcdé"})
     chance = rng.random((len(pieces) + 1, 2)) * 0.1
     chance[0] = 0
-    words = ["a", "ab", "abcd", "abcdab", "dédé", "zzz", "azb", "é"]
+    words = ["a", "ab", "abcd", "abcdab", "dédé", "zzz", "azb", "é", "abcdabcdéa"]
     got = language_id.Forward(pieces).score(words, chance)
     for w, row in zip(words, got, strict=True):
         for c in range(2):
             assert math.exp(row[c]) == pytest.approx(brute_chance(w, pieces, chance[:, c]), rel=1e-9)
 
 
+def test_the_whole_vocabulary_and_whole_words_are_used():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=language_id.PATH)
+    pieces = set(language_id.vocabulary())
+    every = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    assert pieces == {p for p in every if "▁" not in p[1:] and p == p.lower() and not any(c.isdigit() for c in p)} or max(map(len, pieces)) > 10
+    long = "donaudampfschifffahrtsgesellschaftskapitaenswitwenrente" * 3
+    assert "".join(language_id.in_parts(long)) == "▁" + long and max(map(len, language_id.in_parts(long))) <= language_id.WORD
+    fitted = language_id.fit({"x": {long: 2, "ab": 1}, "y": {"cd": 1}}, sorted(pieces))
+    assert fitted.chance[1:].sum(0) == pytest.approx([1, 1])
+
+
+def test_first_of_each_by_salts(spark):
+    rows = [(i, "a" if i % 7 else "b") for i in range(500)]
+    got = first_of(spark.createDataFrame(rows, "i int, k string"), ["k"], [F.col("i").desc()], 9).collect()
+    assert sorted(tuple(r) for r in got) == sorted(sorted(rows, reverse=True)[j] for k in "ab" for j in [n for n, r in enumerate(sorted(rows, reverse=True)) if r[1] == k][:9])
+
+
 def test_languages_are_told_apart(spark, docs, none):
     tongues = {"aa": "ka lo mi tu ra".split(), "bb": "sch einung keit der ver".split(), "cc": "eaux que ré tion elle".split()}
     rng = random.Random(1)
