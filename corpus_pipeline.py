@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written
 as Parquet and read again as the next one's docs. All but the last keep the
 columns of documents. Every stage judges whole texts of all documents that its
-predecessor kept, and learns, where it learns, from those alone.
+predecessor kept, and learns, where it learns, from those alone that models may learn from.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.llm import language_id, near_dup, packing, quality_rules, secret_scan
-from chartloom.llm.common import staged_path
+from chartloom.llm.common import held_out, release, staged_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Documents of a language that is less certain than this go.
@@ -21,7 +21,7 @@ LEAST_SCORE = 0.5
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; those without a letter, or without a clear language, go."""
-    model = language_id.learn(docs.select("doc_id", "text", "lang"))
+    model = language_id.learn(docs.filter(~held_out()).select("doc_id", "text", "lang"))
     kept = language_id.predict(docs.select(COLUMNS), model, keep=COLUMNS)
     if not model.languages:  # nothing to learn from: nothing to reject by
         return docs.select(COLUMNS)
@@ -68,6 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         path = staged_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
+        release(spark)
         docs = spark.read.parquet(path)
     return docs
 
