@@ -528,6 +528,7 @@ class Links:
 def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """(doc_id, digest, class_id, is_first) of (doc_id, text) rows."""
     spark = docs.sparkSession
+    release(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     idf, _ = frequency_weights(docs)
     idf_ = spark.sparkContext.broadcast(idf)  # 4 MB, whatever the corpus
