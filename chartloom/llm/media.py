@@ -49,10 +49,10 @@ from chartloom.llm.common import map_arrow, release, stage
 
 SCALES = (1.0, 0.89, 0.79, 0.71)
 CORNERS = 48
-BITS, TABLES, KEY_BITS = 128, 4, 50
+BITS, TABLES, KEY_BITS = 104, 5, 50
 EDGE = 13
 ANGLES = 72
-FAR = 20
+FAR = 16
 AGREE = 6
 #: Tests of each corner that a first look at a pair uses, and how many may differ there.
 SKETCH, SKETCH_FAR = 32, 3
@@ -60,14 +60,23 @@ MOST_SIDE, MOST_PIXELS = 1024, 1 << 26
 _REACH = 9.5
 
 
-def _tests() -> np.ndarray:
-    """Places of the test pairs, (BITS, 2, 2), within the patch and some way apart."""
-    rng, out = np.random.default_rng(5), []
+def _tests(blur: float = 4.5, most: float = 0.75) -> np.ndarray:
+    """Places of the test pairs, (BITS, 2, 2), within the patch: random pairs that tell different things.
+
+    In a random picture whose values a distance d apart correlate by exp(-d^2 / 2 blur^2), the differences of two pairs
+    have a known correlation; a pair joins the others if none is above ``most``.
+    """
+    rng, alike, out = np.random.default_rng(5), lambda p, q: np.exp(-((p - q) ** 2).sum(-1) / (2 * blur * blur)), np.zeros((0, 2, 2))
+    spread = lambda p: np.sqrt(2 - 2 * alike(p[..., 0, :], p[..., 1, :]))
     while len(out) < BITS:
-        pair = np.clip(rng.normal(0, 0.58 * _REACH, (2, 2)), -_REACH, _REACH)
-        if np.hypot(*(pair[0] - pair[1])) >= 6:
-            out.append(pair)
-    return np.array(out)
+        pair = rng.uniform(-_REACH, _REACH, (2, 2))
+        if np.hypot(*(pair[0] - pair[1])) < 4:
+            continue
+        (p, q), r, s = pair, out[:, 0], out[:, 1]
+        both = (alike(p, r) - alike(p, s) - alike(q, r) + alike(q, s)) / (spread(pair) * spread(out)) if len(out) else np.zeros(1)
+        if np.abs(both).max() < most:
+            out = np.concatenate([out, pair[None]])
+    return out
 
 
 def _turned() -> np.ndarray:
