@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chartloom.functions.mercator import TILE, col
+from chartloom.functions.mercator import TILE, col, lat_of, lon_of
 
 
 def apply(gt: list, px, py) -> tuple[Column, Column]:
@@ -28,6 +28,12 @@ def rotated_bounds(gt: list, off_x, off_y, width, height) -> dict[str, Column]:
     return {"min_x": F.least(*xs), "min_y": F.least(*ys), "max_x": F.greatest(*xs), "max_y": F.greatest(*ys)}
 
 
+def degree_bounds(gt: list, width, height) -> dict[str, Column]:
+    """Longitudes and latitudes of a raster in Web Mercator, from its geotransform and size."""
+    box = rotated_bounds(gt, F.lit(0), F.lit(0), width, height)
+    return {"lon_min": lon_of(box["min_x"]), "lat_min": lat_of(box["min_y"]), "lon_max": lon_of(box["max_x"]), "lat_max": lat_of(box["max_y"])}
+
+
 def read_window(tile: dict, raster: dict, pixel_x, pixel_y, width, height) -> dict[str, Column]:
     """The raster's pixels that a tile shows, and where in the tile they go.
 

@@ -6,6 +6,7 @@ error that says so unless an encoder is given.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Callable
@@ -27,6 +28,19 @@ def png(rgba: bytes, width: int = TILE, height: int = TILE) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines, 6)) + chunk(b"IEND", b"")
 
 
+def png_pixels(image: bytes) -> bytes:
+    """The RGBA bytes of a PNG as ``png`` writes it."""
+    at, data, width = 8, b"", struct.unpack(">I", image[16:20])[0]
+    while at < len(image):
+        size, kind = struct.unpack(">I4s", image[at : at + 8])
+        if zlib.crc32(image[at + 4 : at + 8 + size]) != struct.unpack(">I", image[at + 8 + size : at + 12 + size])[0]:
+            raise ValueError("a chunk of the PNG is damaged")
+        data += image[at + 8 : at + 8 + size] if kind == b"IDAT" else b""
+        at += 12 + size
+    lines, step = zlib.decompress(data), 1 + 4 * width
+    return b"".join(lines[i + 1 : i + step] for i in range(0, len(lines), step))
+
+
 def encoder(fmt: str, given: dict[str, Callable] | None = None) -> Callable[[bytes], bytes]:
     known = {"png": png, "jpeg": encode_jpeg} | (given or {})
     if fmt not in ENDINGS:
@@ -48,7 +62,9 @@ def encode_tiles(tiles: DataFrame, fmt: str = "png", given: dict[str, Callable]
 
 
 def write_tiles(tiles: DataFrame, root: str, fmt: str = "png") -> DataFrame:
-    """Writes each tile's image to root/tileset/z/x/y.ending from the executors; (path, bytes) of what was written.
+    """Writes each tile's image to root/tile_path/z/x/y.ending from the executors; (path, bytes) of what was written.
+
+    Each task writes its tiles in order of zoom, column and row.
 
     root must be a folder that all executors share. A file is written beside its
     place and then renamed, so a task that is done again leaves whole files.
@@ -67,17 +83,19 @@ def write_tiles(tiles: DataFrame, root: str, fmt: str = "png") -> DataFrame:
                 os.replace(part, path)
             yield pd.DataFrame({"path": pdf.path, "bytes": pdf.image.map(len)})
 
-    located = tiles.select(tile_path("tileset", "z", "x", "y", fmt, root).alias("path"), "image")
+    placed = tiles.sortWithinPartitions("tile_path", "z", "x", "y")
+    located = placed.select(tile_path("tile_path", "z", "x", "y", fmt, root).alias("path"), "image")
     return located.mapInPandas(write, "path string, bytes long")
 
 
 def existing_tiles(spark, root: str, fmt: str = "png") -> DataFrame:
-    """(tileset, z, x, y) of the tile files below a folder; only their names are read."""
+    """(tile_path, z, x, y) of the tile files below a folder; only their names are read."""
     ending = ENDINGS[fmt]
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], "tileset string, z int, x int, y int")
+        return spark.createDataFrame([], "tile_path string, z int, x int, y int")
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*.{ending}").option("recursiveFileLookup", "true").load(root).select("path")
-    part = lambda i: F.regexp_extract("path", rf"([^/]+)/(\d+)/(\d+)/(\d+)\.{ending}$", i)
-    found = files.select(part(1).alias("tileset"), *[part(i).try_cast("int").alias(c) for i, c in ((2, "z"), (3, "x"), (4, "y"))])
+    below = re.escape(path.toUri().getPath().rstrip("/"))
+    part = lambda i: F.regexp_extract("path", rf"{below}/(.+)/(\d+)/(\d+)/(\d+)\.{ending}$", i)
+    found = files.select(part(1).alias("tile_path"), *[part(i).try_cast("int").alias(c) for i, c in ((2, "z"), (3, "x"), (4, "y"))])
     return found.filter("z IS NOT NULL")

@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from chartloom.functions.text import url_prefix, url_suffix
 
+#: Ids of the chart sections of the two kinds of index pages.
+VFR_SECTIONS = ("sectional", "terminalArea", "helicopter", "grandCanyon", "Planning", "caribbean")
+IFR_SECTIONS = ("lowsHighsAreas", "planning", "caribbean", "gulf")
 LINK = T.StructType([T.StructField("ordinal", T.IntegerType()), T.StructField("href", T.StringType()), T.StructField("text", T.StringType())])
 _ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -85,6 +88,15 @@ def table_links(pages: DataFrame, sections: list[str], html: str = "html", label
     return pages.select(*keep, F.explode(links(F.col(html))).alias("__l")).select(*keep, "__l.section", "__l.ordinal", "__l.href")
 
 
+def numbered(lists: list[DataFrame]) -> DataFrame:
+    """(grp, ordinal, url) of several lists (ordinal, url): one after the other, each a group of its own."""
+    out = None
+    for k, one in enumerate(lists):
+        part = one.select(F.lit(k).cast("string").alias("grp"), "ordinal", "url")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def dated(urls: DataFrame) -> DataFrame:
     """``prefix`` and ``suffix`` around the date; null for an URL without a date before a slash."""
     return urls.withColumns({"prefix": url_prefix("url"), "suffix": url_suffix("url")})

@@ -72,10 +72,10 @@ def overlaps(a: dict, b: dict, touch: float = TOUCH):
 
 
 def tile_pairs(datasets: DataFrame, zoom_max) -> DataFrame:
-    """(z, x, y, id): tiles and the datasets they show, by strict overlap in metres."""
+    """(z, x, y, id): tiles and the datasets they show, by strict overlap in metres. Boxes across the antimeridian are two."""
     own = {k: F.col(k) for k in ("min_x", "min_y", "max_x", "max_y")}
-    cells = cover(zoom_cross(with_meters(datasets), zoom_max))
-    return cells.filter(overlaps(own, m.tile_bounds("z", "x", "y"))).select("z", "x", "y", "id")
+    cells = cover(zoom_cross(with_meters(split_antimeridian(datasets)), zoom_max))
+    return cells.filter(overlaps(own, m.tile_bounds("z", "x", "y"))).select("z", "x", "y", "id").distinct()
 
 
 def bounds_tiles(rasters: DataFrame, zoom) -> DataFrame:
@@ -89,3 +89,13 @@ def bounds_tiles(rasters: DataFrame, zoom) -> DataFrame:
 def missing(tiles: DataFrame, existing: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Tiles that are not there yet. A tile that is there is never made again, even if its sources changed."""
     return tiles.join(existing, [*(by or []), "z", "x", "y"], "left_anti")
+
+
+def with_mosaic(tiles: DataFrame, mosaics: DataFrame) -> DataFrame:
+    """Tiles of the zooms that have a mosaic (z); others are skipped."""
+    return tiles.join(mosaics.select("z").distinct(), "z", "left_semi")
+
+
+def in_order(tiles: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Tiles by zoom, column and row, for a sink."""
+    return tiles.orderBy(*(by or []), "z", "x", "y")

@@ -89,6 +89,11 @@ def resample_kernel(grid: DataFrame, pixels: DataFrame, by: list[str], value: st
     return joined.groupBy(*by, "x", "y").agg(mean.alias(value)).filter(F.col(value).isNotNull())
 
 
+def present(rasters: DataFrame, files: DataFrame, name: str = "name") -> DataFrame:
+    """Rasters whose file is there (files: the same column), so that a mosaic names no others."""
+    return rasters.join(files.select(name).distinct(), name, "left_semi")
+
+
 def mosaic_extent(rasters: DataFrame, by: list[str]) -> DataFrame:
     """Extent, finest resolution and size of each group; n_crs and n_bands tell whether its rasters agree."""
     g = rasters.groupBy(*by).agg(

@@ -38,10 +38,10 @@ def palette_expand(pixels: DataFrame, palette: DataFrame, index: str = "idx") ->
     return pixels.join(palette, index)
 
 
-def mask_alpha(pixels: DataFrame, edges: DataFrame) -> DataFrame:
+def mask_alpha(pixels: DataFrame, edges: DataFrame, by: list[str] | None = None) -> DataFrame:
     """``a``: 255 for pixels whose centre is within the rings by the even-odd rule (so holes are out), else 0.
 
-    edges: (x1, y1, x2, y2) of all rings. Each edge meets the rows of pixels it
+    edges: (x1, y1, x2, y2) of all rings, and the columns ``by`` that tell datasets apart. Each edge meets the rows of pixels it
     crosses, so edges and pixels join by row; crossings to the right are counted.
     """
     low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
@@ -50,10 +50,16 @@ def mask_alpha(pixels: DataFrame, edges: DataFrame) -> DataFrame:
     rows = edges.filter(F.col("y1") != F.col("y2")).withColumns({"__a": first, "__b": last}).filter(F.col("__a") <= F.col("__b"))
     rows = rows.withColumn("py", F.explode(F.sequence("__a", "__b")))
     at = F.col("x1") + (F.col("py") + 0.5 - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    crossings = rows.groupBy("py").agg(F.collect_list(at).alias("__at"))
+    key = [*(by or []), "py"]
+    crossings = rows.groupBy(*key).agg(F.collect_list(at).alias("__at"))
     right = F.size(F.filter(F.col("__at"), lambda v: v > F.col("px") + 0.5))
     hit = F.coalesce(right, F.lit(0)) % 2 == 1
-    return pixels.join(crossings, "py", "left").withColumn("a", F.when(hit, 255).otherwise(0)).drop("__at")
+    return pixels.join(crossings, key, "left").withColumn("a", F.when(hit, 255).otherwise(0)).drop("__at")
+
+
+def shifted_gcps(points: DataFrame, off_x, off_y) -> DataFrame:
+    """Ground control points (px, py) of a window whose first pixel is (off_x, off_y)."""
+    return points.withColumns({"px": F.col("px") - col(off_x), "py": F.col("py") - col(off_y)})
 
 
 def gcp_affine(points: DataFrame, by: str = "ds") -> DataFrame:

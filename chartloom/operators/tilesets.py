@@ -52,7 +52,18 @@ def job_order(jobs: DataFrame, work: str = "work") -> DataFrame:
 
 
 def listing(tilesets: DataFrame, membered: DataFrame) -> DataFrame:
-    """A line of text for each tileset."""
-    n = membered.groupBy("tileset").agg(F.count("*").alias("n"))
-    both = tilesets.withColumnRenamed("name", "tileset").join(n, "tileset", "left")
-    return both.select("tileset", F.format_string("%s (%s): %d datasets", "tileset", "tile_path", F.coalesce("n", F.lit(0).cast("bigint"))).alias("line"))
+    """A line of text for each tileset: its name, path and zooms."""
+    zooms = zoom_range(tilesets, membered)
+    both = tilesets.withColumnRenamed("name", "tileset").join(zooms, "tileset")
+    return both.select("tileset", F.format_string("%-40s (%s, zoom %d-%d)", "tileset", "tile_path", "zoom_min", "zoom_max").alias("line"))
+
+
+def totals(membered: DataFrame) -> DataFrame:
+    """(memberships, datasets): members of all tilesets, and how many datasets these are; one row."""
+    return membered.agg(F.count("*").alias("memberships"), F.count_distinct("dataset").alias("datasets"))
+
+
+def first_named(rows: DataFrame, name: str = "name", order: str = "ordinal") -> DataFrame:
+    """Of rows that repeat a name, the first by ``order``; one pass with partial aggregation."""
+    own = F.struct(*rows.columns)
+    return rows.groupBy(name).agg(F.min_by(own, F.col(order)).alias("__r")).select(*[F.col(f"__r.{c}").alias(c) for c in rows.columns])

@@ -6,6 +6,7 @@ written apart, on the same tables, and outputs are cast and rounded alike.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 
 from chartloom.functions import affine, jsons, text
 from chartloom.functions import mercator as m
-from chartloom.operators import composite, encode, ingest, jobs, manifest, pyramid, raster, warp
+from chartloom.operators import blocks, composite, encode, ingest, jobs, manifest, pyramid, raster, warp
 from chartloom.operators import tilesets as ts
+from chartloom.plans import pipeline as build
 from chartloom.plans import views as v
 from chartloom.plans.views import METERS, O_, ZOOMED, Tables, cover, res, tx, ty, with_
 
@@ -217,9 +219,9 @@ def layer_order(t):
     return ts.layer_order(ts.members(v.membership(t), v.datasets(t))).select("tileset", "id", "layer")
 
 
-@query(with_("ds", "mb") + " SELECT tileset, tileset || ' (' || tile_path || '): ' || count(*) || ' datasets' AS line FROM mb JOIN ds ON name = dataset GROUP BY tileset, tile_path")
+@query(with_("ds", "mb") + " SELECT tileset, printf('%-40s (%s, zoom 0-%d)', tileset, tile_path, max(max_lod)::INT) AS line FROM mb JOIN ds ON name = dataset GROUP BY tileset, tile_path")
 def tileset_listing(t):
-    known = ts.members(v.membership(t), v.datasets(t)).select("tileset", "dataset")
+    known = ts.members(v.membership(t), v.datasets(t)).select("tileset", "dataset", "max_lod")
     return ts.listing(v.tilesets(t), known).join(known.select("tileset").distinct(), "tileset", "left_semi")
 
 
@@ -229,6 +231,16 @@ def job_order(t):
     return ts.job_order(jobs).select("id", r("work", 4).alias("work"), "place")
 
 
+@query(with_("mb") + " SELECT count(*)::BIGINT AS memberships, count(DISTINCT dataset)::BIGINT AS datasets FROM mb")
+def tileset_totals(t):
+    return ts.totals(v.membership(t))
+
+
+@query(with_("ds") + " SELECT zip_file, arg_min(name, id) AS name, min(id) AS id FROM ds GROUP BY zip_file")
+def first_named(t):
+    return ts.first_named(v.datasets(t).select("zip_file", "name", "id"), "zip_file", "id")
+
+
 # --- manifest
 
 
@@ -301,9 +313,25 @@ def tile_dataset_pairs(t):
     return manifest.tile_pairs(v.datasets(t), F.lit(8))
 
 
+@query(
+    with_("ds")
+    + ", two AS (SELECT id, max_lod, lat_min, lat_max, w AS lon_min, e AS lon_max FROM (SELECT *, CASE WHEN id % 10 = 0 THEN 176.0 ELSE lon_min END AS w0, CASE WHEN id % 10 = 0 THEN -176.0 ELSE lon_max END AS e0 FROM ds) d,"
+    " LATERAL (SELECT w0 AS w, CASE WHEN w0 > e0 THEN 180.0 ELSE e0 END AS e UNION ALL SELECT -180.0, e0 WHERE w0 > e0) b)"
+    + f",\n{_PAIRS.replace('FROM ds)', 'FROM two)', 1)} SELECT DISTINCT z, x, y, id FROM tp"
+)
+def wrapped_pairs(t):
+    return manifest.tile_pairs(v.wrapped(t), F.lit(8))
+
+
 _TILES = f"(SELECT DISTINCT z, x, y FROM {cover(ZOOMED, 'id')})"
 
 
+@query(with_("ds") + f" SELECT z, x, y FROM {_TILES} WHERE z % 2 = 0")
+def mosaic_zooms(t):
+    mosaics = t.spark.range(0, 9, 2).select(F.col("id").cast("int").alias("z"))
+    return manifest.in_order(manifest.with_mosaic(manifest.manifest(v.datasets(t), F.lit(8)), mosaics))
+
+
 @query(with_("ds") + f" SELECT z, x, y FROM {_TILES} WHERE (x + y) % 3 <> 0")
 def skip_existing(t):
     tiles = manifest.manifest(v.datasets(t), F.lit(8))
@@ -503,7 +531,13 @@ def mosaic_files(t):
     return pyramid.mosaic_files(_rasters(t), ["tileset"])
 
 
-@query()
+@query(
+    with_("ds", "mb")
+    + f", {_RASTERS}, e AS (SELECT tileset, min(min_x) AS x, max(max_y) AS y, min(rs) AS s FROM q GROUP BY tileset),"
+    " f AS (SELECT tileset, name, row_number() OVER (PARTITION BY tileset ORDER BY max_lod DESC, ordinal) AS layer, floor((min_x - x) / s + 0.5)::BIGINT AS dx, floor((y - max_y) / s + 0.5)::BIGINT AS dy,"
+    " floor((max_x - min_x) / s + 0.5)::BIGINT AS dw, floor((max_y - min_y) / s + 0.5)::BIGINT AS dh FROM q JOIN e USING (tileset))"
+    " SELECT tileset, '<mosaic>' || chr(10) || string_agg(printf('  <raster name=\"%s\" x=\"%d\" y=\"%d\" width=\"%d\" height=\"%d\"/>', name, dx, dy, dw, dh), chr(10) ORDER BY layer) || chr(10) || '</mosaic>' AS xml FROM f GROUP BY tileset"
+)
 def mosaic_xml(t):
     return pyramid.mosaic_xml(pyramid.mosaic_files(_rasters(t), ["tileset"]), ["tileset"])
 
@@ -513,13 +547,18 @@ def _drawn(t) -> DataFrame:
         (F.col("l_suppkey") % 4).cast("int").alias("x"), (F.col("l_orderkey") % 256).cast("int").alias("px"), (F.col("l_partkey") % 256).cast("int").alias("py"), F.floor("l_quantity").cast("int").alias("r"), "l_orderkey", "l_linenumber"
     )
     rows = rows.withColumns({"g": F.col("r") * 3 % 256, "b": F.lit(255) - F.col("r"), "a": F.lit(255), "lod": F.lit(5)})
-    return composite.painter(rows, ["x", "px", "py"], ["r", "g", "b"], order=["l_orderkey", "l_linenumber"])
+    return composite.painter(rows, ["x", "px", "py"], ["r", "g", "b"], order=["l_orderkey", "l_linenumber", "r"])
 
 
-@query()
+@query(
+    "WITH d AS (SELECT (l_suppkey % 4)::INT AS x, (l_orderkey % 256)::INT AS px, (l_partkey % 256)::INT AS py, arg_max(floor(l_quantity)::INT, l_orderkey * 100000 + l_linenumber * 1000 + floor(l_quantity)::INT) AS r FROM lineitem GROUP BY ALL),"
+    " every AS (SELECT x, px::INT AS px, py::INT AS py FROM (SELECT DISTINCT x FROM d), range(0, 256) a(px), range(0, 256) b(py))"
+    " SELECT x, sha256(unhex(string_agg(CASE WHEN r IS NULL THEN '00000000' ELSE printf('%02x%02x%02xff', r, r * 3 % 256, 255 - r) END, '' ORDER BY py, px))) AS pixels_sha256 FROM every LEFT JOIN d USING (x, px, py) GROUP BY x"
+)
 def encode_png(t):
-    tiles = composite.rgba(_drawn(t), ["x"])
-    return encode.encode_tiles(tiles).select("x", F.length("image").alias("bytes"), F.sha2("rgba", 256).alias("rgba_sha256"))
+    """Pixels as they come back from the encoded tiles."""
+    tiles = encode.encode_tiles(composite.rgba(_drawn(t), ["x"]))
+    return tiles.select("x", F.sha2(F.udf(encode.png_pixels, "binary", useArrow=True)("image"), 256).alias("pixels_sha256"))
 
 
 @query()
@@ -553,7 +592,17 @@ def warp_average(t):
     return warp.gather(v.raster(t), area, ["ds"], "v", F.lit(500000.0), 4326, 3857, gt).withColumn("v", F.round("v", 6))
 
 
-@query()
+_E = math.sqrt(warp.Lambert(0, 0, 0, 0).f * (2 - warp.Lambert(0, 0, 0, 0).f))
+_T = lambda lat: f"(tan(pi() / 4 - radians({lat}) / 2) / pow((1 - {_E} * sin(radians({lat}))) / (1 + {_E} * sin(radians({lat}))), {_E} / 2))"
+_M = lambda lat: f"(cos(radians({lat})) / sqrt(1 - pow({_E} * sin(radians({lat})), 2)))"
+
+
+@query(
+    with_("pt")
+    + f", k AS (SELECT (ln({_M('33.0')}) - ln({_M('45.0')})) / (ln({_T('33.0')}) - ln({_T('45.0')})) AS n), f AS (SELECT n, {_M('33.0')} / (n * pow({_T('33.0')}, n)) AS f FROM k),"
+    f" p AS (SELECT event_id, n * radians(lon + 96.0) AS th, 6378137.0 * f * pow({_T('lat')}, n) AS rho, 6378137.0 * f * pow({_T('38.0')}, n) AS rho0 FROM pt, f WHERE lat > 0 AND lon < 0)"
+    " SELECT event_id, round(rho * sin(th), 3) AS lx, round(rho0 - rho * cos(th), 3) AS ly, true AS same_lon, true AS same_lat FROM p"
+)
 def lambert_round_trip(t):
     p = warp.Lambert(lat0=38.0, lon0=-96.0, lat1=33.0, lat2=45.0)
     x, y = warp.lambert_forward(p, F.col("lon"), F.col("lat"))
@@ -562,6 +611,69 @@ def lambert_round_trip(t):
     return xy.select("event_id", r("lx", 3).alias("lx"), r("ly", 3).alias("ly"), (F.abs(lon - F.col("lon")) < 1e-7).alias("same_lon"), (F.abs(lat - F.col("lat")) < 1e-7).alias("same_lat"))
 
 
+@query(
+    "SELECT s_suppkey AS id, round(w * 180.0 / %s, 9) AS lon_min, round(degrees(atan(sinh((n - 40.0 * res) * pi() / %s))), 9) AS lat_min, round((w + 60.0 * res) * 180.0 / %s, 9) AS lon_max, round(degrees(atan(sinh(n * pi() / %s))), 9) AS lat_max"
+    " FROM (SELECT s_suppkey, (s_suppkey * 37 %% 300 - 150)::DOUBLE * 100000 AS w, (s_suppkey * 17 %% 100 - 50)::DOUBLE * 100000 AS n, 1000.0::DOUBLE + s_suppkey %% 5 AS res FROM supplier)" % (O_, O_, O_, O_)
+)
+def raster_degrees(t):
+    k = F.col("s_suppkey")
+    res_ = F.lit(1000.0) + k % 5
+    gt = [(k * 37 % 300 - 150).cast("double") * 100000, res_, F.lit(0.0), (k * 17 % 100 - 50).cast("double") * 100000, F.lit(0.0), -res_]
+    box = affine.degree_bounds(gt, F.lit(60), F.lit(40))
+    return t.supplier.select(k.alias("id"), *[F.round(c, 9).alias(n) for n, c in box.items()])
+
+
+@query(with_("gcp") + " SELECT ds, px - 5 AS px, py - 7 AS py, round(lon, 9) AS lon FROM gcp")
+def gcp_offset(t):
+    return raster.shifted_gcps(v.gcps(t), 5, 7).select("ds", "px", "py", r("lon", 9).alias("lon"))
+
+
+@query(with_("ds", "mb") + f", {_RASTERS} SELECT tileset, name FROM q WHERE ordinal % 3 <> 0")
+def mosaic_present(t):
+    files = v.membership(t).filter("ordinal % 3 <> 0").select("tileset", F.col("dataset").alias("name"))
+    return pyramid.present(_rasters(t), files).select("tileset", "name")
+
+
+#: Rasters of the build: seven of 16 by 16 pixels, side by side in Web Mercator metres.
+_PLACE = (1_000_000.0, 1_500_000.0, 160.0)
+
+
+def _build_grids(t) -> DataFrame:
+    rows = []
+    for ds in range(7):
+        x0, y0, size = _PLACE[0] + 1900.0 * ds, _PLACE[1] - 700.0 * ds, _PLACE[2]
+        gt, lod = [x0, size, 0.0, y0, 0.0, -size], 9 + ds % 2
+        grid = blocks.target_grid((0, 0, 16, 16), gt, 3857, 2 * m.ORIGIN / m.TILE / 2.0**lod, (None,) * 4)
+        rows.append((str(ds), gt, "3857", *grid, lod))
+    return t.spark.createDataFrame(rows, "dataset string, gt array<double>, system string, min_x double, max_y double, res double, width int, height int, max_lod int")
+
+
+_BUILD = f"""g0 AS (SELECT d AS ds, {_PLACE[0]}::DOUBLE + 1900.0 * d AS x0, {_PLACE[1]}::DOUBLE - 700.0 * d AS y0, 9 + d % 2 AS lod FROM range(0, 7) r(d)),
+g1 AS (SELECT *, {res('lod')} / cos(atan(sinh((y0 - 8 * {_PLACE[2]}) * pi() / {O_}))) AS rs FROM g0),
+g AS (SELECT *, floor(16 * {_PLACE[2]} / rs + 0.5)::INT AS n FROM g1),
+mid AS (SELECT ds, i, j, x0, y0, rs, lod, floor((i + 0.5) * rs / {_PLACE[2]})::INT AS px, floor((j + 0.5) * rs / {_PLACE[2]})::INT AS py FROM (SELECT *, unnest(range(0, n))::INT AS i FROM g) a, range(0, 20) b(j) WHERE j < n),
+val AS (SELECT mid.*, v FROM mid JOIN rs ON rs.ds = mid.ds AND rs.px = mid.px AND rs.py = mid.py),
+zs AS (SELECT g.*, z, {res('z')} AS rz FROM g, (VALUES (9), (10)) t(z) WHERE z <= lod),
+cand AS (SELECT ds, z, rz, rs, x0, y0, lod, n, (floor((x0 + {O_}) / rz) + a)::BIGINT AS gx, (floor(({O_} - y0) / rz) + b)::BIGINT AS gy FROM zs, range(-1, 20) p(a), range(-1, 20) q(b)),
+hit AS (SELECT ds, z, gx, gy, lod, floor(((gx + 0.5) * rz - {O_} - x0) / rs)::INT AS i, floor((y0 - ({O_} - (gy + 0.5) * rz)) / rs)::INT AS j FROM cand)"""
+
+
+@query(
+    with_("rs")
+    + f", {_BUILD} SELECT z::INT AS z, (gx // 256)::INT AS x, (gy // 256)::INT AS y, (gx % 256)::INT AS px, (gy % 256)::INT AS py, arg_max(v::INT, hit.ds - 100 * hit.lod) AS r FROM hit JOIN val ON val.ds = hit.ds AND val.i = hit.i AND val.j = hit.j GROUP BY ALL"
+)
+def build_tiles(t):
+    """Blocks, reprojection, tiles and the painter's rule with the nearest pixel."""
+    value = F.col("v").cast("int")
+    pixels = v.raster(t).select(F.col("ds").cast("string").alias("dataset"), "px", "py", value.alias("r"), value.alias("g"), value.alias("b"), F.lit(255).alias("a"))
+    grids = _build_grids(t)
+    base = blocks.warped(blocks.from_pixels(pixels), grids, "nearest")
+    members = grids.select(F.lit("T").alias("tileset"), F.lit("t").alias("tile_path"), "dataset", F.col("dataset").cast("int").alias("ordinal"), "max_lod")
+    zooms = t.spark.createDataFrame([("T", 9, 10)], "tileset string, zoom_min int, zoom_max int")
+    areas = grids.select("dataset", "min_x", "max_y", "res", "width", "height")
+    return blocks.to_pixels(build.tiles(base, areas, members, zooms, 0, method="nearest"), ["z", "x", "y"]).select("z", "x", "y", "px", "py", "r")
+
+
 # --- lists
 
 
@@ -571,10 +683,18 @@ def html_links(t):
     return t.pages.select("page_id", F.explode(ingest.anchors("html")).alias("a")).select("page_id", "a.ordinal", "a.href", "a.text")
 
 
-@query()
+@query(
+    "SELECT page_id, 'vfr' AS section, 0::INT AS ordinal, '/f' || page_id || '.zip' AS href FROM pages"
+    " UNION ALL SELECT page_id, 'vfr', 1::INT, '/second.zip' FROM pages WHERE page_id % 2 = 0 UNION ALL SELECT page_id, 'ifr', 0::INT, '/ifr' || page_id || '.zip' FROM pages WHERE page_id % 3 = 0"
+)
 def table_links(t):
-    cell = F.concat(F.lit('<div id="vfr"><table><tr><td>x</td><td><a href="/f'), F.col("page_id").cast("string"), F.lit('.zip"> geo-tiff </a><a href="/other">PDF</a></td></tr></table></div>'))
-    return ingest.table_links(t.pages.select("page_id", F.concat(cell, "html").alias("html")), ["vfr", "ifr"])
+    k = F.col("page_id").cast("string")
+    row = lambda href, label: F.concat(F.lit('<tr><td><a href="/first.zip">Geo-TIFF</a></td><td><a href="/other">PDF</a><a href="'), href, F.lit('">'), label, F.lit("</a></td></tr>"))
+    second = F.when(F.col("page_id") % 2 == 0, F.lit("<b>GEO-</b>TIFF")).otherwise(F.lit("Geo-TIFF chart"))
+    vfr = F.concat(F.lit('<div id="vfr"><table>'), row(F.concat(F.lit("/f"), k, F.lit(".zip")), F.lit(" geo-tiff ")), row(F.lit("/second.zip"), second), F.lit("</table></div>"))
+    name = F.when(F.col("page_id") % 3 == 0, "ifr").otherwise("more")
+    ifr = F.concat(F.lit('<div id="'), name, F.lit('"><table>'), row(F.concat(F.lit("/ifr"), k, F.lit(".zip")), F.lit("Geo-TIFF")), F.lit("</table></div>"))
+    return ingest.table_links(t.pages.select("page_id", F.concat(vfr, ifr, "html").alias("html")), ["vfr", "ifr"])
 
 
 @query(r"""SELECT page_id, trim(lower(url)) = 'http://ththre.example.com/fr/825?page=2&ref=x' AS same FROM pages""")
@@ -630,7 +750,22 @@ def status_counts(t):
 
 @query("SELECT event_id, (props->>'$.k')::INT AS k FROM events")
 def json_props(t):
-    return t.events.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    return t.events.select("event_id", jsons.get("props", "$.k", "int").alias("k"))
+
+
+@query(
+    "SELECT event_id, (props->>'$.k')::INT + 1 AS replaced, '[1,' || to_json(event_type) || ',' || event_id || ']' AS made, 2::INT AS depth, true AS near, (props->>'$.k')::INT AS first FROM events"
+)
+def json_edit(t):
+    k = jsons.get("props", "$.k", "int")
+    replaced = jsons.replaced_key("props", "K", (k + 1).cast("string"), any_case=True)
+    made = jsons.create("array", [jsons.create("number", F.lit(1)), jsons.create("string", "event_type"), jsons.create("raw", "event_id")])
+    deep = jsons.create("object", {"a": made})
+    near = jsons.near_equal(jsons.create("number", k + F.lit(0.1) + F.lit(0.2)), jsons.create("number", k + F.lit(0.3)))
+    item = jsons.replaced_item(made, 0, jsons.create("number", k))
+    return t.events.select(
+        "event_id", jsons.get(replaced, "$.k", "int").alias("replaced"), made.alias("made"), jsons.depth(deep).cast("int").alias("depth"), near.alias("near"), jsons.get(item, "$[0]", "int").alias("first")
+    )
 
 
 @query("SELECT event_id, json_type(props) = 'OBJECT' AS is_object, len(json_keys(props))::INT AS keys, json_exists(props, '$.k') AS has_k FROM events")

@@ -69,6 +69,35 @@ def metadata(data: bytes) -> tuple:
     return t[256][0], t[257][0], t.get(277, (1,))[0], gt, epsg
 
 
+def system(data: bytes):
+    """The reference system of a GeoTIFF: 4326, 3857, a Lambert, or None. NAD83 counts as WGS 84."""
+    from chartloom.operators.warp import Lambert
+
+    t = tags(data)
+    keys, doubles = t.get(34735, ()), t.get(34736, ())
+    found = {}
+    for k in range(4, len(keys) - 3, 4):
+        name, place, n, value = keys[k : k + 4]
+        if place == 0:
+            found[name] = value
+        elif place == 34736 and n == 1:
+            found[name] = doubles[value]
+    if found.get(3072) == 3857:
+        return 3857
+    if found.get(3075) in (8, 9):  # Lambert conformal conic with two standard parallels or one
+        first = lambda *names: next((float(found[n]) for n in names if n in found), 0.0)
+        lat0, lon0 = first(3085, 3081), first(3084, 3080)
+        lat1 = first(3078) if 3078 in found else lat0
+        lat2 = first(3079) if 3079 in found else lat1
+        a, inverse = first(2057) or 6378137.0, first(2059) or (298.257223563 if found.get(2048) == 4326 else 298.257222101)
+        return Lambert(lat0, lon0, lat1, lat2, first(3086, 3082), first(3087, 3083), a, 1 / inverse)
+    if 3072 not in found and found.get(2048) in (4326, 4269):
+        return 4326
+    if 3072 in found or 2048 in found:
+        raise ValueError(f"reference system {found.get(3072, found.get(2048))} is not read")
+    return None
+
+
 def pixels(data: bytes):
     """Array (band, row, column) of an 8-bit TIFF in strips or tiles: plain, deflated or packed; and its palette or None."""
     import numpy as np
@@ -179,8 +208,22 @@ def raster_blocks(members: DataFrame, side: int = 256) -> DataFrame:
     return members.select("archive", "member", "data").mapInPandas(cut, schema)
 
 
-def geotiff(grid, gt: list[float], epsg: int = 3857) -> bytes:
-    """A tiled, deflated GeoTIFF of an array (band, row, column) of bytes; north-up geotransforms only."""
+def geotiff(grid, gt: list[float], epsg=3857, overviews: tuple = ()) -> bytes:
+    """A tiled, deflated GeoTIFF of an array (band, row, column) of bytes; north-up geotransforms only.
+
+    epsg may be a Lambert or None. Overviews are arrays like the grid, each smaller, and become further directories.
+    """
+    out = _directory(grid, gt, epsg, 8, bool(overviews))
+    data = b"II*\0" + struct.pack("<I", 8) + out
+    for i, level in enumerate(overviews):
+        data += _directory(level, None, None, len(data), i + 1 < len(overviews), 1)
+    return data
+
+
+def _directory(grid, gt, epsg, start: int, more: bool, kind_of: int = 0) -> bytes:
+    """One directory with its values and blocks, for a place in the file; its last entry points behind itself if there are more."""
+    from chartloom.operators.warp import Lambert
+
     import numpy as np
 
     bands, height, width = grid.shape
@@ -193,22 +236,33 @@ def geotiff(grid, gt: list[float], epsg: int = 3857) -> bytes:
             block[: part.shape[0], : part.shape[1]] = part
             blocks.append(zlib.compress(block.tobytes(), 6))
     sizes = [len(b) for b in blocks]
-    model = 2 if epsg == 4326 else 1
-    keys = (1, 1, 0, 3, 1024, 0, 1, model, 1025, 0, 1, 1, 2048 if model == 2 else 3072, 0, 1, epsg)
+    doubles: tuple = ()
+    if isinstance(epsg, Lambert):
+        doubles = (epsg.lat1, epsg.lat2, epsg.lon0, epsg.lat0, epsg.x0, epsg.y0, epsg.a, 1 / epsg.f if epsg.f else 0.0)
+        named = (2057, 2059, 3078, 3079, 3084, 3085, 3086, 3087)
+        place = {3078: 0, 3079: 1, 3084: 2, 3085: 3, 3086: 4, 3087: 5, 2057: 6, 2059: 7}
+        simple = {1024: 1, 1025: 1, 3072: 32767, 3075: 8}
+        listed = sorted([(k, 0, 1, v) for k, v in simple.items()] + [(k, 34736, 1, place[k]) for k in named])
+        keys = (1, 1, 0, len(listed), *(v for entry in listed for v in entry))
+    else:
+        model = 2 if epsg == 4326 else 1
+        keys = (1, 1, 0, 3, 1024, 0, 1, model, 1025, 0, 1, 1, 2048 if model == 2 else 3072, 0, 1, epsg)
     entries = [
+        *([(254, "I", (kind_of,))] if kind_of else []),
         (256, "I", (width,)), (257, "I", (height,)), (258, "H", (8,) * bands), (259, "H", (8,)), (262, "H", (2 if bands >= 3 else 1,)),
         (277, "H", (bands,)), (284, "H", (1,)), (322, "I", (side,)), (323, "I", (side,)), (324, "I", None), (325, "I", sizes),
-        *([(338, "H", (2,))] if bands in (2, 4) else []), (33550, "d", (gt[1], -gt[5], 0.0)), (33922, "d", (0.0, 0.0, 0.0, gt[0], gt[3], 0.0)), (34735, "H", keys),
+        *([(338, "H", (2,))] if bands in (2, 4) else []), *([(33550, "d", (gt[1], -gt[5], 0.0)), (33922, "d", (0.0, 0.0, 0.0, gt[0], gt[3], 0.0))] if gt else []),
+        *([(34735, "H", keys)] if epsg else []), *([(34736, "d", doubles)] if doubles else []),
     ]
     kinds = {"H": 3, "I": 4, "d": 12}
-    at = 8 + 2 + 12 * len(entries) + 4
+    at = start + 2 + 12 * len(entries) + 4
     extra, offsets_at = [], at
     for _, kind, values in entries:  # space of the values that do not fit into an entry
         n = len(sizes) if values is None else len(values)
         if (size := n * struct.calcsize("<" + kind)) > 4:
             offsets_at += size
     starts = [offsets_at + sum(sizes[:i]) for i in range(len(sizes))]
-    head = b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", len(entries))
+    head = struct.pack("<H", len(entries))
     for tag, kind, values in entries:
         values = starts if values is None else values
         raw = struct.pack(f"<{len(values)}{kind}", *values)
@@ -219,4 +273,7 @@ def geotiff(grid, gt: list[float], epsg: int = 3857) -> bytes:
             head += struct.pack("<I", at)
             extra.append(raw)
             at += len(raw)
-    return head + struct.pack("<I", 0) + b"".join(extra) + b"".join(blocks)
+    body = b"".join(extra) + b"".join(blocks)
+    pad = b"\0" * ((start + len(head) + 4 + len(body)) % 2)  # directories begin at even places
+    after = start + len(head) + 4 + len(body) + len(pad) if more else 0
+    return head + struct.pack("<I", after) + body + pad

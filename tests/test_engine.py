@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from chartloom.functions import affine, text
 from chartloom.functions import mercator as m
-from chartloom.operators import composite, encode, ingest, manifest, pyramid, raster, warp
+from chartloom.operators import blocks, composite, encode, ingest, manifest, pyramid, raster, warp
 from chartloom.operators import tilesets as ts
+from chartloom.operators.warp import Lambert
 from chartloom.plans import pipeline
 from chartloom.sources import config, rasters
 from chartloom.streaming import upsert
@@ -326,8 +327,8 @@ def test_build_draws_masks_and_skips(spark, tmp_path):
     o = pipeline.Options(str(tmp_path / "c.json"), str(tmp_path / "zip"), str(tmp_path / "stage"), str(tmp_path / "out"))
     assert pipeline.build(spark, o).count() == 3
     files = sorted(str(p.relative_to(tmp_path / "out")) for p in (tmp_path / "out").rglob("*.png"))
-    assert files == ["T/0/0/0.png", "T/1/1/0.png", "T/2/2/1.png"]
-    data = (tmp_path / "out/T/1/1/0.png").read_bytes()
+    assert files == ["t/0/0/0.png", "t/1/1/0.png", "t/2/2/1.png"]
+    data = (tmp_path / "out/t/1/1/0.png").read_bytes()
     at = data.index(b"IDAT") - 4
     raw = zlib.decompress(data[at + 8 : at + 8 + struct.unpack(">I", data[at : at + 4])[0]])
     pixels = np.frombuffer(raw, "u1").reshape(256, 1025)[:, 1:].reshape(256, 256, 4)
@@ -343,14 +344,135 @@ PAGE = """<html><div id="other"><table><tr><td>1</td><td><a href="/no.zip">Geo-T
 <div><table><tr><td>1</td><td><a href="/after.zip">Geo-TIFF</a></td></tr></table></div></html>"""
 
 
-def test_build_refuses_other_reference_systems(spark, tmp_path):
+def zipped(folder, name, data):
+    with zipfile.ZipFile(folder / f"{name}.zip", "w") as z:
+        z.writestr(f"{name}.tif", data)
 
-    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
-        z.writestr("a.tif", rasters.geotiff(np.full((3, 4, 4), 9, "u1"), [0.0, 1.0, 0.0, 4.0, 0.0, -1.0], 2154))
-    schema = "name string, zip_file string, input_file string, mask array<array<struct<x:double,y:double>>>, lon_min double, lat_min double, lon_max double, lat_max double"
-    wanted = spark.createDataFrame([("a", "a.zip", "a.tif", None, None, None, None, None)], schema)
-    with pytest.raises(Exception, match="2154 is not read"):
-        pipeline.dataset_pixels(spark, wanted, str(tmp_path)).collect()
+
+def test_build_keeps_failures_as_rows(spark, tmp_path):
+    """Datasets that cannot be read or placed are rows with their error; the others are built."""
+    res = 2 * m.ORIGIN / 256 / 4
+    good = np.full((3, 40, 40), 50, "u1")
+    zipped(tmp_path, "good", rasters.geotiff(good, [0.0, res, 0.0, 40 * res, 0.0, -res]))
+    zipped(tmp_path, "other", rasters.geotiff(good, [0.0, 1.0, 0.0, 4.0, 0.0, -1.0], 2154))
+    zipped(tmp_path, "placeless", rasters.geotiff(good, None, None))
+    zipped(tmp_path, "junk", b"II*\0junk")
+    zipped(tmp_path, "outside", rasters.geotiff(good, [0.0, res, 0.0, 40 * res, 0.0, -res]))
+    names = ["good", "other", "placeless", "junk", "absent", "outside"]
+    conf = {"datasets": {n: {"zip_file": n, "max_lod": 2} for n in names}, "tilesets": {"T": {"tile_path": "t/u", "datasets": names}}}
+    conf["datasets"]["outside"]["geobound"] = [-100.0, -60.0, -90.0, -50.0]
+    (tmp_path / "c.json").write_text(json.dumps(conf))
+    o = pipeline.Options(str(tmp_path / "c.json"), str(tmp_path), str(tmp_path / "stage"), str(tmp_path / "out"))
+    assert {r.path.split("/out/")[1] for r in pipeline.build(spark, o).collect()} == {"t/u/0/0/0.png", "t/u/1/1/0.png", "t/u/2/2/1.png"}
+    bad = {r.dataset: r.error for r in pipeline.failures(spark.read.parquet(str(tmp_path / "stage/source"))).collect()}
+    assert set(bad) == set(names[1:]) and "2154" in bad["other"] and "geotransform" in bad["placeless"] and "not there" in bad["absent"] and "bounds" in bad["outside"]
+
+
+def test_gcps_and_lambert_place_rasters(spark, tmp_path):
+    """The same ground three times: in Lambert, by control points without any reference, and by its window in a mask."""
+    lambert = Lambert(38.5, -98.0, 33.0, 45.0, 0.0, 0.0)
+    gt = [-300_000.0, 1500.0, 0.0, 250_000.0, 0.0, -1500.0]
+    y, x = np.mgrid[0:300, 0:400]
+    grid = np.stack([x % 256, y % 256, np.full_like(x, 77)]).astype("u1")
+    zipped(tmp_path, "lcc", rasters.geotiff(grid, gt, lambert))
+    zipped(tmp_path, "window", rasters.geotiff(grid, gt, lambert))
+    # control points in lon/lat, fitted in Lambert metres; the file itself has the system but no geotransform
+    zipped(tmp_path, "gcp", rasters.geotiff(grid, None, lambert))
+    corners = [(px, py, *blocks.to_degrees(lambert, np.array([gt[0] + px * 1500.0]), np.array([gt[3] - py * 1500.0]))) for px in (0, 400) for py in (0, 150, 300)]
+    gcps = [[px, py, float(lon[0]), float(lat[0])] for px, py, lon, lat in corners]
+    ring = [[50, 40], [350, 40], [350, 260], [50, 260]]
+    conf = {"datasets": {"lcc": {"zip_file": "lcc", "max_lod": 7}, "gcp": {"zip_file": "gcp", "max_lod": 7, "gcps": gcps}, "window": {"zip_file": "window", "max_lod": 7, "gcps": gcps, "mask": [ring]}}}
+    conf["tilesets"] = {n: {"tile_path": n, "datasets": [n]} for n in conf["datasets"]}
+    (tmp_path / "c.json").write_text(json.dumps(conf))
+    o = pipeline.Options(str(tmp_path / "c.json"), str(tmp_path), str(tmp_path / "stage"), tile_resampling="nearest", reproject_resampling="nearest")
+    assert pipeline.build(spark, o).count() == 0  # no failures, and no tiles without an output folder
+    staged = spark.read.parquet(str(tmp_path / "stage/source"))
+    found = {r.dataset: r for r in pipeline.grids(staged).collect()}
+    assert found["lcc"].gt == pytest.approx(found["gcp"].gt, abs=1e-3) and found["lcc"].width == found["gcp"].width
+    # resolution of zoom 7 at the latitude of the middle
+    assert found["lcc"].res == pytest.approx(2 * m.ORIGIN / 256 / 2**7 / math.cos(math.radians(38.5 + (25 / 111))), rel=5e-3)
+    base = spark.read.parquet(str(tmp_path / "stage/blocks")).filter("level = 0").toPandas()
+    shown = {}
+    for name, r in found.items():
+        pixels, x0, y0 = blocks.joined(base[base.dataset == name])
+        lon, lat = np.meshgrid(np.linspace(-100.0, -96.5, 9), np.linspace(37.6, 39.8, 9))
+        mx, my = blocks.from_degrees(3857, lon, lat)
+        px, py = ((mx - r.min_x) / r.res - x0).astype(int), ((r.max_y - my) / r.res - y0).astype(int)
+        shown[name] = pixels[py, px]
+        lx, ly = blocks.from_degrees(lambert, lon, lat)
+        sx, sy = (lx - gt[0]) / 1500, (gt[3] - ly) / 1500
+        assert np.abs(shown[name][..., 0].astype(int) - np.floor(sx) % 256).max() <= 1.01 * r.res / 1500 + 1
+        assert np.abs(shown[name][..., 1].astype(int) - np.floor(sy) % 256).max() <= 1.01 * r.res / 1500 + 1
+        assert (shown[name][..., 2] == 77).all()
+    assert (shown["lcc"] == shown["gcp"]).all()
+    drawn = pipeline.Options(o.config_path, o.zip_dir, o.staging_dir, str(tmp_path / "out"), reuse=True)
+    assert pipeline.build(spark, drawn).count() > 3
+
+
+def test_no_holes_above_the_resolution_of_the_source(spark, tmp_path):
+    """Each kernel fills the whole box at twice the source's resolution, and the constant colour stays."""
+    res = 2 * m.ORIGIN / 256 / 2**3
+    zipped(tmp_path, "a", rasters.geotiff(np.full((1, 16, 16), 120, "u1"), [0.0, 2 * res, 0.0, 32 * res, 0.0, -2 * res]))
+    conf = {"datasets": {"a": {"zip_file": "a", "max_lod": 3}}, "tilesets": {"T": {"tile_path": "t", "datasets": ["a"]}}}
+    (tmp_path / "c.json").write_text(json.dumps(conf))
+    for method in pyramid.METHODS:
+        o = pipeline.Options(str(tmp_path / "c.json"), str(tmp_path), str(tmp_path / "stage"), reproject_resampling=method, tile_resampling=method)
+        pipeline.build(spark, o)
+        _, tilesets, members = pipeline.selected(spark, o)
+        areas = pipeline.grids(spark.read.parquet(str(tmp_path / "stage/source"))).select("dataset", "min_x", "max_y", "res", "width", "height")
+        drawn = pipeline.tiles(spark.read.schema(blocks.BLOCK).parquet(str(tmp_path / "stage/blocks")), areas, members, ts.zoom_range(tilesets, members), 3, method=method)
+        tile = np.frombuffer(drawn.filter("z = 3").first().rgba, "u1").reshape(256, 256, 4)
+        assert (tile[-30:, :30, :3] == 120).all() and (tile[-30:, :30, 3] == 255).all(), method
+        assert not tile[:-34, :, 3].any() and not tile[:, 34:, 3].any()
+
+
+def test_blocks_are_averaged_as_one_picture(spark):
+    """Overviews of blocks against halving the whole picture."""
+    grid = np.random.default_rng(6).integers(0, 256, (700, 1300, 4)).astype("u1")
+    base = spark.createDataFrame(blocks.cut(grid, "d"), blocks.BLOCK)
+    over = blocks.overview_levels(base).toPandas()
+    whole = grid
+    for level in (1, 2, 3):
+        whole = blocks.halved(whole)
+        got, x, y = blocks.joined(over[over.level == level])
+        assert (x, y) == (0, 0) and (got[: whole.shape[0], : whole.shape[1]] == whole).all()
+
+
+def test_rings_and_kernels_by_loops():
+    rings = [[(1.2, 0.7), (9.4, 2.1), (7.7, 9.2), (2.1, 7.9)], [(4, 4), (6, 4), (6, 6), (4, 6)]]
+    got = blocks.in_rings(rings, 0, 0, 11, 10)
+    for y in range(10):
+        for x in range(11):
+            n = 0
+            for ring in rings:
+                for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1], strict=True):
+                    n += (y1 <= y + 0.5) != (y2 <= y + 0.5) and x1 + (y + 0.5 - y1) * (x2 - x1) / (y2 - y1) > x + 0.5
+            assert got[y, x] == n % 2
+    pixels = np.random.default_rng(1).integers(0, 256, (12, 12, 4)).astype("u1")
+    pixels[..., 3] = 255
+    for method in ("bilinear", "cubic", "cubicspline", "lanczos"):
+        sx, sy = np.array([5.3]), np.array([6.8])
+        total, mean = 0.0, 0.0
+        for y in range(12):
+            for x in range(12):
+                w = float(blocks._kernel(method, np.array(sx[0] - 0.5 - x)) * blocks._kernel(method, np.array(sy[0] - 0.5 - y)))
+                total, mean = total + w, mean + w * pixels[y, x, 0]
+        assert blocks.sample(pixels, sx, sy, method)[0, 0] == np.clip(np.floor(mean / total + 0.5), 0, 255)
+
+
+def test_geotiff_with_overviews_and_lambert():
+    grid = np.random.default_rng(3).integers(0, 256, (3, 301, 270), "u1")
+    p = Lambert(38.5, -98.0, 33.0, 45.0, 10.0, -20.0)
+    tif = rasters.geotiff(grid, [1.0, 2.0, 0.0, 5.0, 0.0, -2.0], p, (grid[:, ::2, ::2], grid[:, ::4, ::4]))
+    assert rasters.system(tif) == p or np.allclose([getattr(rasters.system(tif), k) for k in ("lat0", "lon0", "lat1", "lat2", "x0", "y0", "a", "f")], [getattr(p, k) for k in ("lat0", "lon0", "lat1", "lat2", "x0", "y0", "a", "f")])
+    assert (rasters.pixels(tif)[0] == grid).all()
+    at, sizes = 4, []
+    while at := struct.unpack("<I", tif[at : at + 4])[0]:
+        n = struct.unpack("<H", tif[at : at + 2])[0]
+        entries = {e[0]: e for e in struct.iter_unpack("<HHII", tif[at + 2 : at + 2 + 12 * n])}
+        sizes.append((entries[256][3], entries[257][3], entries.get(254, (0, 0, 0, 0))[3]))
+        at += 2 + 12 * n
+    assert sizes == [(270, 301, 0), (135, 151, 1), (68, 76, 1)]
 
 
 def test_links_of_second_cells():
