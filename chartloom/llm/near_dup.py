@@ -563,12 +563,10 @@ def first_rows(docs: DataFrame, least: float = 0.8) -> DataFrame:
     """The rows of docs that stay: one of each class, with all their columns; rows without a doc_id stay."""
     first = classes_of(docs, least).filter("is_first AND doc_id IS NOT NULL").select("doc_id", F.col("digest").alias("__digest")).distinct()
     key = ["doc_id", "__digest"]
-    named = docs.filter(F.col("doc_id").isNotNull()).withColumn("__digest", digest_of()).join(first, key, "left_semi")
-    # rows that repeat both are copies, and the least of the other columns stays
-    repeated = docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")], "text"))
-    again = named.join(repeated, "doc_id", "left_semi").withColumn("__r", rank).filter("__r = 1").drop("__r")
-    return named.join(repeated, "doc_id", "left_anti").unionByName(again).drop("__digest").unionByName(docs.filter(F.col("doc_id").isNull()))
+    named = docs.filter(F.col("doc_id").isNotNull()).withColumn("__digest", digest_of()).join(first.hint("merge"), key, "left_semi")
+    # Rows that repeat both are copies, and the least of the other columns stays. The join has brought them together, so texts move once.
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")], "__digest"))
+    return named.withColumn("__r", rank).filter("__r = 1").drop("__r", "__digest").unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
