@@ -294,28 +294,6 @@ class Encoder(WordTable):
         self.count[size : size + len(n)] = n
         self.used += len(ids)
 
-    def preset(self, words: list[bytes]) -> tuple:
-        """Fills the table with distinct words and gives what restore() needs elsewhere."""
-        self.limit = max(self.limit, len(words) + 1)
-        self.clear()
-        short, long = [w for w in words if len(w) <= 16], [w for w in words if len(w) > 16]
-        k = np.frombuffer(b"".join(w.ljust(16, b"\0") for w in short), "<u8").reshape(-1, 2)
-        self._keep([w.decode(CODE) for w in short])
-        self.table.add(np.ascontiguousarray(k[:, 0]), np.ascontiguousarray(k[:, 1]))
-        self._keep([w.decode(CODE) for w in long])
-        n, m = len(short), len(words)
-        return self.table.low[:n].copy(), self.table.high[:n].copy(), long, self.ids[: self.used].copy(), self.at[:m].copy(), self.count[:m].copy()
-
-    def restore(self, held: tuple) -> Encoder:
-        low, high, long, self.ids, at, count = held
-        self.limit = max(1024, len(at) + 1)
-        self.table, self.at, self.count = Table(self.limit), np.zeros(self.limit + 1, "i4"), np.zeros(self.limit + 1, "i4")
-        self.at[: len(at)], self.count[: len(at)] = at, count
-        self.table.add(low, high)
-        self.long = {w: len(low) + i for i, w in enumerate(long)}
-        self.table.size = len(at)
-        return self
-
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """ids of words in a row (none for -1), and where each word's begin (with the end)."""
         n = np.where(numbers < 0, 0, self.count[numbers])
@@ -351,37 +329,6 @@ class Encoder(WordTable):
         return out
 
 
-class Counts(Encoder):
-    """Counts words and encodes none."""
-
-    def __init__(self, path: str, limit: int = 250_000):
-        super().__init__(path, limit)
-
-    def clear(self) -> None:
-        super().clear()
-        self.names: list[str] = []
-        self.n = np.zeros(self.limit + 1, "i8")
-
-    def _keep(self, words: list[str]) -> None:
-        self.names += words
-
-    def read(self, texts: list[str]):
-        """Counts the words of safe texts; yields (words, counts) whenever the table is full."""
-        for group, _ in self.groups(texts):
-            words = self.split([t for _, t in group])
-            if self.table.size + len(words.start) > self.limit:
-                yield self.take()
-                self.limit = max(self.limit, 2 * len(words.start))
-                self.clear()
-            numbers = self.numbers(words)
-            self.n += np.bincount(numbers[numbers >= 0], minlength=len(self.n))
-
-    def take(self) -> tuple[list[str], np.ndarray]:
-        names, n = self.names, self.n[: len(self.names)]
-        self.clear()
-        return names, n
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of a file that this Python worker keeps."""
     return kept("encoder", path, Encoder)
