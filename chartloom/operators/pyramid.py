@@ -134,3 +134,41 @@ def mosaic_xml(files: DataFrame, by: list[str]) -> DataFrame:
     rows = files.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("layer", part.alias("xml")))).alias("__r"))
     body = F.array_join(F.transform("__r", lambda r: r["xml"]), "\n")
     return rows.select(*by, F.concat(F.lit("<mosaic>\n"), body, F.lit("\n</mosaic>")).alias("xml"))
+
+
+def zoom_mosaics(rasters: DataFrame, most: int) -> DataFrame:
+    """rasters for each zoom ``z`` up to ``most`` that they are detailed enough for: the members of each zoom's mosaic."""
+    return rasters.withColumn("z", F.explode(F.sequence(F.lit(0), F.least(F.col("max_lod"), F.lit(most)))))
+
+
+#: What the bands of a mosaic show, by their number.
+COLOURS = {1: ("Gray",), 2: ("Gray", "Alpha"), 3: ("Red", "Green", "Blue"), 4: ("Red", "Green", "Blue", "Alpha")}
+
+
+def mosaic_vrt(rasters: DataFrame, by: list[str]) -> DataFrame:
+    """(by, vrt): each mosaic as a virtual raster that tile tools read: extent, bands, and each raster's place in order.
+
+    rasters: (by, name, crs, band_count, bounds, res_x, res_y, max_lod, ordinal). Pixels are bytes; overlapping rasters blend by their mask.
+    """
+    extent = mosaic_extent(rasters, by).withColumnsRenamed({c: f"__{c}" for c in ("min_x", "max_y", "res_x", "res_y", "width", "height")})
+    about = rasters.groupBy(*by).agg(F.first("crs").alias("crs"), F.first("band_count").alias("bands"))
+    size = lambda a, b, r: F.floor((F.col(b) - F.col(a)) / F.col(r) + 0.5).cast("bigint")
+    own = rasters.select(*by, "name", size("min_x", "max_x", "res_x").alias("w"), size("min_y", "max_y", "res_y").alias("h"))
+    placed = mosaic_files(rasters, by).join(own, [*by, "name"])
+    source = F.format_string(
+        "    <ComplexSource>\n      <SourceFilename>%s</SourceFilename>\n      <SourceBand>@</SourceBand>\n      <SourceProperties RasterXSize=\"%d\" RasterYSize=\"%d\" DataType=\"Byte\" />\n"
+        "      <SrcRect xOff=\"0\" yOff=\"0\" xSize=\"%d\" ySize=\"%d\" />\n      <DstRect xOff=\"%d\" yOff=\"%d\" xSize=\"%d\" ySize=\"%d\" />\n      <UseMaskBand>true</UseMaskBand>\n    </ComplexSource>",
+        F.replace(F.replace("name", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), "w", "h", "w", "h", "dst_x", "dst_y", "dst_w", "dst_h",
+    )
+    listed = placed.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("layer", source.alias("xml")))), lambda r: r["xml"]), "\n").alias("sources"))
+    colours = F.create_map(*[F.lit(x) for n, names in COLOURS.items() for x in (n, ",".join(names))])
+    bands = F.transform(
+        F.split(colours[F.col("bands")], ","),
+        lambda c, i: F.concat(
+            F.format_string("  <VRTRasterBand dataType=\"Byte\" band=\"%d\">\n    <ColorInterp>%s</ColorInterp>\n", i + 1, c), F.replace("sources", F.lit("@"), (i + 1).cast("string")), F.lit("\n  </VRTRasterBand>\n")
+        ),
+    )
+    head = F.format_string(
+        "<VRTDataset rasterXSize=\"%d\" rasterYSize=\"%d\">\n  <SRS>%s</SRS>\n  <GeoTransform>%.6f, %.6f, 0.0, %.6f, 0.0, %.6f</GeoTransform>\n", "__width", "__height", "crs", "__min_x", "__res_x", "__max_y", -F.col("__res_y")
+    )
+    return extent.join(about, by).join(listed, by).select(*by, F.concat(head, F.array_join(bands, ""), F.lit("</VRTDataset>")).alias("vrt"))

@@ -87,7 +87,7 @@ def source_blocks(spark: SparkSession, datasets: DataFrame, zip_dir: str) -> Dat
 
         def one(r):
             if r.data is None:
-                raise ValueError("the archive or its member is not there")
+                raise ValueError("the archive or its member is not there, or cannot be unpacked")
             grid, palette = rasters.pixels(r.data)
             system, gt = rasters.system(r.data), rasters.metadata(r.data)[3]
             if r.gcps is not None and len(r.gcps):

@@ -542,6 +542,39 @@ def mosaic_xml(t):
     return pyramid.mosaic_xml(pyramid.mosaic_files(_rasters(t), ["tileset"]), ["tileset"])
 
 
+def _vrt_sql(band: int, colour: str) -> str:
+    source = (
+        "    <ComplexSource>\n      <SourceFilename>%s</SourceFilename>\n      <SourceBand>{0}</SourceBand>\n      <SourceProperties RasterXSize=\"%d\" RasterYSize=\"%d\" DataType=\"Byte\" />\n"
+        "      <SrcRect xOff=\"0\" yOff=\"0\" xSize=\"%d\" ySize=\"%d\" />\n      <DstRect xOff=\"%d\" yOff=\"%d\" xSize=\"%d\" ySize=\"%d\" />\n      <UseMaskBand>true</UseMaskBand>\n    </ComplexSource>"
+    ).format(band)
+    start, end = f'  <VRTRasterBand dataType="Byte" band="{band}">\n    <ColorInterp>{colour}</ColorInterp>\n', "\n  </VRTRasterBand>\n"
+    return f"'{start}' || string_agg(printf('{source}', name, w, h, w, h, dx, dy, dw, dh), chr(10) ORDER BY layer) || '{end}'"
+
+
+@query(
+    with_("ds", "mb")
+    + f", {_RASTERS}, e AS (SELECT tileset, min(min_x) AS x, min(min_y) AS y0, max(max_x) AS x1, max(max_y) AS y, min(rs) AS s FROM q GROUP BY tileset),"
+    " f AS (SELECT *, row_number() OVER (PARTITION BY tileset ORDER BY max_lod DESC, ordinal) AS layer, floor((min_x - x) / s + 0.5)::BIGINT AS dx, floor((y - max_y) / s + 0.5)::BIGINT AS dy,"
+    " floor((max_x - min_x) / s + 0.5)::BIGINT AS dw, floor((max_y - min_y) / s + 0.5)::BIGINT AS dh, floor((max_x - min_x) / rs + 0.5)::BIGINT AS w, floor((max_y - min_y) / rs + 0.5)::BIGINT AS h FROM q JOIN e USING (tileset))"
+    " SELECT tileset, printf('<VRTDataset rasterXSize=\"%d\" rasterYSize=\"%d\">', floor((any_value(x1) - any_value(x)) / any_value(s) + 0.5)::BIGINT, floor((any_value(y) - any_value(y0)) / any_value(s) + 0.5)::BIGINT) || chr(10) || '  <SRS>EPSG:3857</SRS>' || chr(10)"
+    " || printf('  <GeoTransform>%.6f, %.6f, 0.0, %.6f, 0.0, %.6f</GeoTransform>', any_value(x), any_value(s), any_value(y), -any_value(s)) || chr(10) || "
+    + " || ".join(_vrt_sql(i + 1, c) for i, c in enumerate(pyramid.COLOURS[4]))
+    + " || '</VRTDataset>' AS vrt FROM f GROUP BY tileset"
+)
+def mosaic_vrt(t):
+    return pyramid.mosaic_vrt(_rasters(t), ["tileset"])
+
+
+@query(
+    with_("ds", "mb")
+    + f", {_RASTERS} SELECT tileset, z::INT AS z, count(*)::BIGINT AS rasters, round(min(min_x), 3) AS min_x, floor((max(max_x) - min(min_x)) / min(rs) + 0.5)::BIGINT AS width FROM (SELECT *, unnest(range(0, least(max_lod, 8) + 1)) AS z FROM q) GROUP BY tileset, z"
+)
+def zoom_mosaics(t):
+    own = pyramid.zoom_mosaics(_rasters(t), 8)
+    counts = own.groupBy("tileset", "z").agg(F.count("*").alias("rasters"))
+    return pyramid.mosaic_extent(own, ["tileset", "z"]).join(counts, ["tileset", "z"]).select("tileset", "z", "rasters", r("min_x", 3).alias("min_x"), "width")
+
+
 def _drawn(t) -> DataFrame:
     rows = t.lineitem.select(
         (F.col("l_suppkey") % 4).cast("int").alias("x"), (F.col("l_orderkey") % 256).cast("int").alias("px"), (F.col("l_partkey") % 256).cast("int").alias("py"), F.floor("l_quantity").cast("int").alias("r"), "l_orderkey", "l_linenumber"

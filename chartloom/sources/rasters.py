@@ -25,15 +25,25 @@ def archive_members(spark: SparkSession, path: str, ending: str = ".tif") -> Dat
 
 
 def unzip(archives: DataFrame, ending: str = ".tif") -> DataFrame:
+    """Members of archives (archive, content). What cannot be unpacked has no row, so a join with what is wanted tells."""
+
     def read(batches):
         import pandas as pd
 
         for pdf in batches:
             for archive, content in zip(pdf.archive, pdf.content, strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                try:
+                    whole = zipfile.ZipFile(io.BytesIO(content))
+                except zipfile.BadZipFile:
+                    continue
+                with whole as z:
                     for name in z.namelist():
                         if name.lower().endswith(ending) and not name.rsplit("/", 1)[-1].startswith("._"):
-                            yield pd.DataFrame({"archive": [archive], "member": [name], "data": [z.read(name)]})
+                            try:
+                                data = z.read(name)
+                            except (zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError, EOFError):
+                                continue
+                            yield pd.DataFrame({"archive": [archive], "member": [name], "data": [data]})
 
     return archives.mapInPandas(read, "archive string, member string, data binary")
 

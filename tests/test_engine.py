@@ -12,13 +12,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chartloom.functions import affine, text
+from chartloom.functions import affine, jsons, text
 from chartloom.functions import mercator as m
 from chartloom.operators import blocks, composite, encode, ingest, manifest, pyramid, raster, warp
 from chartloom.operators import tilesets as ts
 from chartloom.operators.warp import Lambert
 from chartloom.plans import pipeline
-from chartloom.sources import config, rasters
+from chartloom.sources import config, rasters, web
 from chartloom.streaming import upsert
 
 
@@ -581,3 +581,85 @@ def test_gather_takes_average_and_mode(spark):
     assert take("average") == {(0, 0): 3.75, (1, 0): 6.0} and take("mode") == {(0, 0): 1.0, (1, 0): 5.0}
     with pytest.raises(ValueError):
         warp.warp(df, area, ["ds"], "v", "mode")
+
+
+# --- the web and the command line
+
+
+@pytest.fixture
+def site(tmp_path):
+    """A site of this machine with index pages and archives; gives its address and the list of what was asked."""
+    import email.utils
+    import http.server
+    import threading
+
+    asked = []
+    index = '<div id="a"><table>' + "".join(f'<tr><td>x</td><td><a href="/{d}/{n}.zip">Geo-TIFF</a></td></tr>' for d, n in (("03-20-2025", "p"), ("01-23-2025", "q"), ("03-20-2025", "r"))) + "</table></div>"
+
+    class Site(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            asked.append((self.path, self.headers.get("If-Modified-Since")))
+            if self.path == "/index":
+                body = index.encode()
+            elif self.path.startswith("/03-20-2025/") and not self.path.endswith("r.zip"):
+                body = b"archive" + self.path.encode()
+            else:
+                return self.send_error(404)
+            since = self.headers.get("If-Modified-Since")
+            if since and email.utils.parsedate_to_datetime(since).timestamp() > 1e9:
+                self.send_response(304)
+                return self.end_headers()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Site)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", asked
+    server.shutdown()
+
+
+def test_links_are_repaired_and_fetched_once(spark, site, tmp_path):
+    address, asked = site
+    links = web.linked(spark, [(f"{address}/index", ["a", "none"])]).orderBy("ordinal").collect()
+    assert [r.url for r in links] == [f"{address}/03-20-2025/{n}.zip" for n in "pqr"]  # the outvoted date is repaired
+    folder = str(tmp_path / "got")
+    urls = spark.createDataFrame([(r.url,) for r in links], "url string")
+    status = lambda: {r.url[-5]: r.status for r in web.fetch(urls, folder).collect()}
+    assert status() == {"p": "got", "q": "got", "r": "failed"}
+    assert (tmp_path / "got/p.zip").read_bytes() == b"archive/03-20-2025/p.zip" and sorted(p.name for p in (tmp_path / "got").iterdir()) == ["p.zip", "q.zip"]
+    assert status() == {"p": "skipped", "q": "skipped", "r": "failed"}
+    assert any(since for path, since in asked if path.endswith("p.zip"))
+
+
+def test_command_lines(spark, site, tmp_path, capsys):
+    address, _ = site
+    out = str(tmp_path / "zips")
+    assert pipeline.download(["-o", out, "-p", f"{address}/index=a", "-l"]) == 0
+    assert capsys.readouterr().out.split() == [f"{address}/03-20-2025/{n}.zip" for n in "pqr"]
+    assert pipeline.download(["-o", out, "-p", f"{address}/index=a"]) == 1 and "2 archives fetched or current, 1 failed" in capsys.readouterr().out
+    res = 2 * m.ORIGIN / 256 / 4
+    zipped(tmp_path, "a", rasters.geotiff(np.full((3, 40, 40), 50, "u1"), [0.0, res, 0.0, 40 * res, 0.0, -res]))
+    (tmp_path / "c.json").write_text(json.dumps({"datasets": {"a": {"zip_file": "a", "max_lod": 2}, "b": {"zip_file": "b", "max_lod": 1}}, "tilesets": {"T": {"tile_path": "t", "datasets": ["a"]}, "U": {"tile_path": "u", "datasets": ["b"]}}}))
+    common = ["-c", str(tmp_path / "c.json"), "-z", str(tmp_path), "-t", str(tmp_path / "stage"), "-o", str(tmp_path / "tiles")]
+    assert pipeline.main([*common, "-l"]) == 0 and "(t, zoom 0-2)" in capsys.readouterr().out
+    assert pipeline.main([*common, "-s", "T", "-R", "cubic", "-S", "average", "-e", "3857", "-C"]) == 0
+    assert "3 tiles written" in capsys.readouterr().out and not (tmp_path / "stage").exists()
+    assert pipeline.main([*common, "-q"]) == 1 and "b: ValueError" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="4326"):
+        pipeline.main([*common, "-e", "4326"])
+
+
+def test_json_texts_are_made_and_changed(spark):
+    row = spark.range(1).select(
+        jsons.create("string", F.lit('a"b\\c\n')).alias("s"), jsons.create("number", F.lit(2.5)).alias("n"), jsons.create("number", F.lit(float("nan"))).alias("nan"), jsons.create("null").alias("z"),
+        jsons.create("object", {"k": jsons.create("array", [F.lit("1"), F.lit("true")])}).alias("o"), jsons.replaced_key(F.lit('{"A":1,"b":2}'), "a", F.lit("[3]"), any_case=True).alias("r"),
+        jsons.replaced_item(F.lit("[1,2,3]"), 1, F.lit('"x"')).alias("i"), jsons.near_equal(F.lit("0.30000000000000004"), F.lit("0.3")).alias("near"), jsons.near_equal(F.lit("0.3"), F.lit("0.31")).alias("far"),
+        jsons.depth(F.lit('{"a":[[1],"]]"]}')).alias("d"), jsons.within_limits(F.lit("[" * 1001 + "]" * 1001)).alias("deep"), jsons.within_limits(F.lit("1")).alias("flat"),
+    ).first()
+    assert (json.loads(row.s), row.n, row.nan, row.z, json.loads(row.o)) == ('a"b\\c\n', "2.5", "null", "null", {"k": [1, True]})
+    assert json.loads(row.r) == {"A": [3], "b": 2} and json.loads(row.i) == [1, "x", 3]
+    assert (row.near, row.far, row.d, row.deep, row.flat) == (True, False, 3, False, True)
