@@ -724,3 +724,27 @@ def test_pictures_are_read():
 def test_vectors_with_holes_are_drawn(spark):
     df = spark.createDataFrame([(1, [1.0, None, float("nan")]), (2, None), (3, [])], "vec_id long, embedding array<float>")
     assert media.gallery(df).count() == 6
+
+
+def test_other_columns_of_clashing_names(spark, docs):
+    """Columns that are called like results are replaced or left out, and change nothing."""
+    names = "n_words kept base_failed __words licenses spans ids n_tokens start at batch items node digest class_id is_first score lang_pred label numbers frame sequence_id offset length word n f x".split()
+    more = docs.withColumns({c: F.lit("old") for c in names}).withColumn("n_chars", F.lit(7).cast("long"))
+    plain = docs.withColumn("n_chars", F.lit(7).cast("long"))
+    same = lambda f: Counter(map(tuple, f(more).collect())) == Counter(map(tuple, f(plain).collect()))
+    assert same(lambda d: quality_rules.score(d).select("doc_id", "n_words", "kept", "base_failed"))
+    assert same(lambda d: license_scan.scan(d).select("doc_id", F.size("licenses")))
+    assert same(lambda d: token_files.read(spark, token_files.write(d)))
+    assert same(lambda d: packing.pack(d).select("doc_id", "start", "length"))
+    assert same(lambda d: near_dup.classes_of(d).select("doc_id", "class_id", "is_first"))
+    assert same(lambda d: secret_scan.scan(d).select("doc_id", F.size("spans")))
+    assert same(bpe_table.encode)
+    model = language_id.Model(["x", "y"], ["▁", "a"], np.ones((3, 2)) * [[0], [0.5], [0.5]])
+    assert same(lambda d: language_id.predict(d, model))
+    kept = language_id.predict(more, model, keep=["doc_id", "score", "lang_pred"])
+    assert kept.columns == ["doc_id", "lang_pred", "score"] and kept.count() == len(ODD)
+    labels = spark.createDataFrame([(i % 10, i % 2) for i in range(10)], "doc_id long, quality int")
+    fitted = quality_classifier.learn(plain, labels)
+    assert quality_classifier.predict(more, fitted, keep=["doc_id", "score"]).count() == len(ODD)
+    pictures = spark.createDataFrame([(1, media.pgm(media.picture(np.arange(64.0))), "x", 5, 6)], "media_id long, data binary, digest string, node int, class_id int")
+    assert [tuple(r) for r in media.copies(pictures).collect()] == [(1, 1)]
