@@ -94,6 +94,15 @@ def _huffman(counts: dict[int, int]) -> tuple[list[int], list[int], dict[int, tu
     return number[1:17], order, codes
 
 
+def _bits(words: list[tuple[int, int]]) -> bytes:
+    """Values of so many bits each in a row, filled up with ones."""
+    value, size = np.array(words, "i8").reshape(-1, 2).T
+    ends = np.cumsum(size)
+    below = np.repeat(ends, size) - np.arange(ends[-1] if len(ends) else 0) - 1  # bits of the same value that follow
+    row = (np.repeat(value, size) >> below & 1).astype("u1")
+    return np.packbits(np.concatenate([row, np.ones(-len(row) % 8, "u1")])).tobytes()
+
+
 def encode_jpeg(rgba: bytes, width: int = 256, height: int = 256, quality: int = 85) -> bytes:
     """JPEG bytes of RGBA pixels; alpha is left out."""
     rgb = np.frombuffer(rgba, "u1").reshape(height, width, 4)[..., :3].astype("f8")
@@ -107,18 +116,15 @@ def encode_jpeg(rgba: bytes, width: int = 256, height: int = 256, quality: int =
             for s, _, _ in entries:
                 counts[table][s] = counts[table].get(s, 0) + 1
     made = [_huffman(c) for c in counts]
-    bits: list[str] = []
+    words: list[tuple[int, int]] = []  # values and their numbers of bits
     for block in range(len(parts[0][0])):
         for i, (dc, ac) in enumerate(parts):
             for entries, table in (((dc[block],), 2 * min(i, 1)), (ac[block], 2 * min(i, 1) + 1)):
                 for s, value, n in entries:
-                    code, size = made[table][2][s]
-                    bits.append(format(code, f"0{size}b"))
+                    words.append(made[table][2][s])
                     if n:
-                        bits.append(format(value, f"0{n}b"))
-    text = "".join(bits)
-    text += "1" * (-len(text) % 8)
-    body = int(text, 2).to_bytes(len(text) // 8, "big").replace(b"\xff", b"\xff\x00")
+                        words.append((value, n))
+    body = _bits(words).replace(b"\xff", b"\xff\x00")
     segment = lambda mark, data: b"\xff" + bytes([mark]) + struct.pack(">H", len(data) + 2) + data
     out = b"\xff\xd8" + segment(0xE0, b"JFIF\0\1\1\0\0\1\0\1\0\0")
     for i, q in enumerate(tables):
