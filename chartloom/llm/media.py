@@ -433,7 +433,8 @@ def copies(media: DataFrame, data: str = "data", agree: int = AGREE) -> DataFram
     members = stage(shared(table_keys(nodes)), "keys")
     release(spark)
     links = near_dup.Links(spark, lambda pairs: confirmed(pairs, nodes, agree))
-    links.search(members, lambda left: consensus_blocks(left, nodes, agree))
+    # a picture has hundreds of keys, so copies would meet hundreds of pivots if each key had its own order
+    links.search(members, lambda left: consensus_blocks(left, nodes, agree), one_order=True)
     per_picture = nodes.select("digest", "node").join(links.classes, "node", "left").select("digest", F.coalesce("class", "node").alias("class"))
     rows = stage(readable.groupBy("media_id", "digest").agg(F.count("*").alias("n")).join(per_picture, "digest"), "rows")
     found = rows.join(rows.groupBy("class").agg(F.min("media_id").alias("class_id")), "class")

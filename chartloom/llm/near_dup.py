@@ -351,9 +351,13 @@ def _with_class(members: DataFrame, classes: DataFrame) -> DataFrame:
     return members.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
 
 
-def pivot_pairs(members: DataFrame, seed: int = 1) -> DataFrame:
-    """Each member of a key with the key's pivot. members: (band, key, node)."""
-    spread = F.xxhash64("node", "band", F.lit(seed))
+def pivot_pairs(members: DataFrame, seed: int = 1, one_order: bool = False) -> DataFrame:
+    """Each member of a key with the key's pivot. members: (band, key, node).
+
+    The pivot is first in an order that differs for each band, or, with one_order, is the same for all: then the keys that
+    a group of copies shares have few pivots, and the group few pairs.
+    """
+    spread = F.xxhash64("node", F.lit(seed)) if one_order else F.xxhash64("node", "band", F.lit(seed))
     pivot = members.groupBy("band", "key").agg(F.min_by("node", spread).alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     pairs = members.join(pivot, ["band", "key"]).filter("node != pivot")
     return pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
@@ -515,9 +519,9 @@ class Links:
             found = moved.select("node", F.coalesce("to", "class").alias("class")).unionByName(found)
         self.classes, self.any = stage(found, "classes"), True
 
-    def search(self, members: DataFrame, blocks) -> None:
+    def search(self, members: DataFrame, blocks, one_order: bool = False) -> None:
         """Follows all candidates of keys (band, key, node). blocks(left): links of the keys that stay mixed."""
-        self.test(pivot_pairs(members))
+        self.test(pivot_pairs(members, one_order=one_order))
         left = stage(mixed(members, self.classes), "mixed")
         if left.isEmpty():
             return
