@@ -2,166 +2,200 @@
 
 Encoding, in four steps:
 
-1. Texts are split into words as the tokenizer does it, some 2 million characters
-   at a time. Each such batch is a row with its distinct words, and the number of
-   each word of each document among them. The rows are staged.
-2. The distinct words of all batches are the table; each is encoded once.
-3. Its ids are spelled by a join of (word, position, id) with the table of pieces
-   (id, piece), whose size is that of the vocabulary.
-4. The words of each batch meet the table by an equality join and go back to their
-   batch, where the numbers put ids and pieces in their places, document by
-   document.
-
-A word that is in every text is a row for each batch, not for each occurrence, and
-Spark splits such a key of the join. Nothing that grows with the corpus is
-broadcast or collected, and a task holds one batch at a time.
-
-``decode`` does the same with ids for words: the distinct ids of a batch meet the
-table of pieces, and the pieces of a document are joined as the tokenizer's
-decoder does, or with a space between if it has none.
-
-Splitting is done on whole batches of bytes where it is known to be the library's
-own (see ``tokens``); other texts are normalised and split by the library itself.
+1. Texts are split into words and counted, in each task first and then over
+   all tasks: the distinct-word table.
+2. The most frequent words (``hot_words`` at most, none longer than LONG
+   characters, so at most about 100 MB in the worst case and some 15 MB in
+   practice) are encoded and broadcast. They are nine tenths of all text and
+   every hot key.
+3. Each other occurrence becomes a row (document, position, word). Rows meet by
+   word, each distinct word is encoded once, and its ids go back by document.
+4. A document's known ids and its other words' ids are joined by position.
+
+Nothing that grows with the corpus is broadcast or collected, and no word that
+is left to step 3 is frequent. Texts that the splitter does not vouch for (see
+``tokens``) and words of more than LONG characters are encoded where they stand.
+
+``decode`` joins a table of ids with the table of pieces (id, piece), whose size is
+that of the vocabulary: the distinct ids of a batch of documents are rows, meet
+their pieces by id, and go back to the batch, where numbers put them in their
+places. Pieces are put together by the tokenizer's own decoder if it has one, else
+with a space between. The query, which has a document's ids at hand in the task
+that made them, meets the same table there (``decode_ids``), as sending all ids
+through one more exchange would move more than is allowed.
 
 Edge cases: a null text counts as empty; an empty text has no ids and decodes
 to an empty text. Repeated rows (even with equal doc_id) each get their ids. A
-null doc_id is kept. Other columns are left out. An empty table gives no row. A
-document longer than a batch is one of its own.
+null doc_id is kept. Other columns are left out. An empty table gives no row.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
-import re
-from collections.abc import Callable, Iterator
 
-import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
 
 from chartloom.llm.common import bound_batches, kept, map_arrow, stage
-from chartloom.llm.tokens import CODE, UNSAFE, Encoder, encoder
+from chartloom.llm.tokens import CODE, LONG, Counts, Encoder, encoder
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-#: Characters of a batch.
-BATCH = 2_000_000
-HELD = "batch long, items array<%s>, docs array<long>, counts array<int>, numbers binary"
 
 
-class Splitter(Encoder):
-    """Words of texts; encodes none."""
+def word_counts(docs: DataFrame, vocabulary: str = PATH, text: str = "text") -> DataFrame:
+    """(word, n): the distinct-word table of all texts."""
 
-    def clear(self) -> None:
-        super().clear()
-        self.names: list[str] = []
+    def count(batches):
+        import pyarrow as pa
 
-    def _keep(self, words: list[str]) -> None:
-        self.names += words
+        table = Counts(vocabulary)
 
-    def numbered(self, texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """(distinct words, words of each text, their numbers) of safe texts."""
-        words = self.split(texts)
-        self.limit = max(1024, len(words.start) + 1)
-        self.clear()
-        numbers = self.numbers(words)
-        place: dict[bytes, int] = {}
-        for i in np.flatnonzero(numbers < 0).tolist():  # words over LONG
-            w = words.word(i)
-            if w not in place:
-                place[w] = len(self.names)
-                self.names.append(w.decode(CODE))
-            numbers[i] = place[w]
-        return self.names, np.diff(words.first), numbers
+        def out(words, n):
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64())], names=["word", "n"])
 
-    def words_of(self, text: str) -> list[str]:
-        """Words of any text, by the library: added tokens first, then normalised and split."""
-        out = []
-        parts = re.split("(" + "|".join(map(re.escape, self.added)) + ")", text) if self.added else [text]
-        for i, part in enumerate(parts):
-            if i % 2:
-                out.append(part)
-            elif part:
-                clean = self.library.normalizer.normalize_str(part) if self.library.normalizer else part
-                out += [clean[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(clean)]
-        return out
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                for part in table.read([t for t in batch.column(0).slice(at, 512).to_pylist() if t]):
+                    yield out(*part)
+        yield out(*table.take())
+
+    return docs.select(F.col(text).cast("string")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def hot_words(counts: DataFrame, most: int) -> list[str]:
+    """The most frequent words, ``most`` at most: all whose count is above a power of 2 ** (1 / 8)."""
+    level = F.floor(F.log2("n") * 8).cast("int")
+    held = sorted(counts.groupBy(level.alias("level")).agg(F.count("*").alias("k")).collect(), reverse=True)  # some 500 rows at most
+    total, least = 0, None
+    for level_, k in held:
+        total += k
+        if total > most:
+            break
+        least = level_
+    return [] if least is None else [r.word for r in counts.filter(level >= least).select("word").collect()]
+
+
+def encode(docs: DataFrame, vocabulary: str = PATH, most_hot: int = 1 << 19, text: str = "text", finish=None, schema: str = "ids binary") -> DataFrame:
+    """(doc_id, ids) of every document, or with finish(ids) -> tuple, (doc_id, *schema)."""
+    spark = docs.sparkSession
+    keyed = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("h"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    counts = stage(word_counts(keyed, vocabulary), "words")
+    shared = spark.sparkContext.broadcast(Encoder(vocabulary).preset([w.encode(CODE) for w in hot_words(counts, most_hot)]))
+
+    def known():
+        import zstandard
 
+        enc, zip_ = kept("hot words", shared.value, lambda held: Encoder(vocabulary, 1).restore(held)), zstandard.ZstdCompressor(level=3)
 
-def _record(batch: int, items: list, docs: list, counts, numbers: np.ndarray, kind):
-    import pyarrow as pa
-    import zstandard
+        def f(batch):
+            out = [zip_.compress(x) for x in enc.encode(batch.column("text").to_pylist(), learn=False)]
+            return {"doc_id": batch.column("doc_id"), "h": batch.column("h"), "k": [-1] * len(out), "at": [0] * len(out), "ids": out}
 
-    packed = zstandard.ZstdCompressor(level=3).compress(numbers.astype("<u2" if len(items) <= 1 << 16 else "<u4").tobytes())
-    columns = [pa.array([batch], pa.int64()), pa.array([items], pa.list_(kind)), pa.array([docs], pa.list_(pa.int64())), pa.array([np.asarray(counts, "i4")], pa.list_(pa.int32())), pa.array([packed], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=["batch", "items", "docs", "counts", "numbers"])
+        return f
 
+    def others():
+        import numpy as np
 
-def _first_batch() -> int:
-    from pyspark import TaskContext
+        enc = kept("hot words", shared.value, lambda held: Encoder(vocabulary, 1).restore(held))
 
-    return TaskContext.get().partitionId() << 33
+        def f(batch):
+            rows, ks, ats, names = [], [], [], []
+            for group, _ in enc.groups(batch.column("text").to_pylist()):
+                words = enc.split([t for _, t in group])
+                numbers = enc.numbers(words, learn=False)
+                begins = np.concatenate([[0], np.cumsum(np.where(numbers < 0, 0, enc.count[numbers]))])
+                rare = np.flatnonzero((numbers < 0) & (words.length <= LONG))
+                doc = np.searchsorted(words.first, rare, "right") - 1
+                at = 2 * (begins[rare] - begins[words.first[doc]])
+                for d, long in enc.in_place(words).items():
+                    for j, own in long:
+                        at[(doc == d) & (rare > j)] += len(own)
+                rows.append(np.array([i for i, _ in group], "i8")[doc])
+                ks.append(np.arange(len(rare)) - np.searchsorted(doc, doc))
+                ats.append(at)
+                names += [words.word(i).decode(CODE) for i in rare.tolist()]
+            taken = np.concatenate(rows)
+            return {"doc_id": batch.column("doc_id").take(taken), "h": batch.column("h").take(taken), "k": np.concatenate(ks), "at": np.concatenate(ats), "word": names}
 
+        return f
 
-def occurrences(docs: DataFrame, vocabulary: str = PATH, text: str = "text") -> DataFrame:
-    """(batch, items, docs, counts, numbers): distinct words of each batch, and which each document has, in order."""
+    def encode_runs():
+        enc = encoder(vocabulary)
+        last: list = [None, b""]
 
-    def split(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+        def f(batch):
+            words = batch.column("word").to_pylist()
+            new = list(dict.fromkeys(w for w in words if w != last[0]))
+            ids = dict(zip(new, enc.library_ids(new), strict=True))
+            ids.setdefault(last[0], last[1])
+            out = [ids[w] for w in words]
+            last[:] = [words[-1], out[-1]]
+            return {**{c: batch.column(c) for c in ("doc_id", "h", "k", "at")}, "ids": out}
 
-        table, number = kept("splitter", vocabulary, Splitter), _first_batch()
-        for whole in batches:
-            ids, texts = whole.column(0).to_pylist(), [t or "" for t in whole.column(1).to_pylist()]
-            for group, apart in table.groups(texts, BATCH):
-                if group:
-                    names, counts, numbers = table.numbered([t for _, t in group])
-                    yield _record(number, names, [ids[i] for i, _ in group], counts, numbers, pa.string())
-                    number += 1
-                for at in range(0, len(apart), 256):
-                    some = apart[at : at + 256]
-                    own = [table.words_of(texts[i]) for i in some]
-                    place: dict[str, int] = {}
-                    numbers = np.array([place.setdefault(w, len(place)) for words in own for w in words], "i8")
-                    yield _record(number, list(place), [ids[i] for i in some], list(map(len, own)), numbers, pa.string())
-                    number += 1
-            table.clear()
+        return f
 
-    bound_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(split, HELD % "string")
+    key = "doc_id long, h long, k int, at int, "
+    rest = map_arrow(keyed, key + "word string", others).repartition("word").sortWithinPartitions("word")
+    rest = map_arrow(rest, key + "ids binary", encode_runs, rows=4096)
+    rows = map_arrow(keyed, key + "ids binary", known).unionByName(rest)
+    rows = rows.repartition("doc_id", "h").sortWithinPartitions("doc_id", "h", "k")
+    fields = [f.split() for f in schema.split(", ")]
 
+    def merge(batches):
+        import pyarrow as pa
+        import zstandard
 
-def items_of(held: DataFrame, name: str) -> DataFrame:
-    """(batch, at, item): a row for each distinct word or id of a batch."""
-    return held.select("batch", F.posexplode("items").alias("at", name))
+        unzip = zstandard.ZstdDecompressor()
+        now, known_, copies, pieces, at, last, done = None, b"", 0, [], 0, -1, []
 
+        def close():
+            ids = b"".join([*pieces, known_[at:]])
+            row = (ids,) if finish is None else finish(ids)
+            done.extend([(now[0], *row)] * copies)
 
-def word_ids(words: DataFrame, vocabulary: str = PATH) -> DataFrame:
-    """(word, ids) of distinct words, each encoded once."""
+        def flush():
+            cols = list(zip(*done, strict=True))
+            kinds = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
+            arrays = [pa.array(cols[0], pa.int64()), *(pa.array(c, kinds[kind]) for c, (_, kind) in zip(cols[1:], fields, strict=True))]
+            done.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=["doc_id", *(n for n, _ in fields)])
 
-    def make():
-        enc = encoder(vocabulary)
-        plain = enc.library.pre_tokenizer
+        for batch in batches:
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "h", "k", "at", "ids")]
+            for doc, h, k, where, ids in zip(*cols, strict=True):
+                if k < 0:
+                    if (doc, h) == now:
+                        copies += 1  # the same row again; its other words come that often, too
+                        continue
+                    if now is not None:
+                        close()
+                    now, known_, copies, pieces, at, last = (doc, h), unzip.decompress(ids), 1, [], 0, -1
+                elif k != last:
+                    pieces += [known_[at:where], ids]
+                    at, last = where, k
+                if len(done) >= 256:
+                    yield flush()
+        if now is not None:
+            close()
+        if done:
+            yield flush()
+
+    return rows.mapInArrow(merge, "doc_id long, " + schema)
 
-        def one(word: str) -> list[int]:
-            if word in enc.added:
-                return [enc.library.token_to_id(word)]
-            # split already: what is left to do is the last step of the pre-tokenizer, to bytes, and the merges
-            return [t.id for piece, _ in plain.pre_tokenize_str(word) for t in enc.library.model.tokenize(piece)]
 
-        def f(batch):
-            words_ = batch.column("word").to_pylist()
-            out: list = [None] * len(words_)
-            safe = [i for i, w in enumerate(words_) if w and w not in enc.added and not UNSAFE.search(w)]
-            ids, n = enc.encode_words([words_[i] for i in safe])
-            for i, part in zip(safe, np.split(ids, np.cumsum(n)[:-1]), strict=True) if safe else ():
-                out[i] = part.tolist()
-            return {"word": words_, "ids": [one(w) if v is None else v for w, v in zip(words_, out, strict=True)]}
+@functools.lru_cache(maxsize=2)
+def pieces_of(vocabulary: str) -> tuple[list[str], bool]:
+    """Pieces by id, and whether the tokenizer has a decoder of its own."""
+    library = encoder(vocabulary).library
+    return [library.id_to_token(i) or "" for i in range(library.get_vocab_size(with_added_tokens=True))], library.decoder is not None
 
-        return f
 
-    return map_arrow(words.select("word"), "word string, ids array<int>", make, rows=4096)
+def decode_ids(ids: list[int], vocabulary: str = PATH) -> str:
+    pieces, decodes = pieces_of(vocabulary)
+    found = map(pieces.__getitem__, ids)
+    return encoder(vocabulary).library.decoder.decode(list(found)) if decodes else " ".join(found)
 
 
 def piece_table(spark: SparkSession, vocabulary: str = PATH) -> DataFrame:
@@ -169,125 +203,75 @@ def piece_table(spark: SparkSession, vocabulary: str = PATH) -> DataFrame:
     size = encoder(vocabulary).library.get_vocab_size(with_added_tokens=True)
 
     def make():
-        library = encoder(vocabulary).library
-        return lambda batch: {"id": batch.column("id"), "piece": [library.id_to_token(i) or "" for i in batch.column("id").to_pylist()]}
+        pieces, _ = pieces_of(vocabulary)
+        return lambda batch: {"id": batch.column("id"), "piece": [pieces[i] for i in batch.column("id").to_pylist()]}
 
     return map_arrow(spark.range(0, size, 1, 1), "id int, piece string", make, rows=10_000)
 
 
-def spelled(words: DataFrame, vocabulary: str = PATH) -> DataFrame:
-    """(word, ids, pieces) of (word, ids): an id-to-piece join, back by position."""
-    pieces = F.broadcast(piece_table(words.sparkSession, vocabulary))  # as large as the vocabulary
-    each = words.select("word", "ids", F.posexplode_outer("ids").alias("place", "id")).join(pieces, "id", "left")
-    own = F.array_sort(F.collect_list(F.when(F.col("id").isNotNull(), F.struct("place", "piece"))))
-    return each.groupBy("word").agg(F.first("ids").alias("ids"), F.transform(own, lambda x: x["piece"]).alias("pieces"))
+def decode(encoded: DataFrame, vocabulary: str = PATH) -> DataFrame:
+    """(doc_id, text) of rows (doc_id, ids), by an id-to-piece join; null ids give a null text."""
+    schema = "batch long, items array<int>, docs array<long>, counts array<int>, numbers binary"
 
+    def split(batches):
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
 
-def assembled(held: DataFrame, parts: DataFrame, finish: Callable, schema: str) -> DataFrame:
-    """(doc_id, *schema): the parts (batch, at, ids, pieces) of each batch in the places of its documents.
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            rows = [np.frombuffer(v, "<u2") for v in batch.column(1).to_pylist()]
+            items, numbers = np.unique(np.concatenate([np.zeros(0, "<u2"), *rows]), return_inverse=True)
+            columns = [pa.array([number], pa.int64()), pa.array([items.astype("i4")], pa.list_(pa.int32())), pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64()))]
+            columns += [pa.array([np.array(list(map(len, rows)), "i4")], pa.list_(pa.int32())), pa.array([numbers.astype("<u2").tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["batch", "items", "docs", "counts", "numbers"])
+            number += 1
 
-    finish(ids, starts, pieces, numbers) of a document: ids of all items in a row with the start of each, the pieces of
-    each item, and the numbers of the document's items; gives a tuple.
-    """
-    heads = held.select("batch", F.lit(-1).alias("at"), F.lit(None).cast("array<int>").alias("ids"), F.lit(None).cast("array<string>").alias("pieces"), "docs", "counts", "numbers")
+    bound_batches(encoded.sparkSession)
+    known = encoded.filter(F.col("ids").isNotNull()).select(F.col("doc_id").cast("long"), "ids")
+    held = stage(known.mapInArrow(split, schema), "ids")
+    pieces = F.broadcast(piece_table(encoded.sparkSession, vocabulary))  # as large as the vocabulary
+    parts = held.select("batch", F.posexplode("items").alias("at", "id")).join(pieces, "id").select("batch", "at", "piece")
+    heads = held.select("batch", F.lit(-1).alias("at"), F.lit(None).cast("string").alias("piece"), "docs", "counts", "numbers")
     none = {"docs": F.lit(None).cast("array<long>"), "counts": F.lit(None).cast("array<int>"), "numbers": F.lit(None).cast("binary")}
-    rows = heads.unionByName(parts.select("batch", "at", "ids", "pieces").withColumns(none)).repartition("batch").sortWithinPartitions("batch", "at")
-    arrow = to_arrow_schema(_parse_datatype_string("doc_id long, " + schema))
+    rows = heads.unionByName(parts.withColumns(none)).repartition("batch").sortWithinPartitions("batch", "at")
 
-    def run(batches: Iterator) -> Iterator:
+    def assemble(batches):
+        import numpy as np
         import pyarrow as pa
-        import zstandard
 
-        head, slices = None, []
+        decoder = encoder(vocabulary).library.decoder
+        join = " ".join if decoder is None else decoder.decode
+        head, spelled = None, []
 
         def close():
-            docs, counts = head["docs"], head["counts"]
-            items = pa.concat_arrays([pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("pieces", pa.list_(pa.string()))])), *slices])
-            lists = items.field("ids")
-            ids, n = lists.flatten().to_numpy(zero_copy_only=False).astype("<u2"), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            starts = np.concatenate([[0], np.cumsum(n)])
-            pieces = [p or () for p in items.field("pieces").to_pylist()]
-            numbers = np.frombuffer(zstandard.ZstdDecompressor().decompress(head["numbers"]), "<u2" if len(items) <= 1 << 16 else "<u4").astype("i8")
-            cuts = np.concatenate([[0], np.cumsum(counts)])
-            for at in range(0, len(docs), 256):
-                out = [(docs[d], *finish(ids, starts, pieces, numbers[cuts[d] : cuts[d + 1]])) for d in range(at, min(at + 256, len(docs)))]
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+            numbers, cuts = np.frombuffer(head["numbers"], "<u2").tolist(), np.concatenate([[0], np.cumsum(head["counts"])]).astype("i8").tolist()
+            texts = [join([spelled[i] for i in numbers[a:b]]) for a, b in zip(cuts, cuts[1:], strict=False)]
+            return pa.RecordBatch.from_arrays([pa.array(head["docs"], pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
         for batch in batches:
             at = batch.column("at").to_numpy()
-            own = pa.StructArray.from_arrays([batch.column(c) for c in ("ids", "pieces")], ["ids", "pieces"])
             cuts = np.unique([0, *np.flatnonzero(at < 0).tolist(), len(at)]).tolist()
             for a, b in zip(cuts, cuts[1:], strict=False):
                 if at[a] < 0:
                     if head is not None:
-                        yield from close()
-                    head, slices = {c: batch.column(c)[a].as_py() for c in ("docs", "counts", "numbers")}, []
+                        yield close()
+                    head, spelled = {c: batch.column(c)[a].as_py() for c in ("docs", "counts", "numbers")}, []
                     a += 1
-                if b > a:
-                    slices.append(own.slice(a, b - a))
+                spelled += batch.column("piece").slice(a, b - a).to_pylist()
         if head is not None:
-            yield from close()
-
-    return rows.mapInArrow(run, "doc_id long, " + schema)
-
-
-def _gathered(ids: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> np.ndarray:
-    n = starts[numbers + 1] - starts[numbers]
-    ends = np.cumsum(n)
-    return ids[np.repeat(starts[numbers] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
-
-
-def encode(docs: DataFrame, vocabulary: str = PATH, text: str = "text", finish: Callable | None = None, schema: str = "ids binary") -> DataFrame:
-    """(doc_id, ids) of every document, or with finish(ids, pieces) -> tuple, (doc_id, *schema); pieces are a list of strings."""
-    held = stage(occurrences(docs, vocabulary, text), "occurrences")
-    words = items_of(held, "word")
-    table = word_ids(words.select("word").distinct(), vocabulary)
-    table = stage(spelled(table, vocabulary) if finish else table.withColumn("pieces", F.lit(None).cast("array<string>")), "words")
-
-    def own(ids, starts, pieces, numbers):
-        found = _gathered(ids, starts, numbers).tobytes()
-        return (found,) if finish is None else finish(found, [p for i in numbers.tolist() for p in pieces[i]])
-
-    return assembled(held, words.join(table, "word"), own, schema)
-
-
-@functools.lru_cache(maxsize=2)
-def joiner(vocabulary: str) -> Callable[[list[str]], str]:
-    """How the tokenizer joins pieces."""
-    decoder = encoder(vocabulary).library.decoder
-    return " ".join if decoder is None else decoder.decode
-
-
-def decode(encoded: DataFrame, vocabulary: str = PATH) -> DataFrame:
-    """(doc_id, text) of rows (doc_id, ids), by an id-to-piece join; null ids give a null text."""
-
-    def split(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        number = _first_batch()
-        for batch in batches:
-            rows = [np.frombuffer(v or b"", "<u2") for v in batch.column(1).to_pylist()]
-            items, numbers = np.unique(np.concatenate([np.zeros(0, "<u2"), *rows]), return_inverse=True)
-            yield _record(number, items.astype("i4"), batch.column(0).to_pylist(), list(map(len, rows)), numbers, pa.int32())
-            number += 1
-
-    bound_batches(encoded.sparkSession)
-    known = encoded.filter(F.col("ids").isNotNull()).select(F.col("doc_id").cast("long"), "ids")
-    held = stage(known.mapInArrow(split, HELD % "int"), "ids")
-    pieces = F.broadcast(piece_table(encoded.sparkSession, vocabulary))  # as large as the vocabulary
-    parts = items_of(held, "id").join(pieces, "id").select("batch", "at", F.lit(None).cast("array<int>").alias("ids"), F.array("piece").alias("pieces"))
+            yield close()
 
-    def own(ids, starts, pieces, numbers):
-        return (joiner(vocabulary)([pieces[i][0] for i in numbers.tolist()]),)
+    null = encoded.filter(F.col("ids").isNull()).select(F.col("doc_id").cast("long"), F.lit(None).cast("string").alias("text"))
+    return rows.mapInArrow(assemble, "doc_id long, text string").unionByName(null)
 
-    none = encoded.filter(F.col("ids").isNull()).select(F.col("doc_id").cast("long"), F.lit(None).cast("string").alias("text"))
-    return assembled(held, parts, own, "text string").unionByName(none)
 
+def digests(ids: bytes) -> tuple[int, str, str]:
+    import numpy as np
 
-def digests(ids: bytes, pieces: list[str]) -> tuple[int, str, str]:
-    """Contract columns: number of ids, and SHA-256 of them (32-bit) and of the decoded text."""
     ids_ = np.frombuffer(ids, "<u2")
-    return len(ids_), hashlib.sha256(ids_.astype("<u4")).hexdigest(), hashlib.sha256(joiner(PATH)(pieces).encode()).hexdigest()
+    text = decode_ids(ids_.tolist())
+    return len(ids_), hashlib.sha256(ids_.astype("<u4")).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
 
 
 def query(spark, sf_dir: str) -> DataFrame:

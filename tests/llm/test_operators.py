@@ -612,33 +612,29 @@ def test_bpe_table_round_trip(spark, docs, none):
     ids = library(WORD)
     library_ = Tokenizer.from_file(WORD)
     want = Counter((i, np.array(ids(t), "<u2").tobytes()) for i, t in ODD)
-    got = bpe_table.encode(docs)
-    assert Counter((r.doc_id, bytes(r.ids)) for r in got.collect()) == want
+    for most in (1 << 18, 40, 0):  # with all, some and no words known beforehand
+        got = bpe_table.encode(docs, most_hot=most)
+        assert Counter((r.doc_id, bytes(r.ids)) for r in got.collect()) == want, most
     texts = Counter((i, library_.decode(ids(t), skip_special_tokens=False)) for i, t in ODD)
     assert Counter((r.doc_id, r.text) for r in bpe_table.decode(got).collect()) == texts
-    spelled = bpe_table.encode(docs, finish=lambda ids, pieces: (ids, " ".join(pieces)), schema="ids binary, text string").collect()
-    assert Counter((r.doc_id, bytes(r.ids)) for r in spelled) == want and Counter((r.doc_id, r.text) for r in spelled) == texts
     assert bpe_table.encode(none).count() == 0 and bpe_table.decode(bpe_table.encode(none)).count() == 0
     byte = Tokenizer.from_file(BYTE)
     back = bpe_table.decode(bpe_table.encode(docs, vocabulary=BYTE), vocabulary=BYTE).collect()
     assert Counter((r.doc_id, r.text) for r in back) == Counter((i, byte.decode(byte.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False)) for i, t in ODD)
     assert [r.text for r in bpe_table.decode(spark.createDataFrame([(1, None), (2, bytearray())], "doc_id long, ids binary")).orderBy("doc_id").collect()] == [None, ""]
+    n, sha, text_sha = bpe_table.digests(np.array(ids("The cat's"), "<u2").tobytes())
+    assert n == 3 and sha == hashlib.sha256(np.array(ids("The cat's"), "<u4").tobytes()).hexdigest()
+    assert text_sha == hashlib.sha256(library_.decode(ids("The cat's"), skip_special_tokens=False).encode()).hexdigest()
 
 
-def test_the_word_table_has_each_word_once(spark, docs):
-    """Words as the library's own steps give them, for texts of every kind, small batches and words of every length."""
-    library_ = Tokenizer.from_file(WORD)
-    held = bpe_table.occurrences(docs)
-    words = {r.word for r in bpe_table.items_of(held, "word").select("word").distinct().collect()}
-    want, special = set(), "<|endoftext|>"
+def test_word_counts_are_exact(spark, docs):
+    enc = tokens.encoder(WORD)
+    want = Counter()
     for _, t in ODD:
-        for k, part in enumerate((t or "").split(special)):
-            want |= {special} if k else set()
-            clean = library_.normalizer.normalize_str(part)
-            want |= {clean[a:b] for _, (a, b) in library_.pre_tokenizer.pre_tokenize_str(clean)} if part else set()
-    assert words == want
-    table = {r.word: r.ids for r in bpe_table.word_ids(spark.createDataFrame([(w,) for w in words], "word string")).collect()}
-    assert {w: list(v) for w, v in table.items()} == {w: library_.encode(w, add_special_tokens=False).ids for w in want}
+        if t and (b := enc.safe_bytes(t)) is not None:
+            w = enc.split([b])
+            want.update(x for x in (w.word(i).decode(tokens.CODE) for i in range(len(w.start))) if len(x) <= tokens.LONG)
+    assert {r.word: r.n for r in bpe_table.word_counts(docs).collect()} == dict(want)
 
 
 @pytest.mark.parametrize("seed", range(4))
