@@ -69,18 +69,21 @@ class Forward:
     def __init__(self, pieces: list[str]):
         from chartloom.llm.tokens import Table
 
-        self.table = Table(len(pieces))
         self.longest = max(map(len, pieces), default=1)
-        by_size: dict[int, list[int]] = {}
-        for i, p in enumerate(pieces):
-            by_size.setdefault(len(p), []).append(i)
-        if pieces:
-            keys = np.zeros((2, len(pieces)), "<u8")
-            for size, at in by_size.items():
-                grid = self._grid([pieces[i] for i in at], size)
-                for k in range(size):
-                    keys[:, at] = self._more(keys[:, at], grid[:, k])
+        # every prefix of a piece, and 1 + the piece that it is, or 0: what is no prefix needs no longer look
+        place = {p: i + 1 for i, p in enumerate(pieces)}
+        prefixes = sorted({p[:k] for p in pieces for k in range(1, len(p) + 1)}, key=lambda p: (len(p), p))
+        self.piece = np.array([place.get(p, 0) for p in prefixes], "i4")
+        self.table = Table(len(prefixes))
+        at = 0
+        while at < len(prefixes):
+            size = len(prefixes[at])
+            own = [p for p in prefixes[at:] if len(p) == size]
+            grid, keys = self._grid(own, size), np.zeros((2, len(own)), "<u8")
+            for k in range(size):
+                keys = self._more(keys, grid[:, k])
             self.table.add(keys[0], keys[1])
+            at += len(own)
 
     @staticmethod
     def _grid(words: list[str], width: int) -> np.ndarray:
@@ -100,27 +103,34 @@ class Forward:
         grid = self._grid(words, width)
         numbers = np.zeros((len(words), width, min(self.longest, width)), "i4")
         for start in range(width):
-            keys = np.zeros((2, len(words)), "<u8")
+            on = np.flatnonzero(length > start)
+            keys = np.zeros((2, len(on)), "<u8")
             for k in range(min(self.longest, width - start)):
-                on = np.flatnonzero(length > start + k)
+                keys = self._more(keys, grid[on, start + k])
+                found = self.table.find(keys[0], keys[1])
+                go = found >= 0
+                on, keys, found = on[go], keys[:, go], found[go]
+                numbers[on, start + k, k] = self.piece[found]
+                more = length[on] > start + k + 1
+                on, keys = on[more], keys[:, more]
                 if not len(on):
                     break
-                keys[:, on] = self._more(keys[:, on], grid[on, start + k])
-                numbers[on, start + k, k] = 1 + self.table.find(keys[0, on], keys[1, on])
         return length, numbers
 
     @staticmethod
     def sums(length, numbers, chance):
         """Forward sums alpha[i, j, language] over the first j characters. chance: a row for each number."""
-        n, width, most = numbers.shape
+        n, width, _ = numbers.shape
         alpha = np.zeros((n, width + 1, chance.shape[1]))
         alpha[:, 0] = 1
         for j in range(width):
-            on = np.flatnonzero(length > j)
-            total = alpha[on, j] * np.where(numbers[on, j, 0] > 0, 0, UNKNOWN)[:, None]
-            for k in range(min(most, j + 1)):
-                total += alpha[on, j - k] * chance[numbers[on, j, k]]
-            alpha[on, j + 1] = total
+            rows, ks = np.nonzero(numbers[:, j])
+            if len(rows):
+                part = alpha[rows, j - ks] * chance[numbers[rows, j, ks]]
+                first = np.flatnonzero(np.diff(rows, prepend=-1))
+                alpha[rows[first], j + 1] = np.add.reduceat(part, first, axis=0)
+            alone = np.flatnonzero((length > j) & (numbers[:, j, 0] == 0))
+            alpha[alone, j + 1] += alpha[alone, j] * UNKNOWN
         return alpha
 
     def score(self, words: list[str], chance: np.ndarray, at_once: int = 3_000) -> np.ndarray:
