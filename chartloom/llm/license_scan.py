@@ -102,12 +102,13 @@ def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) ->
     highest = max(len(g) for _, g in table) * (2 - threshold) / threshold
     clean = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\n]+", " ")
     words = lambda x: F.btrim(F.regexp_replace(x, r"[ \n]+", " "))
-    whole = words(clean)
-    blank = F.when(clean.rlike(r"\n *\n"), F.transform(F.split(clean, r"\n *\n(?: *\n)*"), words)).otherwise(F.array().cast("array<string>"))
-    lines = F.transform(F.split(clean, "\n"), lambda x: F.btrim(x))
     # A part of n words has n - 1 bigrams at most, so shorter ones are out before any is made.
     enough = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) >= F.lit(int(lowest) if lowest >= 1 else 0)
-    parts = F.filter(F.array_distinct(F.concat(F.array(whole), blank, lines)), lambda x: (x != "") & enough(x))
+
+    def parts_of(text: Column, whole: Column) -> Column:
+        blank = F.when(text.rlike(r"\n *\n"), F.transform(F.split(text, r"\n *\n(?: *\n)*"), words)).otherwise(F.array().cast("array<string>"))
+        lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(x))
+        return F.filter(F.array_distinct(F.concat(F.array(whole), blank, lines)), lambda x: (x != "") & enough(x))
 
     def close(part: Column) -> Column:
         def against(g: Column) -> Column:
@@ -136,10 +137,14 @@ def matches(text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) ->
             return _let(_grams_of(part), lambda g: F.struct(t["name"].alias("license"), (F.lit(2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + t["n"])).alias("dice"), F.array_join(part, " ").alias("part")))
 
         found = F.filter(F.transform(windows, score), lambda s: s["dice"] >= threshold)
-        return F.when(F.arrays_overlap(w, F.array(*map(F.lit, names))), found)
+        none = F.array().cast("array<struct<license:string,dice:double,part:string>>")
+        return F.when(F.arrays_overlap(w, F.array(*map(F.lit, names))), found).otherwise(none)
+
+    def of(text: Column) -> Column:
+        both = lambda whole: F.concat(F.flatten(F.transform(parts_of(text, whole), close)), _let(F.split(whole, " "), placed))
+        return F.array_distinct(_let(words(text), both))
 
-    of_parts = F.flatten(F.transform(parts, close))
-    return F.array_distinct(F.concat(of_parts, F.coalesce(_let(F.split(whole, " "), placed), F.slice(of_parts, 1, 0))))
+    return _let(clean, of)
 
 
 def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
