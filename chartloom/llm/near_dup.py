@@ -34,6 +34,10 @@
    classes, in blocks (products of matrices). So each pair that shares a band is
    in one class or was compared. What is moved grows with the number of blocks.
 
+What is counted for each key or class (its pivot, its size, its first row) is staged before the rows are joined with it:
+Spark splits a large key of a join of two plain exchanges (or broadcasts the small side), but not of one that follows an
+aggregation by the same key. So a key that a third of all rows share is no single task.
+
 Result: one row for each input row with its text's digest, its class (the least
 doc_id in it), and whether it is the one row of the class to keep.
 
@@ -338,7 +342,7 @@ def components(links: DataFrame) -> DataFrame:
     while not _are_stars(edges):
         # large star: each node's larger neighbours go to its least neighbour
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: each node's smaller neighbours and itself go to its least neighbour
         least = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -359,7 +363,7 @@ def pivot_pairs(members: DataFrame, seed: int = 1, one_order: bool = False) -> D
     """
     spread = F.xxhash64("node", F.lit(seed)) if one_order else F.xxhash64("node", "band", F.lit(seed))
     pivot = members.groupBy("band", "key").agg(F.min_by("node", spread).alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    pairs = members.join(pivot, ["band", "key"]).filter("node != pivot")
+    pairs = members.join(stage(pivot.select("band", "key", "pivot"), "pivots"), ["band", "key"]).filter("node != pivot")
     return pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
 
 
@@ -367,14 +371,14 @@ def mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Members (band, key, node, class) of the keys of three members or more that span several classes; the pair of a key of two was tested."""
     labelled = _with_class(members, classes)
     several = labelled.groupBy("band", "key").agg(F.min("class").alias("x"), F.max("class").alias("y"), F.count("*").alias("n")).filter("x != y AND n > 2")
-    return labelled.join(several.select("band", "key"), ["band", "key"], "left_semi")
+    return labelled.join(stage(several.select("band", "key"), "several"), ["band", "key"], "left_semi")
 
 
 def second_pairs(left: DataFrame, small: int = SMALL) -> DataFrame:
     """Pairs of members of different classes: all of them for small keys, those with another pivot for others."""
     spread = F.xxhash64("node", "band", F.lit(2))
     own = F.struct("node", "class")
-    keys = left.groupBy("band", "key").agg(F.count("*").alias("n"), F.min_by(own, spread).alias("o"))
+    keys = stage(left.groupBy("band", "key").agg(F.count("*").alias("n"), F.min_by(own, spread).alias("o")), "seconds")
     sized = left.join(keys, ["band", "key"])
     few = sized.filter(F.col("n") <= small).drop("o")
     every = few.groupBy("band", "key").agg(F.collect_list(own).alias("os"))  # small members at most
@@ -419,13 +423,14 @@ def in_blocks(left: DataFrame, payload: DataFrame, columns: list[str], compare,
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     size = sum(F.length(c) for c in columns)
-    whole = left.join(left.groupBy("band", "key").agg(F.count("*").alias("n")).filter(F.col("n") > small).select("band", "key"), ["band", "key"], "left_semi")
+    large = stage(left.groupBy("band", "key").agg(F.count("*").alias("n")).filter(F.col("n") > small).select("band", "key"), "large")
+    whole = left.join(large, ["band", "key"], "left_semi")
     whole = stage(whole.join(payload.withColumn("size", size), "node"), "blocks")
     parts = lambda n, size: F.ceil(F.greatest(n / block, size / BLOCK_BYTES)).cast("int")
     of_class = whole.groupBy("band", "key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     keys = of_class.groupBy("band", "key").agg(F.sum("n").alias("n"), F.sum("size").alias("s"), F.max(F.struct("n", "class", "size")).alias("most"))
     keys = keys.select("band", "key", F.col("most.class").alias("most"), parts(F.col("n") - F.col("most.n"), F.col("s") - F.col("most.size")).alias("few"), parts(F.col("n"), F.col("s")).alias("all"))
-    sized = whole.join(keys, ["band", "key"])
+    sized = whole.join(stage(keys, "parts"), ["band", "key"])
     spread = F.xxhash64("node", F.lit(3))
     kept_ = ["band", "key", "node", "class", *columns]
     one = sized.filter("class != most").select(*kept_, F.lit(0).alias("side"), F.pmod(spread, F.col("few")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("all") - 1)).alias("j"))
@@ -484,7 +489,7 @@ def common_weight(rows: list, columns: list, idf: np.ndarray, at_once: int = 102
 def shared(members: DataFrame) -> DataFrame:
     """Members of keys that have several."""
     keys = members.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key")
-    return members.join(keys, ["band", "key"], "left_semi")
+    return members.join(stage(keys, "keys"), ["band", "key"], "left_semi")
 
 
 class Links:
@@ -555,7 +560,7 @@ def classes_of(docs: DataFrame, least: float = 0.8) -> DataFrame:
     rows = stage(signed.groupBy("doc_id", "digest").agg(F.count("*").alias("n")).join(per_text, "digest"), "rows")
     idf_.destroy()
     release(spark)
-    head = rows.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("head"))
+    head = stage(rows.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("head")), "heads")
     found = rows.join(head, "class").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     first = (F.col("doc_id") == F.col("head.doc_id")) & (F.col("digest") == F.col("head.digest")) & (F.col("copy") == 1)
     found = found.select("doc_id", "digest", F.col("head.doc_id").alias("class_id"), first.alias("is_first"))
