@@ -120,11 +120,18 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def first_of(df: DataFrame, by: list[str], order: list, n: int, salts: int = 64) -> DataFrame:
-    """At most n rows for each value of by, the first in the order given: first of each of some salts, then of all."""
+def least_hashed(df: DataFrame, by: str, key: str, n: int, bits: int = 12) -> DataFrame:
+    """At most n rows for each value of by: those of the least hash of key, then the least key.
+
+    Rows are counted by ``2 ** bits`` ranges of the hash first, so that only the ranges that hold the first n go on:
+    some n rows for each value, and no task sees all rows of a frequent one.
+    """
     from pyspark.sql import Window
 
-    rank = lambda keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-    few = salted.withColumn("__rank", rank([*by, "__salt"])).filter(F.col("__rank") <= n)
-    return few.withColumn("__rank", rank(by)).filter(F.col("__rank") <= n).drop("__rank", "__salt")
+    placed = df.withColumn("__h", F.xxhash64(key)).withColumn("__range", F.shiftright("__h", 64 - bits))
+    counts = placed.groupBy(by, "__range").agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    wanted = counts.withColumn("__before", F.coalesce(before, F.lit(0))).filter(F.col("__before") < n).select(by, "__range")
+    few = placed.join(wanted, [by, "__range"], "left_semi")
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("__h", key))
+    return few.withColumn("__rank", rank).filter(F.col("__rank") <= n).select(*df.columns)

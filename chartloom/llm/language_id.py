@@ -33,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import first_of, give_back, held_out, kept, map_arrow
+from chartloom.llm.common import give_back, held_out, kept, least_hashed, map_arrow
 from chartloom.llm.tokens import CODE, LETTER, WordTable, classes
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -205,7 +205,7 @@ def learn(
 ) -> Model:
     """A model from (doc_id, text, lang) rows whose lang is not null."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    picked = first_of(known.select("doc_id", "lang"), ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], docs_per_language).distinct()
+    picked = least_hashed(known.select("doc_id", "lang"), "lang", "doc_id", docs_per_language).distinct()
     sample = known.join(F.broadcast(picked), ["doc_id", "lang"], "left_semi").select("lang", "text")  # docs_per_language ids for each language
 
     def make():

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from chartloom.llm import bpe_table, language_id, license_scan, media, near_dup, packing, quality_classifier, quality_rules, secret_scan, token_files, tokens
-from chartloom.llm.common import first_of
+from chartloom.llm.common import least_hashed
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -542,10 +542,17 @@ def test_the_whole_vocabulary_and_whole_words_are_used():
     assert fitted.chance[1:].sum(0) == pytest.approx([1, 1])
 
 
-def test_first_of_each_by_salts(spark):
-    rows = [(i, "a" if i % 7 else "b") for i in range(500)]
-    got = first_of(spark.createDataFrame(rows, "i int, k string"), ["k"], [F.col("i").desc()], 9).collect()
-    assert sorted(tuple(r) for r in got) == sorted(sorted(rows, reverse=True)[j] for k in "ab" for j in [n for n, r in enumerate(sorted(rows, reverse=True)) if r[1] == k][:9])
+def test_least_hashed_of_each(spark):
+    rows = [(i, "a" if i % 7 else "b", "x" * (i % 3)) for i in range(500)] + [(3, "a", "again"), (None, "b", None), (None, "c", None)]
+    table = spark.createDataFrame(rows, "i long, k string, more string")
+    order = {(r.i, r.k): r.h for r in table.select("i", "k", F.xxhash64("i").alias("h")).collect()}
+    for n, bits in ((9, 12), (60, 3), (1000, 12), (1, 1)):
+        got = least_hashed(table, "k", "i", n, bits)
+        assert got.columns == ["i", "k", "more"]
+        found = Counter((r.i, r.k) for r in got.collect())
+        for k in "abc":
+            own = sorted((order[i, k_], -1 if i is None else i) for i, k_, _ in rows if k_ == k)[:n]
+            assert sorted((order[i, k_], -1 if i is None else i) for (i, k_), c in found.items() if k_ == k for _ in range(c)) == own
 
 
 def test_languages_are_told_apart(spark, docs, none):
