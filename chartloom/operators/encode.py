@@ -66,26 +66,33 @@ def write_tiles(tiles: DataFrame, root: str, fmt: str = "png") -> DataFrame:
 
     Each task writes its tiles in order of zoom, column and row.
 
-    root must be a folder that all executors share. A file is written beside its
-    place and then renamed, so a task that is done again leaves whole files.
+    root is a folder that all executors share, or the URI of a store that Arrow opens (``s3://``, ``hdfs://``, ``gs://``,
+    ``file://``). A file is written beside its place and then moved, so a task that is done again leaves whole files.
     """
-    import os
 
     def write(batches):
+        import os
+
         import pandas as pd
+        from pyarrow import fs
 
+        store, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+        made = set()
         for pdf in batches:
             for path, image in zip(pdf.path, pdf.image, strict=True):
-                os.makedirs(os.path.dirname(path), exist_ok=True)
-                part = f"{path}.{os.getpid()}.part"
-                with open(part, "wb") as f:
+                place = f"{base.rstrip('/')}/{path}"
+                folder = place.rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                part = f"{place}.{os.getpid()}.part"
+                with store.open_output_stream(part) as f:
                     f.write(image)
-                os.replace(part, path)
-            yield pd.DataFrame({"path": pdf.path, "bytes": pdf.image.map(len)})
+                store.move(part, place)
+            yield pd.DataFrame({"path": [f"{root.rstrip('/')}/{path}" for path in pdf.path], "bytes": pdf.image.map(len)})
 
     placed = tiles.sortWithinPartitions("tile_path", "z", "x", "y")
-    located = placed.select(tile_path("tile_path", "z", "x", "y", fmt, root).alias("path"), "image")
-    return located.mapInPandas(write, "path string, bytes long")
+    return placed.select(tile_path("tile_path", "z", "x", "y", fmt).alias("path"), "image").mapInPandas(write, "path string, bytes long")
 
 
 def existing_tiles(spark, root: str, fmt: str = "png") -> DataFrame:

@@ -334,6 +334,10 @@ def test_build_draws_masks_and_skips(spark, tmp_path):
     pixels = np.frombuffer(raw, "u1").reshape(256, 1025)[:, 1:].reshape(256, 256, 4)
     assert set(pixels[..., 0].ravel().tolist()) == {0, 200, 90}  # b is on top within its mask, a beside it
     assert pipeline.build(spark, o).count() == 0
+    # the same tiles by the URI of a store
+    far = pipeline.Options(o.config_path, o.zip_dir, o.staging_dir, f"file://{tmp_path}/far", reuse=True)
+    assert sorted(r.path for r in pipeline.build(spark, far).collect()) == [f"file://{tmp_path}/far/{p}" for p in files]
+    assert (tmp_path / "far/t/1/1/0.png").read_bytes() == data and pipeline.build(spark, far).count() == 0
 
 
 # --- lists
