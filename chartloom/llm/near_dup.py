@@ -355,16 +355,20 @@ def _with_class(members: DataFrame, classes: DataFrame) -> DataFrame:
     return members.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
 
 
-def pivot_pairs(members: DataFrame, seed: int = 1, one_order: bool = False) -> DataFrame:
-    """Each member of a key with the key's pivot. members: (band, key, node).
+def met_pivots(members: DataFrame, seed: int = 1, one_order: bool = False) -> DataFrame:
+    """(node, pivot, n): the pivots of each member's keys, and how many keys have them. members: (band, key, node).
 
     The pivot is first in an order that differs for each band, or, with one_order, is the same for all: then the keys that
     a group of copies shares have few pivots, and the group few pairs.
     """
     spread = F.xxhash64("node", F.lit(seed)) if one_order else F.xxhash64("node", "band", F.lit(seed))
     pivot = members.groupBy("band", "key").agg(F.min_by("node", spread).alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    pairs = members.join(stage(pivot.select("band", "key", "pivot"), "pivots"), ["band", "key"]).filter("node != pivot")
-    return pairs.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
+    met = members.join(stage(pivot.select("band", "key", "pivot"), "pivots"), ["band", "key"]).filter("node != pivot")
+    return met.groupBy("node", "pivot").agg(F.count("*").alias("n"))
+
+
+def as_pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
 
 
 def mixed(members: DataFrame, classes: DataFrame) -> DataFrame:
@@ -525,8 +529,16 @@ class Links:
         self.classes, self.any = stage(found, "classes"), True
 
     def search(self, members: DataFrame, blocks, one_order: bool = False) -> None:
-        """Follows all candidates of keys (band, key, node). blocks(left): links of the keys that stay mixed."""
-        self.test(pivot_pairs(members, one_order=one_order))
+        """Follows all candidates of keys (band, key, node). blocks(left): links of the keys that stay mixed.
+
+        With one_order, each node first meets the pivot that it shares most keys with, and the others only if they are
+        in another class then: for nodes of very many keys.
+        """
+        met = met_pivots(members, one_order=one_order)
+        if one_order:
+            met = stage(met, "met")
+            self.test(as_pairs(met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot"))))
+        self.test(as_pairs(met))
         left = stage(mixed(members, self.classes), "mixed")
         if left.isEmpty():
             return
