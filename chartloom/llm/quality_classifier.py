@@ -190,7 +190,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_doc
     # sample_docs rows at most: rows that repeat a doc_id are one, that of the least text
     own = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", F.col("label").cast("int").alias("label")).agg(F.min(F.struct("text", "n_chars")).alias("d"))
     # for each, at most one number and weight for each hashed word
-    got = map_arrow(own.select("label", "d.text", "d.n_chars"), "label int, f binary, x binary", make).orderBy("label", "f", "x").collect()
+    got = map_arrow(own.select("label", "d.text", "d.n_chars"), "label int, f binary, x binary", make).collect()
+    got.sort(key=lambda r: (r.label, bytes(r.f), bytes(r.x)))
     rows = [(np.frombuffer(bytes(r.f), "i4"), np.frombuffer(bytes(r.x), "f4")) for r in got]
     return fit(rows, [int(r.label > 0) for r in got], bits)
 
