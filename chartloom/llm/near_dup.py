@@ -356,15 +356,14 @@ def _with_class(members: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def met_pivots(members: DataFrame, seed: int = 1, one_order: bool = False) -> DataFrame:
-    """(node, pivot, n): the pivots of each member's keys, and how many keys have them. members: (band, key, node).
+    """(node, pivot): the pivot of each member's key. members: (band, key, node).
 
     The pivot is first in an order that differs for each band, or, with one_order, is the same for all: then the keys that
     a group of copies shares have few pivots, and the group few pairs.
     """
     spread = F.xxhash64("node", F.lit(seed)) if one_order else F.xxhash64("node", "band", F.lit(seed))
     pivot = members.groupBy("band", "key").agg(F.min_by("node", spread).alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    met = members.join(stage(pivot.select("band", "key", "pivot"), "pivots"), ["band", "key"]).filter("node != pivot")
-    return met.groupBy("node", "pivot").agg(F.count("*").alias("n"))
+    return members.join(stage(pivot.select("band", "key", "pivot"), "pivots"), ["band", "key"]).filter("node != pivot").select("node", "pivot")
 
 
 def as_pairs(met: DataFrame) -> DataFrame:
@@ -536,7 +535,7 @@ class Links:
         """
         met = met_pivots(members, one_order=one_order)
         if one_order:
-            met = stage(met, "met")
+            met = stage(met.groupBy("node", "pivot").agg(F.count("*").alias("n")), "met")
             self.test(as_pairs(met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot"))))
         self.test(as_pairs(met))
         left = stage(mixed(members, self.classes), "mixed")
